@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["flows"]
+MODULES = ["flows", "checks", "history"]
 
 
 def all_queries() -> dict:
