@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["flows", "checks", "history"]
+MODULES = ["flows", "checks", "history", "loads", "expressions"]
 
 
 def all_queries() -> dict:
