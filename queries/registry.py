@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["flows", "checks", "history", "loads", "expressions"]
+MODULES = ["flows", "mappings", "checks", "history", "loads", "expressions", "streams"]
 
 
 def all_queries() -> dict:
