@@ -2,8 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
+_PLAIN = {
+    "string": T.StringType, "bigint": T.LongType, "int": T.IntegerType, "smallint": T.ShortType, "double": T.DoubleType,
+    "boolean": T.BooleanType, "date": T.DateType, "timestamp": T.TimestampType, "timestamp_ntz": T.TimestampNTZType,
+    "binary": T.BinaryType, "variant": T.VariantType,
+}
+
+
+def column_type(kind: str) -> T.DataType:
+    """Type by name; works without a running session, as schemas are module constants."""
+    decimal = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", kind)
+    if decimal:
+        return T.DecimalType(int(decimal[1]), int(decimal[2]))
+    return _PLAIN[kind]()
+
 
 def target_field(name: str, kind: str, *, comment: str = "", default: object = None, required: bool = False) -> T.StructField:
     """One target column; `default` replaces NULL on assignment."""
@@ -12,8 +28,7 @@ def target_field(name: str, kind: str, *, comment: str = "", default: object = N
         meta["comment"] = comment
     if default is not None:
         meta["default"] = default
-    return T.StructField(name, T._parse_datatype_string(kind) if kind != "timestamp_ntz" else T.TimestampNTZType(),
-                         not required, meta)
+    return T.StructField(name, column_type(kind), not required, meta)
 
 
 def conform(df: DataFrame, target: T.StructType) -> DataFrame:
