@@ -16,6 +16,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import percent, rows_json
+from ..sources.reader import typed_rows
 from .lookup import valid_rows
 
 ROW_TYPES = ("NOT_NULL", "RANGE", "REGEX", "CUSTOM", "IN_SET", "DATE_RANGE", "INT_RANGE", "TEXT_LENGTH")
@@ -243,9 +244,8 @@ def check_with_samples(tables: Mapping[str, DataFrame], rules: Sequence[Rule], c
     """Results with error_details.  The counts (one row per rule) are read once, and only failing rules are sampled."""
     rules = select_rules(rules)
     result = check(tables, rules, check_date)
-    spark = result.sparkSession
-    counted = result.collect()
-    result = spark.createDataFrame(counted, result.schema)
+    counted = [row.asDict() for row in result.collect()]
+    result = typed_rows(result.sparkSession, counted, result.schema)
     failing = {row["rule_id"] for row in counted if row["failed_rows"] > 0}
     bad = [r for r in rules if r.rule_id in failing]
     if not bad or sample <= 0:

@@ -10,7 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .schemas import QUALITY_LOG, RUN_LOG
-from .sources.reader import values_relation
+from .sources.reader import typed_rows, values_relation
 
 # Fixed values.
 STEPS = ["INIT", "DEPENDENCY_CHECK", "PREPROCESS", "DATA_LOAD", "DATA_QUALITY", "STATISTICS", "COMPLETE"]
@@ -23,16 +23,14 @@ class RunLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         for name, schema in (("runs", RUN_LOG), ("quality", QUALITY_LOG)):
-            spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
+            typed_rows(spark, [], schema).write.mode("append").parquet(f"{path}/{name}")
 
     def add(self, **row: object) -> None:
-        values = tuple(row.get(f.name) for f in RUN_LOG.fields)
-        self.spark.createDataFrame([values], RUN_LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+        typed_rows(self.spark, [row], RUN_LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
 
     def add_faults(self, rows: Sequence[Mapping[str, object]]) -> None:
         if rows:
-            values = [tuple(r.get(f.name) for f in QUALITY_LOG.fields) for r in rows]
-            self.spark.createDataFrame(values, QUALITY_LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/quality")
+            typed_rows(self.spark, rows, QUALITY_LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/quality")
 
     def runs(self) -> DataFrame:
         return self.spark.read.schema(RUN_LOG).parquet(f"{self.path}/runs")

@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..schemas import WATERMARK
+from ..sources.reader import typed_rows
 
 # Fixed value: where a load without state starts.
 START = datetime(1900, 1, 1)
@@ -29,7 +30,7 @@ class WatermarkStore:
 
     def log(self) -> DataFrame:
         if not self._exists():
-            return self.spark.createDataFrame([], WATERMARK)
+            return typed_rows(self.spark, [], WATERMARK)
         return self.spark.read.schema(WATERMARK).parquet(self.path)
 
     def current(self) -> DataFrame:
@@ -43,8 +44,9 @@ class WatermarkStore:
 
     def save(self, source: str, target: str, watermark: datetime, rows: int, load_seq: int,
              load_ts: datetime | None = None) -> None:
-        state = [(source, target, watermark, load_ts or datetime.now(), rows, load_seq)]
-        self.spark.createDataFrame(state, WATERMARK).coalesce(1).write.mode("append").parquet(self.path)
+        state = {"source_table": source, "target_table": target, "last_watermark": watermark,
+                 "last_load_time": load_ts or datetime.now(), "row_count": rows, "load_seq": load_seq}
+        typed_rows(self.spark, [state], WATERMARK).coalesce(1).write.mode("append").parquet(self.path)
 
     def reset(self, source: str, target: str) -> None:
         """Start again from 1900-01-01; the next load appends everything once more."""
@@ -79,8 +81,8 @@ def incremental_load(src: DataFrame, source: str, target_path: str, column: str,
     rows = incremental_window(src, column, last, current)
     if columns:
         rows = rows.select(*columns)
-    part = f"{target_path}/load_seq={seq + 1}"
-    rows.write.mode("overwrite").parquet(part)
-    loaded = src.sparkSession.read.parquet(part).count()
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{target_path}/load_seq={seq + 1}")
+    loaded = seen.get["rows"]
     store.save(source, target_path, current, loaded, seq + 1, load_ts)
     return loaded

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, SourceKeyError, first_load, scd2_merge, source_key_faults
 
@@ -52,19 +52,26 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count rows while they are written, so that no second pass is needed."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def append(df: DataFrame, table: str) -> LoadReport:
-    before = df.sparkSession.table(table).count()
-    _in_order(df, table).write.mode("append").insertInto(table)
+    rows, seen = _counted(df)
+    _in_order(rows, table).write.mode("append").insertInto(table)
     df.sparkSession.catalog.refreshTable(table)
-    return LoadReport(inserted=df.sparkSession.table(table).count() - before)
+    return LoadReport(inserted=seen.get["rows"])
 
 
 def overwrite(df: DataFrame, table: str) -> LoadReport:
     """Strategy FULL: all old rows go."""
     spark = df.sparkSession
     deleted = spark.table(table).count()
-    _swap_in(df, table)
-    return LoadReport(inserted=spark.table(table).count(), deleted=deleted)
+    rows, seen = _counted(df)
+    _swap_in(rows, table)
+    return LoadReport(inserted=seen.get["rows"], deleted=deleted)
 
 
 def _stage(df: DataFrame, table: str) -> str:
@@ -80,13 +87,14 @@ def replace_day(df: DataFrame, table: str, day: date, column: str = "stat_date")
     old = spark.table(table).filter(F.col(column) == F.lit(day))
     deleted = old.count()
     view = f"incoming_{uuid.uuid4().hex[:8]}"
-    df.createOrReplaceTempView(view)
+    rows, seen = _counted(df)
+    rows.createOrReplaceTempView(view)
     columns = [c for c in spark.table(table).columns if c != column]
     spark.sql(
         f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION (`{column}` = DATE '{day:%Y-%m-%d}') "
         f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {view}")
     spark.catalog.dropTempView(view)
-    return LoadReport(inserted=spark.table(table).filter(F.col(column) == F.lit(day)).count(), deleted=deleted)
+    return LoadReport(inserted=seen.get["rows"], deleted=deleted)
 
 
 def replace_days(df: DataFrame, table: str, days: Iterable[date], column: str = "stat_date") -> LoadReport:
@@ -95,17 +103,19 @@ def replace_days(df: DataFrame, table: str, days: Iterable[date], column: str =
     wanted = sorted(set(days))
     touched = F.col(column).isin(wanted)
     deleted = spark.table(table).filter(touched).count()
-    staged = _stage(df, table)
-    _insert_overwrite(spark.table(staged), table, "dynamic")
-    filled = {r[0] for r in spark.table(staged).select(column).distinct().collect()}  # at most one row per listed day
-    stray = filled - set(wanted)
+    rows, seen = _counted(df)
+    staged = _stage(rows, table)
+    stray = spark.table(staged).filter(~touched | F.col(column).isNull()).limit(1).count()
     if stray:
-        raise ValueError(f"rows of days that were not listed: {sorted(map(str, stray))}")
+        spark.sql(f"DROP TABLE {_quoted(staged)}")
+        raise ValueError("the rows hold days that were not listed")
+    filled = {r[0] for r in spark.table(staged).select(column).distinct().collect()}  # at most one row per listed day
+    _insert_overwrite(spark.table(staged), table, "dynamic")
     for day in wanted:
         if day not in filled:
             spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{column}` = DATE '{day:%Y-%m-%d}')")
     spark.sql(f"DROP TABLE {_quoted(staged)}")
-    return LoadReport(inserted=spark.table(table).filter(touched).count(), deleted=deleted)
+    return LoadReport(inserted=seen.get["rows"], deleted=deleted)
 
 
 def _swap_in(state: DataFrame, table: str, mode: str = "static") -> None:
@@ -130,8 +140,11 @@ def _insert_overwrite(df: DataFrame, table: str, mode: str) -> None:
 
 def upsert_state(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows without a partner in the source, then all source rows."""
-    return target.join(src.select(*keys), list(keys), "left_anti").select(*target.columns).unionByName(
-        src.select(*target.columns))
+    return _untouched(target, src, keys).unionByName(src.select(*target.columns))
+
+
+def _untouched(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return target.join(src.select(*keys), list(keys), "left_anti").select(*target.columns)
 
 
 def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
@@ -147,10 +160,11 @@ def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
     partial = bool(parts) and set(parts) <= set(keys)
     if partial:
         target = target.join(src.select(*parts).distinct(), parts, "left_semi")
-    _swap_in(upsert_state(target, src, keys), table, "dynamic" if partial else "static")
-    grown = spark.table(table).count() - before
-    incoming = src.count()
-    return LoadReport(inserted=grown, updated=incoming - grown)
+    incoming, seen = _counted(src)
+    state = _untouched(target, src, keys).unionByName(incoming.select(*target.columns))
+    _swap_in(state, table, "dynamic" if partial else "static")
+    grown = spark.table(table).count() - before  # both counts come from file footers
+    return LoadReport(inserted=grown, updated=seen.get["rows"] - grown)
 
 
 def merge_history(src: DataFrame, table: str, keys: Sequence[str], compare: Sequence[str], effective_date: date, *,

@@ -1,4 +1,4 @@
-from .reader import read_source, values_relation, view_source
+from .reader import read_source, typed_rows, values_relation, view_source
 from .retail import Retail
 
-__all__ = ["Retail", "read_source", "values_relation", "view_source"]
+__all__ = ["Retail", "read_source", "typed_rows", "values_relation", "view_source"]

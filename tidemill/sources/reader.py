@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_source(spark: SparkSession, kind: str, location: str, *, alias: str | None = None,
@@ -51,3 +51,14 @@ def values_relation(spark: SparkSession, columns: Sequence[str], rows: Sequence[
     body = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
     names = ", ".join(f"`{c}`" for c in columns)
     return spark.sql(f"SELECT * FROM VALUES {body} AS inline_rows({names})")
+
+
+def typed_rows(spark: SparkSession, rows: Sequence[Mapping[str, object]], schema: T.StructType) -> DataFrame:
+    """A few typed rows (log and state rows) made of literals in the JVM; missing fields are NULL."""
+    packed = [
+        F.struct(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]) for row in rows
+    ]
+    one = spark.range(1)
+    if not packed:
+        return one.limit(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return one.select(F.explode(F.array(*packed)).alias("r")).select("r.*")
