@@ -109,6 +109,7 @@ def build(mapping: Mapping, sources: Sources, batch_date: date | None = None, *,
 
     first = [f for f in mapping.fields if is_first(f)]
     later = [f for f in mapping.fields if not is_first(f)]
+    layers = _layers(later, {f.name for f in first}, names)
     columns = [F.expr(_sql(f.expression, batch_date)).alias(f"f_{f.name}") for f in first]
     if mapping.group_by or any(f.kind == "AGGREGATE" for f in first):
         groups = [F.expr(_sql(g, batch_date)) for g in mapping.group_by]
@@ -120,7 +121,7 @@ def build(mapping: Mapping, sources: Sources, batch_date: date | None = None, *,
     else:
         df = df.select(*columns).select(*[F.col(f"f_{f.name}").alias(f.name) for f in first])
 
-    for layer in _layers(later, {f.name for f in first}, names):
+    for layer in layers:
         added = [
             (_system_value(f.expression, batch_date, load_ts) if f.kind == "SYSTEM"
              else F.expr(_sql(f.expression, batch_date))).alias(f.name)
