@@ -199,7 +199,7 @@ def copy_reconcile(spark, sf_dir):
     """Copy line items in key order, then compare source and target."""
     lines = Retail(spark, sf_dir).raw("lineitem")
     target = work_path(spark, "copy")
-    copying.copy_table(lines, target, "l_orderkey", batch_size=20_000, truncate=True)
+    copying.copy_table(lines, target, "l_orderkey", truncate=True, rows_per_file=20_000)
     return chunks.reconcile({"Source": lines, "Target": spark.read.parquet(target)}, "l_orderkey")
 
 

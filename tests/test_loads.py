@@ -163,8 +163,10 @@ def test_key_ranges(spark):
 
 def test_copy_in_key_order(spark, tmp_path):
     src = chunks.generated_rows(spark, 100_000)
-    report = copying.copy_table(src, f"{tmp_path}/copy", batch_size=20_000, truncate=True)
-    assert (report.rows, report.files) == (100_000, 5) or report.files >= 5
+    report = copying.copy_table(src, f"{tmp_path}/copy", batch_size=30_000, truncate=True, rows_per_file=20_000)
+    assert (report.rows, report.batches) == (100_000, 4) and report.rows_per_second > 0
+    files = spark.read.parquet(f"{tmp_path}/copy").groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 5 and max(f["count"] for f in files) <= 20_000
     both = chunks.reconcile({"Source": src, "Target": spark.read.parquet(f"{tmp_path}/copy")}, "id").collect()
     assert tuple(both[0])[1:] == tuple(both[1])[1:] == (100_000, 1, 100_000)
     assert rows(src.exceptAll(spark.read.parquet(f"{tmp_path}/copy"))) == []
@@ -190,3 +192,31 @@ def test_copy_key(spark):
     assert chunks.copy_key(spark.sql("SELECT 'a' AS s, 1L AS n")) == "n"
     with pytest.raises(ValueError):
         chunks.copy_key(spark.sql("SELECT 'a' AS s"))
+
+
+def test_granularity_and_distribution(spark):
+    df = spark.sql("SELECT id, date_add(DATE'2024-01-31', CAST(id AS INT)) AS d FROM range(40)")
+    got = df.select(*[sinks.partition_day("d", g) for g in ("DAY", "MONTH", "YEAR")]).distinct()
+    assert got.agg(F.count("*")).first()[0] == 40
+    assert df.select(sinks.partition_day("d", "MONTH").alias("m")).distinct().count() == 3
+    for kind in ("HASH", "ROUNDROBIN", "REPLICATION"):
+        assert sinks.distribute(df, kind, ["id"]).count() == 40
+    with pytest.raises(ValueError):
+        sinks.distribute(df, "CIRCLE")
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, database):
+    """A day with nearly all rows: the write splits it by size instead of giving it to one task."""
+    name = f"{database}.hot"
+    sinks.create_target(spark, name, SCHEMA, partition_by=["stat_date"])
+    rows_ = spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"),
+                                        F.when(F.col("id") % 100 == 0, F.lit(D[0])).otherwise(F.lit(D[1])).alias("stat_date"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        sinks.append(rows_, name)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {r[0]: r[1] for r in spark.table(name).select("stat_date", F.input_file_name().alias("f")).distinct()
+             .groupBy("stat_date").count().collect()}
+    assert files[D[1]] > 3 and files[D[0]] < files[D[1]]
+    assert spark.table(name).count() == 400_000

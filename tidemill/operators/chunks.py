@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from ..session import cut_lineage
 
-BATCH_SIZE = 50_000
-RANGES = 4
+BATCH_SIZE = 50_000  # fixed value: rows per reported batch
+RANGES = 4  # fixed value: key ranges of a range copy
+KEYS_PER_TASK = 5_000_000
+ROWS_PER_FILE = 5_000_000
 
 
 def copy_key(df: DataFrame, key: str | None = None) -> str:
@@ -34,9 +36,10 @@ def chunk_report(df: DataFrame, key: str, batch_size: int = BATCH_SIZE, partitio
     row from then on.  The keys are range-partitioned and kept by a checkpoint (range
     bounds are sampled, so they must not be drawn again), each partition numbers its own
     keys, and the offset between partitions is a running sum over one row per partition.
+    The number of partitions follows the row count, so a task never orders more than a
+    few million keys.
     """
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or max(8, -(-row_count(df) // KEYS_PER_TASK))
     per_key = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     ranged = cut_lineage(
         per_key.repartitionByRange(parts, "k").withColumn("part", F.spark_partition_id()))
@@ -92,13 +95,13 @@ def range_filters(df: DataFrame, key: str, ranges: int = RANGES) -> list[DataFra
             for c in key_ranges(df, key, ranges).orderBy("range_no").collect()]
 
 
-def ordered_layout(df: DataFrame, key: str, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Rows range-partitioned by key, about `batch_size` per partition and sorted inside.
+def ordered_layout(df: DataFrame, key: str, rows_per_part: int = ROWS_PER_FILE) -> DataFrame:
+    """Rows range-partitioned by key, about `rows_per_part` per partition and sorted inside.
 
     A hash of the row is the second range column: rows of one very frequent key spread
     over several partitions.
     """
-    parts = max(1, -(-row_count(df) // batch_size))
+    parts = max(1, -(-row_count(df) // rows_per_part))
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     return df.repartitionByRange(parts, F.col(key), spread).sortWithinPartitions(key)
 

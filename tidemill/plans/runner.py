@@ -66,12 +66,6 @@ def run_mapping(spark: SparkSession, mapping: Mapping, sources: Sources, batch_d
         days = [] if full else _touched_days(mapping, sources, batch_date, load_ts)
         rows = (build(mapping, sources, batch_date, full=True, load_ts=load_ts, ordered=False) if full
                 else _whole_days(mapping, sources, days, load_ts))
-        if mapping.distribution_key:
-            rows = rows.repartition(*[F.col(c) for c in mapping.distribution_key])
-        if mapping.order_by:
-            rows = rows.sortWithinPartitions(*[
-                F.col(e.split(".")[-1]).desc() if d.upper() == "DESC" else F.col(e.split(".")[-1])
-                for e, d in mapping.order_by])
         step.message = "whole table" if full else f"{len(days)} days"
 
     rules = [quality.rule_from_mapping(r, mapping.table, mapping.error_threshold) for r in mapping.rules]

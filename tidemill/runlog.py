@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .schemas import QUALITY_LOG, RUN_LOG
 from .sources.reader import typed_rows, values_relation
@@ -18,25 +18,29 @@ THRESHOLDS = {"row_count": (1, None), "duration_seconds": (None, 3600), "error_r
 
 
 class RunLog:
-    """Append-only Parquet logs below one folder.  A failed run's rows stay."""
+    """Append-only Parquet logs below one folder, partitioned by batch date.  A failed run's rows stay."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         for name, schema in (("runs", RUN_LOG), ("quality", QUALITY_LOG)):
-            typed_rows(spark, [], schema).write.mode("append").parquet(f"{path}/{name}")
+            typed_rows(spark, [], schema).write.mode("append").partitionBy("batch_date").parquet(f"{path}/{name}")
 
     def add(self, **row: object) -> None:
-        typed_rows(self.spark, [row], RUN_LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+        self._append("runs", [row], RUN_LOG)
 
     def add_faults(self, rows: Sequence[Mapping[str, object]]) -> None:
         if rows:
-            typed_rows(self.spark, rows, QUALITY_LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/quality")
+            self._append("quality", rows, QUALITY_LOG)
+
+    def _append(self, name: str, rows: Sequence[Mapping[str, object]], schema: T.StructType) -> None:
+        typed_rows(self.spark, rows, schema).coalesce(1).write.mode("append").partitionBy("batch_date").parquet(
+            f"{self.path}/{name}")
 
     def runs(self) -> DataFrame:
-        return self.spark.read.schema(RUN_LOG).parquet(f"{self.path}/runs")
+        return self.spark.read.schema(RUN_LOG).parquet(f"{self.path}/runs").select(*RUN_LOG.fieldNames())
 
     def faults(self) -> DataFrame:
-        return self.spark.read.schema(QUALITY_LOG).parquet(f"{self.path}/quality")
+        return self.spark.read.schema(QUALITY_LOG).parquet(f"{self.path}/quality").select(*QUALITY_LOG.fieldNames())
 
 
 @dataclass

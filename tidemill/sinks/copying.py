@@ -7,13 +7,14 @@ from time import monotonic
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.chunks import BATCH_SIZE, RANGES, copy_key, key_ranges, ordered_layout
+from ..operators.chunks import BATCH_SIZE, RANGES, ROWS_PER_FILE, copy_key, key_ranges, ordered_layout
+from .observed import RowCounter
 
 
 @dataclass(frozen=True)
 class CopyReport:
     rows: int
-    files: int
+    batches: int
     seconds: float
 
     @property
@@ -22,15 +23,19 @@ class CopyReport:
 
 
 def copy_table(src: DataFrame, target: str, key: str | None = None, batch_size: int = BATCH_SIZE,
-               truncate: bool = False) -> CopyReport:
-    """One distributed write in key order, at most `batch_size` rows per file."""
+               truncate: bool = False, rows_per_file: int = ROWS_PER_FILE) -> CopyReport:
+    """One distributed write in key order.
+
+    Batches only count progress (`chunk_report` lists them).  Files are larger than a
+    batch, because a file per 50,000 rows would leave millions of small files.
+    """
     start = monotonic()
-    laid_out = ordered_layout(src, copy_key(src, key), batch_size)
+    seen = RowCounter()
+    laid_out = seen.watch(ordered_layout(src, copy_key(src, key), rows_per_file))
     mode = "overwrite" if truncate else "append"
-    laid_out.write.mode(mode).option("maxRecordsPerFile", batch_size).parquet(target)
-    written = src.sparkSession.read.parquet(target).groupBy(F.input_file_name().alias("file")).count()
-    total = written.agg(F.sum("count"), F.count(F.lit(1))).first()
-    return CopyReport(total[0] or 0, total[1], monotonic() - start)
+    laid_out.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(target)
+    rows = seen.rows
+    return CopyReport(rows, -(-rows // batch_size), monotonic() - start)
 
 
 def range_copy(src: DataFrame, target: str, key: str, ranges: int = RANGES) -> None:

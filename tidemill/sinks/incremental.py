@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import WATERMARK
 from ..sources.reader import typed_rows
+from .observed import RowCounter
 
 # Fixed value: where a load without state starts.
 START = datetime(1900, 1, 1)
@@ -81,8 +82,8 @@ def incremental_load(src: DataFrame, source: str, target_path: str, column: str,
     rows = incremental_window(src, column, last, current)
     if columns:
         rows = rows.select(*columns)
-    seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{target_path}/load_seq={seq + 1}")
-    loaded = seen.get["rows"]
+    seen = RowCounter()
+    seen.watch(rows).write.mode("overwrite").parquet(f"{target_path}/load_seq={seq + 1}")
+    loaded = seen.rows
     store.save(source, target_path, current, loaded, seq + 1, load_ts)
     return loaded

@@ -11,9 +11,10 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, SourceKeyError, first_load, scd2_merge, source_key_faults
+from .observed import RowCounter
 
 
 @dataclass(frozen=True)
@@ -45,33 +46,33 @@ def create_target(spark: SparkSession, table: str, schema: T.StructType, *, part
 
 
 def _in_order(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in df.sparkSession.table(table).columns])
+    """Columns in table order; rows of a partitioned table gathered by partition, so that a
+    task does not open a file in every partition.  AQE splits what is too large for one task."""
+    out = df.select(*[F.col(f"`{c}`") for c in df.sparkSession.table(table).columns])
+    parts = _partition_columns(df.sparkSession, table)
+    return out.hint("rebalance", *[F.col(c) for c in parts]) if parts else out
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written, so that no second pass is needed."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def append(df: DataFrame, table: str) -> LoadReport:
-    rows, seen = _counted(df)
+    seen = RowCounter()
+    rows = seen.watch(df)
     _in_order(rows, table).write.mode("append").insertInto(table)
     df.sparkSession.catalog.refreshTable(table)
-    return LoadReport(inserted=seen.get["rows"])
+    return LoadReport(inserted=seen.rows)
 
 
 def overwrite(df: DataFrame, table: str) -> LoadReport:
     """Strategy FULL: all old rows go."""
     spark = df.sparkSession
     deleted = spark.table(table).count()
-    rows, seen = _counted(df)
+    seen = RowCounter()
+    rows = seen.watch(df)
     _swap_in(rows, table)
-    return LoadReport(inserted=seen.get["rows"], deleted=deleted)
+    return LoadReport(inserted=seen.rows, deleted=deleted)
 
 
 def _stage(df: DataFrame, table: str) -> str:
@@ -87,14 +88,15 @@ def replace_day(df: DataFrame, table: str, day: date, column: str = "stat_date")
     old = spark.table(table).filter(F.col(column) == F.lit(day))
     deleted = old.count()
     view = f"incoming_{uuid.uuid4().hex[:8]}"
-    rows, seen = _counted(df)
+    seen = RowCounter()
+    rows = seen.watch(df)
     rows.createOrReplaceTempView(view)
     columns = [c for c in spark.table(table).columns if c != column]
     spark.sql(
         f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION (`{column}` = DATE '{day:%Y-%m-%d}') "
-        f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {view}")
+        f"SELECT /*+ REBALANCE */ {', '.join(f'`{c}`' for c in columns)} FROM {view}")
     spark.catalog.dropTempView(view)
-    return LoadReport(inserted=seen.get["rows"], deleted=deleted)
+    return LoadReport(inserted=seen.rows, deleted=deleted)
 
 
 def replace_days(df: DataFrame, table: str, days: Iterable[date], column: str = "stat_date") -> LoadReport:
@@ -103,7 +105,8 @@ def replace_days(df: DataFrame, table: str, days: Iterable[date], column: str =
     wanted = sorted(set(days))
     touched = F.col(column).isin(wanted)
     deleted = spark.table(table).filter(touched).count()
-    rows, seen = _counted(df)
+    seen = RowCounter()
+    rows = seen.watch(df)
     staged = _stage(rows, table)
     stray = spark.table(staged).filter(~touched | F.col(column).isNull()).limit(1).count()
     if stray:
@@ -115,7 +118,7 @@ def replace_days(df: DataFrame, table: str, days: Iterable[date], column: str =
         if day not in filled:
             spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{column}` = DATE '{day:%Y-%m-%d}')")
     spark.sql(f"DROP TABLE {_quoted(staged)}")
-    return LoadReport(inserted=seen.get["rows"], deleted=deleted)
+    return LoadReport(inserted=seen.rows, deleted=deleted)
 
 
 def _swap_in(state: DataFrame, table: str, mode: str = "static") -> None:
@@ -160,11 +163,12 @@ def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
     partial = bool(parts) and set(parts) <= set(keys)
     if partial:
         target = target.join(src.select(*parts).distinct(), parts, "left_semi")
-    incoming, seen = _counted(src)
+    seen = RowCounter()
+    incoming = seen.watch(src)
     state = _untouched(target, src, keys).unionByName(incoming.select(*target.columns))
     _swap_in(state, table, "dynamic" if partial else "static")
     grown = spark.table(table).count() - before  # both counts come from file footers
-    return LoadReport(inserted=grown, updated=seen.get["rows"] - grown)
+    return LoadReport(inserted=grown, updated=seen.rows - grown)
 
 
 def merge_history(src: DataFrame, table: str, keys: Sequence[str], compare: Sequence[str], effective_date: date, *,
@@ -223,6 +227,28 @@ def drop_old_partitions(spark: SparkSession, table: str, batch_date: date, reten
     return sorted(dropped)
 
 
+# Fixed names of the partition granularities and the date unit they truncate to.
+GRANULARITIES = {"DAY": "day", "MONTH": "month", "YEAR": "year"}
+
+
+def partition_day(column: str, granularity: str = "DAY") -> Column:
+    """First day of the column's partition."""
+    return F.date_trunc(GRANULARITIES[granularity.upper()], F.col(column)).cast("date")
+
+
+def distribute(df: DataFrame, kind: str, keys: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """HASH spreads by key and ROUNDROBIN evenly; REPLICATION leaves a small table to the size-checked broadcast."""
+    kind = kind.upper()
+    if kind == "HASH":
+        # AQE splits the partition of a hot key and merges small ones
+        return df.hint("rebalance", *([partitions] if partitions else []), *[F.col(k) for k in keys])
+    if kind == "ROUNDROBIN":
+        return df.repartition(partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if kind == "REPLICATION":
+        return df
+    raise ValueError(f"unknown distribution type {kind!r}")
+
+
 def refresh_statistics(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> None:
     spark.sql(f"ANALYZE TABLE {_quoted(table)} COMPUTE STATISTICS")
     if columns:
