@@ -247,8 +247,9 @@ QUERIES = {
                      ('STATISTICS', 'SUCCESS', false), ('COMPLETE', 'SUCCESS', true)) s(step, status, counted)
         CROSS JOIN (VALUES (1), (2)) runs(n)"""),
     "flow_quality_log": (flow_quality_log, f"""
-        SELECT 'R003' AS rule_id, 'dws_trade_orders_summary_day' AS table_name, {_LATE_BAD} AS error_count
-        FROM (VALUES (1), (2)) runs(n)"""),
+        SELECT rule_id, table_name, error_count FROM (
+            SELECT 'R003' AS rule_id, 'dws_trade_orders_summary_day' AS table_name, {_LATE_BAD} AS error_count
+            FROM (VALUES (1), (2)) runs(n)) t WHERE error_count > 0"""),
     "missing_upstreams": (missing_upstream_jobs, """
         WITH runs AS (SELECT event_type AS proc_name, CAST(ts AS DATE) AS batch_date,
                              CASE WHEN value < 20 THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM events
