@@ -101,6 +101,15 @@ def scd2_source_faults(spark, sf_dir):
     return source_key_faults(lines, ["l_orderkey", "l_linenumber"])
 
 
+def scd2_delta(spark, sf_dir):
+    """The same history when the second snapshot is sent as a delta of changed rows only."""
+    one, two, _ = _snapshots(spark, sf_dir)
+    dim = first_load(one, KEYS, COMPARE, DAYS[0], load_ts=TS)
+    changes = two.join(one, [*KEYS, "c_name", "c_nationkey"], "left_anti").unionByName(
+        two.filter((F.col("c_custkey") % 10 == 0) | (F.col("c_custkey") % 15 == 0))).dropDuplicates(KEYS)
+    return scd2_merge(dim, changes, KEYS, COMPARE, DAYS[1], load_ts=TS, delta=True).drop("created_at", "last_updated")
+
+
 def update_from_source(spark, sf_dir):
     """Customers take the largest order of their history as new balance."""
     r = Retail(spark, sf_dir)
@@ -112,6 +121,8 @@ def update_from_source(spark, sf_dir):
 QUERIES = {
     "scd2_merge": (scd2_merged, _HISTORY + """
         SELECT c_custkey, c_name, c_mktsegment, c_nationkey, effective_date, expiry_date, is_current FROM dim3"""),
+    "scd2_delta": (scd2_delta, _HISTORY + """
+        SELECT c_custkey, c_name, c_mktsegment, c_nationkey, effective_date, expiry_date, is_current FROM dim2"""),
     "scd2_versions": (scd2_versions, _HISTORY + """
         SELECT c_custkey, c_name, c_mktsegment, c_nationkey, effective_date AS eff_start_date, expiry_date AS eff_end_date,
                is_current, CAST(version_no AS INTEGER) AS version_no FROM dim3"""),

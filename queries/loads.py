@@ -123,7 +123,7 @@ def load_history(spark, sf_dir):
         T.StructField("is_current", T.BooleanType()), T.StructField("created_at", T.TimestampNTZType()),
         T.StructField("last_updated", T.TimestampNTZType()),
     ])
-    table = scratch_table(spark, "customers", schema, partition_by=())
+    table = scratch_table(spark, "customers", schema, partition_by=["expiry_date"])
     moved = customers.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, "MOVED").otherwise(F.col("c_mktsegment")))
     for day, rows in ((date(2024, 1, 1), customers), (date(2024, 2, 1), moved)):
         sinks.load(rows, table, "SCD2", keys=["c_custkey"], compare=["c_mktsegment"], day=day, load_ts=datetime(2024, 2, 1))

@@ -81,10 +81,13 @@ values = st.dictionaries(st.integers(0, 6), st.one_of(st.none(), st.sampled_from
 def test_against_brute_force(spark, snapshots):
     schema = "k int, v string"
     days = [date(2025, 1, i + 1) for i in range(len(snapshots))]
-    dim = first_load(spark.createDataFrame(list(snapshots[0].items()), schema), ["k"], ["v"], days[0])
+    dim = first_load(spark.createDataFrame(list(snapshots[0].items()), schema), ["k"], ["v"], days[0], load_ts=TS)
     expected = [(k, v, days[0], END, True) for k, v in snapshots[0].items()]
     for snap, day in zip(snapshots[1:], days[1:]):
-        dim = scd2_merge(dim, spark.createDataFrame(list(snap.items()), schema), ["k"], ["v"], day)
+        src = spark.createDataFrame(list(snap.items()), schema)
+        as_delta = scd2_merge(dim, src, ["k"], ["v"], day, load_ts=TS, delta=True)
+        dim = scd2_merge(dim, src, ["k"], ["v"], day, load_ts=TS)
+        assert rows(as_delta.drop("created_at")) == rows(dim.drop("created_at"))
         expected = brute_force(expected, list(snap.items()), day)
     got = [tuple(r) for r in dim.select("k", "v", "effective_date", "expiry_date", "is_current").collect()]
     assert sorted(got, key=str) == sorted(expected, key=str)
@@ -112,3 +115,28 @@ def test_update_from(spark):
     target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, n int")
     source = spark.createDataFrame([(2, None), (3, "z")], "k int, v string")
     assert rows(update_from(target, source, ["k"], ["v"])) == [(1, "a", 1), (2, None, 2)]
+
+
+def test_history_partitioned_by_expiry_rewrites_two_partitions(spark, database):
+    src = spark.createDataFrame(PEOPLE, SCHEMA)
+    table = f"{database}.dim_by_expiry"
+    sinks.create_target(spark, table, scd2_schema(src.schema, KEYS, COMPARE), partition_by=["expiry_date"])
+    days = [date(2025, 3, d) for d in (1, 5, 9)]
+    for day, city in zip(days, ("北京", "深圳", "广州")):
+        sinks.merge_history(moved(spark, city), table, KEYS, COMPARE, day, load_ts=TS)
+    stamp = {r[0]: r[1] for r in spark.table(table).select("expiry_date", F.col("_metadata.file_path")).distinct().collect()}
+    again = sinks.merge_history(moved(spark, "广州"), table, KEYS, COMPARE, days[2], load_ts=TS, delta=True)
+    assert (again.inserted, again.updated) == (0, 0)
+    after = {r[0]: r[1] for r in spark.table(table).select("expiry_date", F.col("_metadata.file_path")).distinct().collect()}
+    assert stamp[date(2025, 3, 4)] == after[date(2025, 3, 4)]  # older history kept its file
+    assert rows(spark.table(table).filter("customer_id = 1").select("address", "effective_date", "expiry_date", "is_current")) == sorted([
+        ("北京", days[0], date(2025, 3, 4), False), ("深圳", days[1], date(2025, 3, 8), False), ("广州", days[2], END, True)])
+    assert spark.table(table).count() == 4
+
+
+def test_small_delta_does_not_shuffle_the_dimension(spark, tmp_path):
+    first_load(spark.range(1000).select("id", F.lit("a").alias("v")), ["id"], ["v"], D1, load_ts=TS).write.parquet(f"{tmp_path}/dim")
+    spark.range(3).select("id", F.lit("b").alias("v")).write.parquet(f"{tmp_path}/delta")
+    dim, delta = spark.read.parquet(f"{tmp_path}/dim"), spark.read.parquet(f"{tmp_path}/delta")
+    plan = scd2_merge(dim, delta, ["id"], ["v"], D2, load_ts=TS, delta=True)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan

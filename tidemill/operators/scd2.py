@@ -60,14 +60,17 @@ def _any(tests: Sequence[Column]) -> Column:
 
 
 def scd2_merge(dim: DataFrame, src: DataFrame, keys: Sequence[str], compare: Sequence[str], effective_date: date, *,
-               load_ts: datetime | None = None, names: Scd2Columns = DEFAULT_COLUMNS) -> DataFrame:
+               load_ts: datetime | None = None, names: Scd2Columns = DEFAULT_COLUMNS, delta: bool = False) -> DataFrame:
     """The next state of the dimension.
 
-    History rows pass through without a shuffle.  Current rows meet the source in one
-    FULL OUTER join on the key, and each pair yields the closed or kept row and the new
-    row.  Keys missing from the source stay current.  A row that was opened on the same
-    effective date is replaced in place.  Source keys must be known and unique
-    (`source_key_faults`).
+    History rows pass through without a shuffle.  Current rows meet the source on the key,
+    and each pair yields the closed or kept row and the new row.  Keys missing from the
+    source stay current.  A row that was opened on the same effective date is replaced in
+    place.  Source keys must be known and unique (`source_key_faults`).
+
+    A source that is a whole snapshot meets the current rows in one FULL OUTER join.  With
+    `delta` the source holds changes only: the current rows LEFT join it, so the dimension
+    is not shuffled when Catalyst finds the changes small enough to broadcast.
     """
     schema = scd2_schema(dim.schema, keys, compare, names)
     columns = schema.fieldNames()
@@ -80,7 +83,12 @@ def scd2_merge(dim: DataFrame, src: DataFrame, keys: Sequence[str], compare: Seq
     fresh = src.select(F.struct(*keys, *compare).alias("new"))
 
     on = reduce(lambda a, b: a & b, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
-    pairs = open_rows.join(fresh, on, "full_outer")
+    if delta:
+        matched = open_rows.join(fresh, on, "left_semi")
+        unknown = fresh.join(matched, on, "left_anti")
+        pairs = open_rows.join(fresh, on, "left").unionByName(unknown, allowMissingColumns=True)
+    else:
+        pairs = open_rows.join(fresh, on, "full_outer")
 
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
     changed = has_old & has_new & _any([differs(F.col(f"old.{c}"), F.col(f"new.{c}")) for c in compare])

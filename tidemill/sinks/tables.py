@@ -13,7 +13,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, SourceKeyError, first_load, scd2_merge, source_key_faults
+from ..operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, SourceKeyError, scd2_merge, source_key_faults
 from .observed import RowCounter
 
 
@@ -172,23 +172,29 @@ def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
 
 
 def merge_history(src: DataFrame, table: str, keys: Sequence[str], compare: Sequence[str], effective_date: date, *,
-                  load_ts=None, names: Scd2Columns = DEFAULT_COLUMNS) -> LoadReport:
-    """Strategy SCD2 on a catalog table; refuses NULL and duplicate source keys."""
+                  load_ts=None, names: Scd2Columns = DEFAULT_COLUMNS, delta: bool = False) -> LoadReport:
+    """Strategy SCD2 on a catalog table; refuses NULL and duplicate source keys.
+
+    In a table partitioned by the expiry date all open rows share one partition, and the
+    rows a merge closes go to the partition of the day before.  Only these two partitions are read
+    and rewritten; older history is never touched.  Other tables are rewritten as a whole.
+    """
     spark = src.sparkSession
     faults = source_key_faults(src, keys).first()
     if faults["null_keys"] or faults["duplicate_keys"]:
         raise SourceKeyError(f"source keys: {faults['null_keys']} NULL, {faults['duplicate_keys']} duplicated")
     dim = spark.table(table)
+    by_expiry = _partition_columns(spark, table) == [names.expiry]
+    if by_expiry:
+        dim = dim.filter(F.col(names.expiry).isin(names.end_of_time, effective_date - timedelta(days=1)))
     before, open_before = dim.count(), dim.filter(F.col(names.current)).count()
-    if before == 0:
-        state = first_load(src, keys, compare, effective_date, load_ts=load_ts, names=names)
-    else:
-        state = scd2_merge(dim, src, keys, compare, effective_date, load_ts=load_ts, names=names)
-    _swap_in(state, table)
-    after = spark.table(table)
-    total, still_open = after.count(), after.filter(F.col(names.current)).count()
-    closed = (total - still_open) - (before - open_before)
-    return LoadReport(inserted=total - before, updated=closed)
+    state = scd2_merge(dim, src, keys, compare, effective_date, load_ts=load_ts, names=names, delta=delta)
+    staged = _stage(state, table)
+    counted = spark.table(staged).agg(F.count(F.lit(1)).alias("rows"), F.count_if(names.current).alias("open")).first()
+    _insert_overwrite(spark.table(staged), table, "dynamic" if by_expiry else "static")
+    spark.sql(f"DROP TABLE {_quoted(staged)}")
+    closed = (counted["rows"] - counted["open"]) - (before - open_before)
+    return LoadReport(inserted=counted["rows"] - before, updated=closed)
 
 
 def load(df: DataFrame, table: str, strategy: str, *, keys: Sequence[str] = (), day: date | None = None,
