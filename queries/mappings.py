@@ -106,12 +106,13 @@ def mapping_cross_join(spark, sf_dir):
 
 
 def mapping_window(spark, sf_dir):
-    """A WINDOW_FUNCTION field: the newest order of each customer has rank 1."""
+    """A WINDOW_FUNCTION field: the newest order of each customer and status."""
     doc = _document([("orders", "o", "PRIMARY")], [],
                     [("o_orderkey", "BIGINT", "DIRECT", "o.o_orderkey"), ("o_custkey", "BIGINT", "DIRECT", "o.o_custkey"),
                      ("newest", "BIGINT", "WINDOW_FUNCTION",
-                      "ROW_NUMBER() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate DESC, o.o_orderkey DESC)"),
-                     ("is_newest", "VARCHAR", "CASE", "CASE WHEN newest = 1 THEN 'Y' ELSE 'N' END")])
+                      "ROW_NUMBER() OVER (PARTITION BY o.o_custkey, o.o_orderstatus ORDER BY o.o_orderdate DESC, o.o_orderkey DESC)"),
+                     ("is_open", "VARCHAR", "CASE", "CASE WHEN o.o_orderstatus = 'O' THEN 'Y' ELSE 'N' END")],
+                    having=["newest = 1"])
     return build(doc, _raw(spark, sf_dir))
 
 
@@ -235,10 +236,10 @@ QUERIES = {
             SELECT o_orderpriority AS priority, count(*) AS orders, (SELECT count(*) FROM orders) AS all_orders
             FROM orders GROUP BY 1) t"""),
     "mapping_window": (mapping_window, """
-        SELECT o_orderkey, o_custkey, newest, CASE WHEN newest = 1 THEN 'Y' ELSE 'N' END AS is_newest FROM (
-            SELECT o_orderkey, o_custkey,
-                   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS newest
-            FROM orders) t"""),
+        SELECT o_orderkey, o_custkey, newest, is_open FROM (
+            SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'O' THEN 'Y' ELSE 'N' END AS is_open,
+                   row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC) AS newest
+            FROM orders) t WHERE newest = 1"""),
     "flow_target": (flow_target, ORDERS_LATE_SQL),
     "flow_run_log": (flow_run_log, f"""
         SELECT step, status, CASE WHEN counted THEN {_LATE_COUNT} END AS row_count

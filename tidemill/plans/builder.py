@@ -111,7 +111,8 @@ def build(mapping: Mapping, sources: Sources, batch_date: date | None = None, *,
     later = [f for f in mapping.fields if not is_first(f)]
     layers = _layers(later, {f.name for f in first}, names)
     columns = [F.expr(_sql(f.expression, batch_date)).alias(f"f_{f.name}") for f in first]
-    if mapping.group_by or any(f.kind == "AGGREGATE" for f in first):
+    grouped = bool(mapping.group_by) or any(f.kind == "AGGREGATE" for f in first)
+    if grouped:
         groups = [F.expr(_sql(g, batch_date)) for g in mapping.group_by]
         tests = [F.expr(_sql(h, batch_date)).alias(f"having_{i}") for i, h in enumerate(mapping.having)]
         df = df.groupBy(*groups).agg(*columns, *tests)
@@ -129,6 +130,10 @@ def build(mapping: Mapping, sources: Sources, batch_date: date | None = None, *,
         ]
         df = df.select("*", *added)
 
+    if not grouped:
+        # without groups the condition tests output fields, so a window field can keep its first row
+        for test in mapping.having:
+            df = df.filter(F.expr(_sql(test, batch_date)))
     df = conform(df, mapping.target_schema())
     if ordered and mapping.order_by:
         keys = []

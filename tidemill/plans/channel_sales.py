@@ -60,7 +60,12 @@ def inventory_means(inventory: DataFrame, batch_date: date | None = None) -> Dat
 
 
 def base_rows(tables: Mapping[str, DataFrame], batch_date: date | None = None) -> DataFrame:
-    """One row per order and product: orders LEFT refunds LEFT items LEFT stock."""
+    """One row per order and product: orders LEFT refunds LEFT items LEFT stock.
+
+    Every right side is aggregated to its key first.  An order id that holds a large share
+    of the item rows is down to one row per product before it is joined, and a product that
+    most orders hold is on the left side, where AQE splits its partition.
+    """
     orders = order_dedup(tables["orders"], batch_date).drop("etl_load_time")
     items = tables["items"]
     if batch_date is not None:
