@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F, types as T
 
+from tidemill.functions import stamp
 from tidemill.operators import chunks
 from tidemill.session import work_path
 from tidemill.sinks import copying, incremental, tables as sinks
@@ -160,7 +161,7 @@ def _two_loads(spark, sf_dir):
     """A first load of what had arrived by 15 January, then the rest, then a run that finds nothing."""
     events = _events(spark, sf_dir)
     target, store = work_path(spark, "target"), incremental.WatermarkStore(spark, work_path(spark, "watermark"))
-    early = events.filter(F.col("ts") <= F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz"))
+    early = events.filter(F.col("ts") <= stamp(datetime(2024, 1, 15)))
     for src in (early, events, events):
         incremental.incremental_load(src, "ods.events", target, "ts", store, load_ts=datetime(2025, 1, 1))
     return target, store

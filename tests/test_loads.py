@@ -220,3 +220,23 @@ def test_hot_partition_is_written_by_several_tasks(spark, database):
              .groupBy("stat_date").count().collect()}
     assert files[D[1]] > 3 and files[D[0]] < files[D[1]]
     assert spark.table(name).count() == 400_000
+
+
+def test_watermarks_keep_their_wall_clock_in_any_zone(spark, tmp_path, monkeypatch):
+    """The driver's zone and the session's zone must not shift bounds or state."""
+    import time
+    src = spark.sql("SELECT id, timestamp_ntz'2025-01-01 00:30:00' + make_interval(0,0,0,0,CAST(id AS INT)) AS ts FROM range(8)")
+    store, target = incremental.WatermarkStore(spark, f"{tmp_path}/state"), f"{tmp_path}/target"
+    before = spark.conf.get("spark.sql.session.timeZone")
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        assert incremental.incremental_load(src.filter("id < 3"), "s.t", target, "ts", store) == 3
+        assert store.get("s.t", target)[0] == datetime(2025, 1, 1, 2, 30)
+        assert incremental.incremental_load(src, "s.t", target, "ts", store) == 5
+        assert store.get("s.t", target)[0] == datetime(2025, 1, 1, 7, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        monkeypatch.undo()
+        time.tzset()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, functions as F
 
@@ -16,6 +16,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def stamp(value: datetime) -> Column:
+    """Zone-less timestamp literal.
+
+    Built from text: a Python datetime would pass through the driver's local zone and could
+    arrive shifted in a session of another zone.
+    """
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def surrogate_key(*parts: Column | str, sep: str = "_") -> Column:
     """MD5 of the parts joined by `sep`; NULL as soon as one part is NULL."""
     pieces: list[Column] = []

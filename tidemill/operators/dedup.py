@@ -7,6 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import stamp
+
 # NULL load times count as newest, as in the source dialect's DESC order.
 _NEWEST = datetime(9999, 12, 31, 23, 59, 59)
 
@@ -32,5 +34,5 @@ def latest_batch_total(df: DataFrame, keys: Sequence[str], batch: str, measure:
     before either shuffle, and no window has to sort them.
     """
     per_batch = df.groupBy(*keys, batch).agg(F.sum(measure).alias(measure))
-    age = F.coalesce(F.col(batch), F.lit(_NEWEST).cast("timestamp_ntz"))
+    age = F.coalesce(F.col(batch), stamp(_NEWEST))
     return per_batch.groupBy(*keys).agg(F.max_by(measure, age).alias(measure))

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import differs
+from ..functions import differs, stamp
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,7 @@ def scd2_merge(dim: DataFrame, src: DataFrame, keys: Sequence[str], compare: Seq
     """
     schema = scd2_schema(dim.schema, keys, compare, names)
     columns = schema.fieldNames()
-    now = F.lit(load_ts or datetime.now()).cast("timestamp_ntz")
+    now = stamp(load_ts or datetime.now())
     opened = F.lit(effective_date).cast("date")
 
     current = F.col(names.current) == F.lit(True)
@@ -128,7 +128,7 @@ def scd2_merge(dim: DataFrame, src: DataFrame, keys: Sequence[str], compare: Seq
 def first_load(src: DataFrame, keys: Sequence[str], compare: Sequence[str], effective_date: date, *,
                load_ts: datetime | None = None, names: Scd2Columns = DEFAULT_COLUMNS) -> DataFrame:
     """History of an empty dimension: every source row is a current row."""
-    now = F.lit(load_ts or datetime.now()).cast("timestamp_ntz")
+    now = stamp(load_ts or datetime.now())
     out = src.select(
         *keys, *compare, F.lit(effective_date).cast("date").alias(names.effective),
         F.lit(names.end_of_time).cast("date").alias(names.expiry), F.lit(True).alias(names.current))

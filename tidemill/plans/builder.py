@@ -8,6 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import stamp
 from ..operators import conform, fold_conditions
 from .mapping import Field, Mapping
 
@@ -33,7 +34,7 @@ def _source(sources: Sources, name: str) -> DataFrame:
 
 def _system_value(name: str, batch_date: date | None, load_ts: datetime | None) -> Column:
     if name.upper().startswith(("CURRENT_TIMESTAMP", "SYSDATE", "NOW")):
-        return F.lit(load_ts or datetime.now()).cast("timestamp_ntz")
+        return stamp(load_ts or datetime.now())
     if "BATCH_DATE" in name.upper():
         return F.lit(batch_date)
     return F.expr(name)

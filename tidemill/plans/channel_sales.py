@@ -11,7 +11,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import band, percent, ratio, surrogate_key
+from ..functions import band, percent, ratio, stamp, surrogate_key
 from ..operators import conform, latest_batch_total, latest_row, lookup, valid_rows
 from ..schemas import CHANNEL_SALES
 
@@ -162,7 +162,7 @@ def final_metrics(totals: DataFrame, key_parts: list[str], batch_date: date | No
         band("total_net_amount").alias("channel_value_level"),
         percent(c("promotion_order_count"), c("total_orders")).alias("promotion_order_rate"),
         (c("stat_date") if batch_date is None else F.lit(batch_date)).alias("etl_batch_date"),
-        F.lit(load_ts or datetime.now()).cast("timestamp_ntz").alias("etl_load_time"),
+        stamp(load_ts or datetime.now()).alias("etl_load_time"),
     )
 
 

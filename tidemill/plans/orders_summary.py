@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import band, day_window, ratio, surrogate_key
+from ..functions import band, day_window, ratio, stamp, surrogate_key
 from ..operators import conform, dimension_names, valid_rows
 from ..schemas import ORDERS_SUMMARY
 
@@ -51,7 +51,7 @@ def orders_summary(orders: DataFrame, dim_channel: DataFrame, batch_date: date |
         surrogate_key("stat_date", "channel_code").alias("summary_id"),
         F.round(ratio(F.col("total_amount"), F.col("total_orders")), 2).alias("avg_order_amount"),
         band("total_amount").alias("amount_level"),
-        F.lit(load_ts or datetime.now()).cast("timestamp_ntz").alias("etl_load_time"),
+        stamp(load_ts or datetime.now()).alias("etl_load_time"),
     )
     return conform(result, ORDERS_SUMMARY)
 

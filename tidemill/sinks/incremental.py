@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import stamp
 from ..schemas import WATERMARK
 from ..sources.reader import typed_rows
 from .observed import RowCounter
@@ -64,12 +65,12 @@ def latest_states(log: DataFrame) -> DataFrame:
 def incremental_window(src: DataFrame, column: str, last: datetime, current: datetime) -> DataFrame:
     """Rows in (last, current]; both bounds are literals that reach the scan."""
     value = F.col(column)
-    return src.filter((value > F.lit(last).cast("timestamp_ntz")) & (value <= F.lit(current).cast("timestamp_ntz")))
+    return src.filter((value > stamp(last)) & (value <= stamp(current)))
 
 
 def new_watermark(src: DataFrame, column: str, last: datetime) -> datetime | None:
     """MAX of the column above `last`, or None when nothing is new."""
-    return src.filter(F.col(column) > F.lit(last).cast("timestamp_ntz")).agg(F.max(column)).first()[0]
+    return src.filter(F.col(column) > stamp(last)).agg(F.max(column).cast("timestamp_ntz")).first()[0]
 
 
 def incremental_load(src: DataFrame, source: str, target_path: str, column: str, store: WatermarkStore, *,

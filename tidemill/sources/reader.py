@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -55,8 +55,12 @@ def values_relation(spark: SparkSession, columns: Sequence[str], rows: Sequence[
 
 def typed_rows(spark: SparkSession, rows: Sequence[Mapping[str, object]], schema: T.StructType) -> DataFrame:
     """A few typed rows (log and state rows) made of literals in the JVM; missing fields are NULL."""
+    def literal(value: object):
+        # as text, a datetime keeps its wall clock whatever the driver's zone is
+        return F.lit(value.isoformat(sep=" ") if isinstance(value, datetime) else value)
+
     packed = [
-        F.struct(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]) for row in rows
+        F.struct(*[literal(row.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]) for row in rows
     ]
     one = spark.range(1)
     if not packed:
