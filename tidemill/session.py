@@ -29,6 +29,9 @@ def local_session(cpus: int | str = "*", *, app: str = "tidemill", shuffle_parti
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the session's checkpoint folder.
 
@@ -40,9 +43,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="tidemill-")
+    return _local_folders[application]
 
 
 def work_path(spark: SparkSession, purpose: str) -> str:
