@@ -23,7 +23,7 @@ class RunLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         for name, schema in (("runs", RUN_LOG), ("quality", QUALITY_LOG)):
-            typed_rows(spark, [], schema).write.mode("append").partitionBy("batch_date").parquet(f"{path}/{name}")
+            typed_rows(spark, [], schema).write.mode("ignore").partitionBy("batch_date").parquet(f"{path}/{name}")
 
     def add(self, **row: object) -> None:
         self._append("runs", [row], RUN_LOG)

@@ -25,14 +25,9 @@ class WatermarkStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-
-    def _exists(self) -> bool:
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
+        typed_rows(spark, [], WATERMARK).write.mode("ignore").parquet(path)
 
     def log(self) -> DataFrame:
-        if not self._exists():
-            return typed_rows(self.spark, [], WATERMARK)
         return self.spark.read.schema(WATERMARK).parquet(self.path)
 
     def current(self) -> DataFrame:
