@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.decontamination import contaminated
+from tidemill.llm.mixing import mix_report
 from tidemill.llm.simhash_dedup import simhash_groups
 from tidemill.llm.toxicity import score_toxicity
 
@@ -25,8 +26,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_decontamination": (op10_decontamination, None),
+    "op8_mixing": (op8_mixing, None),
 }
