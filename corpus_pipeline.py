@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.common import materialize
+from tidemill.llm.decontamination import drop_contaminated
+from tidemill.llm.mixing import mixed_documents
 from tidemill.llm.simhash_dedup import keep_one
+from tidemill.llm.tokens import token_report
+from tidemill.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.5 or more go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +22,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one(docs)
 
 
-STAGES = [("simhash near-dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are brought to their target weights: a row for each taken part of a document and each pass."""
+    return mixed_documents(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards with their index in the shared folder; the rows are read back from them: doc_id, start, n_tokens, ids_crc32."""
+    return token_report(docs)
+
+
+STAGES = [("toxicity", toxicity), ("simhash near-dedup", near_dedup), ("benchmark decontamination", decontamination),
+          ("mixing to target weights", mixing), ("token-id output", token_output)]
+#: The stages cannot be written in SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
