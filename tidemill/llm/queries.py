@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.decontamination import contaminated
 from tidemill.llm.mixing import mix_report
+from tidemill.llm.secrets import find_secrets
 from tidemill.llm.simhash_dedup import simhash_groups
 from tidemill.llm.tokens import token_report
 from tidemill.llm.toxicity import score_toxicity
@@ -35,10 +36,15 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(table(spark, sf_dir, "documents"))
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_decontamination": (op10_decontamination, None),
     "op8_mixing": (op8_mixing, None),
     "op2_token_output": (op2_token_output, None),
+    "op1_secrets": (op1_secrets, None),
 }
