@@ -10,6 +10,7 @@ from tidemill.llm.secrets import find_secrets
 from tidemill.llm.simhash_dedup import simhash_groups
 from tidemill.llm.tokens import token_report
 from tidemill.llm.toxicity import score_toxicity
+from tidemill.llm.warc import page_records
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
@@ -47,4 +52,5 @@ QUERIES = {
     "op8_mixing": (op8_mixing, None),
     "op2_token_output": (op2_token_output, None),
     "op1_secrets": (op1_secrets, None),
+    "op7_warc": (op7_warc, None),
 }
