@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.decontamination import contaminated
 from tidemill.llm.mixing import mix_report
+from tidemill.llm.quality import QUALITY_SQL, quality_rules
 from tidemill.llm.secrets import find_secrets
 from tidemill.llm.simhash_dedup import simhash_groups
 from tidemill.llm.tokens import token_report
@@ -45,6 +46,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(table(spark, sf_dir, "pages"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
@@ -53,4 +58,5 @@ QUERIES = {
     "op2_token_output": (op2_token_output, None),
     "op1_secrets": (op1_secrets, None),
     "op7_warc": (op7_warc, None),
+    "op6_quality": (op6_quality, QUALITY_SQL),
 }
