@@ -21,7 +21,7 @@ LEAST_ROWS = 100
 #: Fences lie this many times the distance from the median to the 10th or 90th percentile beyond those, plus the slack.
 REACH = 3
 #: measure -> (slack, whether low values fail too)
-MEASURES = {"word_length": (100, True), "symbols": (60, False), "dup_lines": (150, False), "repeats": (100, False)}
+MEASURES = {"word_length": (100, True), "symbols": (60, False), "dup_lines": (400, False), "repeats": (100, False)}
 
 
 def measured(docs: DataFrame) -> DataFrame:
