@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.decontamination import contaminated
+from tidemill.llm.language import identify_languages
 from tidemill.llm.mixing import mix_report
 from tidemill.llm.quality import QUALITY_SQL, quality_rules
 from tidemill.llm.secrets import find_secrets
@@ -50,6 +51,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
@@ -59,4 +64,5 @@ QUERIES = {
     "op1_secrets": (op1_secrets, None),
     "op7_warc": (op7_warc, None),
     "op6_quality": (op6_quality, QUALITY_SQL),
+    "op5_language": (op5_language, None),
 }
