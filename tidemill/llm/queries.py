@@ -10,6 +10,7 @@ from tidemill.llm.mixing import mix_report
 from tidemill.llm.quality import QUALITY_SQL, quality_rules
 from tidemill.llm.secrets import find_secrets
 from tidemill.llm.simhash_dedup import simhash_groups
+from tidemill.llm.substrings import repeated_paragraphs
 from tidemill.llm.tokens import token_report
 from tidemill.llm.toxicity import score_toxicity
 from tidemill.llm.warc import page_records
@@ -55,6 +56,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
@@ -65,4 +70,5 @@ QUERIES = {
     "op7_warc": (op7_warc, None),
     "op6_quality": (op6_quality, QUALITY_SQL),
     "op5_language": (op5_language, None),
+    "op4_substring_dedup": (op4_substring_dedup, None),
 }
