@@ -1,15 +1,19 @@
 """Catalog-table sinks: append, full overwrite, day replace, upsert, history merge.
 
-Parquet tables know neither DELETE nor MERGE.  Every change is computed as a new state,
-written to a staging table, and then swapped in, so no path is overwritten while it is read.
+Parquet tables know neither DELETE nor MERGE.  Every change is computed as a new state and written
+once, in the table's types, to a folder beside the table; only when it is complete does the table (or the
+partition) take that folder as its location.  A load that fails leaves the old rows and no folder behind.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -46,11 +50,11 @@ def create_target(spark: SparkSession, table: str, schema: T.StructType, *, part
 
 
 def _in_order(df: DataFrame, table: str) -> DataFrame:
-    """Columns in table order; rows of a partitioned table gathered by partition, so that a
+    """Columns in table order and type; rows of a partitioned table gathered by partition, so that a
     task does not open a file in every partition.  AQE splits what is too large for one task."""
-    out = df.select(*[F.col(f"`{c}`") for c in df.sparkSession.table(table).columns])
+    out = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.sparkSession.table(table).schema.fields])
     parts = _partition_columns(df.sparkSession, table)
-    return out.hint("rebalance", *[F.col(c) for c in parts]) if parts else out
+    return out.hint("rebalance", *[F.col(f"`{c}`") for c in parts]) if parts else out
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -65,68 +69,98 @@ def append(df: DataFrame, table: str) -> LoadReport:
     return LoadReport(inserted=seen.rows)
 
 
-def overwrite(df: DataFrame, table: str) -> LoadReport:
-    """Strategy FULL: all old rows go."""
-    spark = df.sparkSession
-    deleted = spark.table(table).count()
-    seen = RowCounter()
-    rows = seen.watch(df)
-    _swap_in(rows, table)
-    return LoadReport(inserted=seen.rows, deleted=deleted)
+_NULL = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of a NULL partition
+_SUFFIX = re.compile(r"__v[0-9a-f]{10}$")
 
 
-def _stage(df: DataFrame, table: str) -> str:
-    """Write to a new table beside the target."""
-    staged = f"{table}_stage_{uuid.uuid4().hex[:8]}"
-    df.write.format("parquet").saveAsTable(staged)
-    return staged
+def _location(spark: SparkSession, table: str, spec: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)} {spec}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")  # of a partition its own comes first, then that of the table
 
 
-def replace_day(df: DataFrame, table: str, day: date, column: str = "stat_date") -> LoadReport:
-    """Replace one day.  The static form clears the day even if `df` is empty, and leaves other days alone."""
-    spark = df.sparkSession
-    old = spark.table(table).filter(F.col(column) == F.lit(day))
-    deleted = old.count()
-    view = f"incoming_{uuid.uuid4().hex[:8]}"
-    seen = RowCounter()
-    rows = seen.watch(df)
-    rows.createOrReplaceTempView(view)
-    columns = [c for c in spark.table(table).columns if c != column]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION (`{column}` = DATE '{day:%Y-%m-%d}') "
-        f"SELECT /*+ REBALANCE */ {', '.join(f'`{c}`' for c in columns)} FROM {view}")
-    spark.catalog.dropTempView(view)
-    return LoadReport(inserted=seen.rows, deleted=deleted)
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
 
 
-def replace_days(df: DataFrame, table: str, days: Iterable[date], column: str = "stat_date") -> LoadReport:
-    """Replace several days at once: dynamic overwrite, then clear the listed days that came out empty."""
+def _folders(spark: SparkSession, path: str, depth: int) -> list[tuple[str, ...]]:
+    """Names of the partition folders below a path, one tuple per partition."""
+    where, files = _file_system(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory() and "=" in s.getPath().getName()]
+    if depth == 1:
+        return [(n,) for n in names]
+    return [(n, *rest) for n in names for rest in _folders(spark, f"{path}/{n}", depth - 1)]
+
+
+def _spec(folder: Sequence[str]) -> str:
+    """PARTITION clause of a folder like day=2024-01-31."""
+    parts = []
+    for name, value in (f.split("=", 1) for f in folder):
+        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        parts.append(f"`{unquote(name)}` = " + ("NULL" if value == _NULL else f"'{text}'"))
+    return "PARTITION (" + ", ".join(parts) + ")"
+
+
+def _show_partitions(spark: SparkSession, table: str) -> list[tuple[str, ...]]:
+    return [tuple(r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()]
+
+
+def _is_bucketed(spark: SparkSession, table: str) -> bool:
+    return any(c.isBucket for c in spark.catalog.listColumns(table))
+
+
+@contextmanager
+def _aside(df: DataFrame, table: str) -> Iterator[str]:
+    """Writes the rows to a new folder beside the table; the folder is deleted if the write or the block fails."""
     spark = df.sparkSession
-    wanted = sorted(set(days))
-    touched = F.col(column).isin(wanted)
-    deleted = spark.table(table).filter(touched).count()
-    seen = RowCounter()
-    rows = seen.watch(df)
-    staged = _stage(rows, table)
-    stray = spark.table(staged).filter(~touched | F.col(column).isNull()).limit(1).count()
-    if stray:
-        spark.sql(f"DROP TABLE {_quoted(staged)}")
-        raise ValueError("the rows hold days that were not listed")
-    filled = {r[0] for r in spark.table(staged).select(column).distinct().collect()}  # at most one row per listed day
-    _insert_overwrite(spark.table(staged), table, "dynamic")
-    for day in wanted:
-        if day not in filled:
-            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{column}` = DATE '{day:%Y-%m-%d}')")
-    spark.sql(f"DROP TABLE {_quoted(staged)}")
-    return LoadReport(inserted=seen.rows, deleted=deleted)
+    path = f"{_SUFFIX.sub('', _location(spark, table))}__v{uuid.uuid4().hex[:10]}"
+    parts = _partition_columns(spark, table)
+    try:
+        writer = _in_order(df, table).write
+        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+        yield path
+    except BaseException:
+        _delete(spark, path)
+        raise
 
 
-def _swap_in(state: DataFrame, table: str, mode: str = "static") -> None:
-    """Write the new state beside the table, then overwrite the table from there in one job."""
-    spark = state.sparkSession
-    staged = _stage(state, table)
-    _insert_overwrite(spark.table(staged), table, mode)
-    spark.sql(f"DROP TABLE {_quoted(staged)}")
+def _read_aside(spark: SparkSession, table: str, path: str) -> DataFrame:
+    return spark.read.schema(spark.table(table).schema).parquet(path)
+
+
+def _publish(spark: SparkSession, table: str, path: str, touched: Iterable[tuple[str, ...]] | None = None) -> None:
+    """The written folder becomes the table's content.
+
+    touched: only these partitions and those in the folder change; a touched one that the folder lacks is dropped. Without it all
+    partitions change. Old files go after the switch.
+    """
+    parts, old = _partition_columns(spark, table), []
+    if _is_bucketed(spark, table):
+        # bucket files carry their bucket in the name, which only an insert gives them
+        _insert_overwrite(_read_aside(spark, table, path), table, "static" if touched is None else "dynamic")
+        old.append(path)
+    elif not parts:
+        old.append(_location(spark, table))
+        spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{path}'")
+    else:
+        found, before = _folders(spark, path, len(parts)), set(_show_partitions(spark, table))
+        for folder in found:
+            spec, place = _spec(folder), f"{path}/{'/'.join(folder)}"
+            if folder in before:
+                old.append(_location(spark, table, spec))
+                spark.sql(f"ALTER TABLE {_quoted(table)} {spec} SET LOCATION '{place}'")
+            else:
+                spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
+        for folder in (before if touched is None else before & set(touched)) - set(found):
+            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {_spec(folder)}")
+    spark.catalog.refreshTable(table)
+    for place in old:
+        _delete(spark, place)
 
 
 def _insert_overwrite(df: DataFrame, table: str, mode: str) -> None:
@@ -141,32 +175,89 @@ def _insert_overwrite(df: DataFrame, table: str, mode: str) -> None:
         spark.conf.set(setting, before)
 
 
+def overwrite(df: DataFrame, table: str) -> LoadReport:
+    """Strategy FULL: all old rows go."""
+    spark = df.sparkSession
+    deleted = spark.table(table).count()
+    seen = RowCounter()
+    with _aside(seen.watch(df), table) as path:
+        _publish(spark, table, path)
+    return LoadReport(inserted=seen.rows, deleted=deleted)
+
+
+def _day_folder(column: str, day: date) -> tuple[str]:
+    return (f"{column}={day:%Y-%m-%d}",)
+
+
+def replace_day(df: DataFrame, table: str, day: date, column: str = "stat_date") -> LoadReport:
+    """Replace one day with all rows given; the day is cleared even if there are none, other days stay."""
+    spark = df.sparkSession
+    deleted = spark.table(table).filter(F.col(column) == F.lit(day)).count()
+    seen = RowCounter()
+    with _aside(seen.watch(df).withColumn(column, F.lit(day)), table) as path:
+        _publish(spark, table, path, [_day_folder(column, day)])
+    return LoadReport(inserted=seen.rows, deleted=deleted)
+
+
+def replace_days(df: DataFrame, table: str, days: Iterable[date | None], column: str = "stat_date") -> LoadReport:
+    """Replace several days at once; a listed day without rows comes out empty. None stands for the rows without a day."""
+    spark = df.sparkSession
+    wanted = set(days)
+    folders = {(f"{column}={_NULL}",) if d is None else _day_folder(column, d) for d in wanted}
+    touched = F.col(column).isin([d for d in wanted if d is not None])
+    deleted = spark.table(table).filter(touched | F.col(column).isNull() if None in wanted else touched).count()
+    seen = RowCounter()
+    with _aside(seen.watch(df), table) as path:
+        if set(_folders(spark, path, 1)) - folders:
+            raise ValueError("the rows hold days that were not listed")
+        _publish(spark, table, path, folders)
+    return LoadReport(inserted=seen.rows, deleted=deleted)
+
+
 def upsert_state(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows without a partner in the source, then all source rows."""
+    """Target rows without a partner in the source, then all source rows. NULL keys are equal to each other."""
     return _untouched(target, src, keys).unionByName(src.select(*target.columns))
 
 
 def _untouched(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return target.join(src.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return _same_key(target, src, keys, "left_anti")
+
+
+def _same_key(target: DataFrame, src: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    partner = src.select(*[F.col(f"`{k}`").alias(f"__key_{n}") for n, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for n, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__key_{n}"))
+    return target.join(partner, same, how)
 
 
 def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
     """Strategy INCREMENTAL_MERGE.
 
     If the partition columns are keys, only the partitions found in the source are
-    read, merged and rewritten; otherwise the whole table is.
+    read, merged and rewritten; otherwise the whole table is. Duplicate source keys are refused, and so is a NULL
+    in a key column, except in a partition column: the rows without a day are a partition like any other.
     """
     spark = src.sparkSession
-    target = spark.table(table)
     parts = _partition_columns(spark, table)
-    before = target.count()
-    partial = bool(parts) and set(parts) <= set(keys)
-    if partial:
-        target = target.join(src.select(*parts).distinct(), parts, "left_semi")
     seen = RowCounter()
-    incoming = seen.watch(src)
-    state = _untouched(target, src, keys).unionByName(incoming.select(*target.columns))
-    _swap_in(state, table, "dynamic" if partial else "static")
+    with _aside(seen.watch(src), table) as incoming:
+        rows = _read_aside(spark, table, incoming)
+        needed = [k for k in keys if k not in parts]
+        faults = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("duplicates"),
+            F.coalesce(F.sum(F.when(F.concat(*[F.col(f"`{k}`").cast("string") for k in needed]).isNull(), F.col("n"))), F.lit(0)).alias("nulls")
+            if needed else F.lit(0).alias("nulls")).first()
+        if faults["duplicates"] or faults["nulls"]:
+            raise SourceKeyError(f"source keys: {faults['nulls']} NULL, {faults['duplicates']} duplicated")
+        target = spark.table(table)
+        before = target.count()
+        partial = bool(parts) and set(parts) <= set(keys)
+        if partial:
+            target = _same_key(target, rows, parts, "left_semi")
+        with _aside(_untouched(target, rows, keys).unionByName(rows.select(*target.columns)), table) as path:
+            _publish(spark, table, path, [] if partial else None)
+        _delete(spark, incoming)
     grown = spark.table(table).count() - before  # both counts come from file footers
     return LoadReport(inserted=grown, updated=seen.rows - grown)
 
@@ -189,10 +280,10 @@ def merge_history(src: DataFrame, table: str, keys: Sequence[str], compare: Sequ
         dim = dim.filter(F.col(names.expiry).isin(names.end_of_time, effective_date - timedelta(days=1)))
     before, open_before = dim.count(), dim.filter(F.col(names.current)).count()
     state = scd2_merge(dim, src, keys, compare, effective_date, load_ts=load_ts, names=names, delta=delta)
-    staged = _stage(state, table)
-    counted = spark.table(staged).agg(F.count(F.lit(1)).alias("rows"), F.count_if(names.current).alias("open")).first()
-    _insert_overwrite(spark.table(staged), table, "dynamic" if by_expiry else "static")
-    spark.sql(f"DROP TABLE {_quoted(staged)}")
+    with _aside(state, table) as path:
+        counted = _read_aside(spark, table, path).agg(F.count(F.lit(1)).alias("rows"), F.count_if(names.current).alias("open")).first()
+        _publish(spark, table, path, [_day_folder(names.expiry, d) for d in (names.end_of_time, effective_date - timedelta(days=1))]
+                 if by_expiry else None)
     closed = (counted["rows"] - counted["open"]) - (before - open_before)
     return LoadReport(inserted=counted["rows"] - before, updated=closed)
 
@@ -210,7 +301,7 @@ def load(df: DataFrame, table: str, strategy: str, *, keys: Sequence[str] = (),
     if strategy == "INCREMENTAL_UPDATE":
         return replace_day(df, table, day, day_column)
     if strategy == "SCD2":
-        return merge_history(df, table, keys, compare, day, load_ts=load_ts)
+        return merge_history(df, table, keys, compare, day, load_ts=load_ts, names=names)
     raise ValueError(f"unknown loading strategy {strategy!r}")
 
 
@@ -227,7 +318,8 @@ def drop_old_partitions(spark: SparkSession, table: str, batch_date: date, reten
     dropped = []
     for row in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect():
         value = dict(p.split("=", 1) for p in row[0].split("/"))[column]
-        if date.fromisoformat(value) < limit:
+        # rows without a day have no age
+        if value != _NULL and date.fromisoformat(value) < limit:
             spark.sql(f"ALTER TABLE {_quoted(table)} DROP PARTITION (`{column}` = DATE '{value}')")
             dropped.append(value)
     return sorted(dropped)
