@@ -14,15 +14,18 @@ renamed when complete, so a lost task is simply run again.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,7 @@ SHARD_BYTES = 32 << 20
 KEYS_PER_INDEX = 65_536
 GAMMA = 2.0
 _CUT = re.compile(r" (?=[A-Za-z0-9À-ɏ])")
+_BREAK = re.compile(r"(?<=[A-Za-z.,;:!?])\n(?=[A-Za-zÀ-ɏ])")
 
 
 def default_vocabulary() -> str:
@@ -45,35 +49,100 @@ def default_vocabulary() -> str:
 class Encoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library, with pieces of text remembered.
 
-    The library's pre-tokenizer never joins what lies before a single space with the letter or digit after it, so a text
-    can be cut there and each piece encoded once; tests compare with encoding whole texts. Memory is bounded.
+    The library's pre-tokenizer never joins what lies before a single space with a character after it that is no white space, so a
+    text can be cut there and each piece encoded once. Texts with white space after a space are cut before letters and digits
+    only. Tests compare with encoding whole texts. Memory is bounded: pieces that were not used for a while are forgotten.
     """
 
-    def __init__(self, vocabulary: str, dtype: str, bound: int = 250_000):
+    def __init__(self, vocabulary: str, dtype: str, end_id: int, bound: int = 250_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.dtype, self.bound, self.pieces = dtype, bound, {}
+        self.dtype, self.kind, self.bound, self.pieces, self.older = dtype, {"<u2": "H", "<u4": "I"}[dtype], bound, {}, {}
+        self.end = np.array([end_id], dtype).tobytes()
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian bytes, with the end id."""
+        gc.disable()  # the many small lists of a batch are no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: pa.Array) -> list[bytes]:
+        words = pc.split_pattern(texts, " ")
+        ends = words.offsets.to_numpy().astype(np.int64)
+        ends = ends - ends[0]
+        coded = words.flatten().dictionary_encode()
+        at, known = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        starts, rows = ends[:-1], len(texts)
+        odd = pc.or_(pc.equal(pc.binary_length(known), 0), pc.match_substring_regex(known, "^[\\s\\x00-\\x20\\x7f-\\x{a0}\\pZ]")).to_numpy(zero_copy_only=False)[at]
+        odd[starts] = False
+        slow = {n: self._cut(texts[n].as_py()) for n in np.nonzero(np.add.reduceat(odd, starts) > 0)[0].tolist()} if rows else {}
+        # a mark at the end of a word is a piece of its own, so that a word is encoded once whatever follows it
+        marked = pc.match_substring_regex(known, "\\pL[.,;:!?]$")
+        cores = pc.if_else(marked, pc.utf8_slice_codeunits(known, 0, -1), known).dictionary_encode()
+        tails = pc.if_else(marked, pc.utf8_slice_codeunits(known, -1), "").dictionary_encode()
+        pieces, marks = [" " + k for k in cores.dictionary.to_pylist()], [*tails.dictionary.to_pylist(), ""]
+        firsts = known.take(pa.array(at[starts])).to_pylist()
+        ids = self._ids(set(pieces).union(firsts, marks, *slow.values()))
+        # entries: words after a space without their mark, the first words of the texts, marks, the end id
+        entries = [*map(ids.__getitem__, pieces), *map(ids.__getitem__, firsts), *map(ids.__getitem__, marks), self.end]
+        base = len(pieces) + rows
+        pair = np.stack([cores.indices.to_numpy().astype(np.int64), base + tails.indices.to_numpy()], axis=1)[at]
+        if rows:
+            pair[starts] = np.stack([len(pieces) + np.arange(rows), np.full(rows, base + marks.index(""))], axis=1)
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // int(self.dtype[-1])
+        order = np.insert(pair.ravel(), 2 * ends[1:], len(entries) - 1)
+        start, flat, count = np.cumsum(size) - size, np.frombuffer(b"".join(entries), self.dtype), size[order]
+        upto = np.cumsum(count)
+        tokens = flat[np.repeat(start[order] - (upto - count), count) + np.arange(int(count.sum()))]
+        found = [part.tobytes() for part in np.split(tokens, upto[2 * ends[1:] + np.arange(rows)])[:rows]]
+        for n, parts in slow.items():
+            found[n] = b"".join(map(ids.__getitem__, parts)) + self.end
+        return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian bytes, without an end id."""
+    def _ids(self, pieces: set[str]) -> dict[str, bytes]:
+        """A table that holds the ids of each piece: those remembered and those encoded now."""
         if len(self.pieces) > self.bound:
-            self.pieces = {}
-        pieces, cut = self.pieces, [self._cut(t) for t in texts]
-        new = list({p for parts in cut for p in parts if p not in pieces})
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                pieces[piece] = np.array(found.ids, self.dtype).tobytes()
-        return [b"".join(map(pieces.__getitem__, parts)) for parts in cut]
+            self.pieces, self.older = {}, self.pieces
+        now, older = self.pieces, self.older
+        now.setdefault("", b"")
+        for piece in pieces.difference(now).intersection(older):
+            now[piece] = older[piece]
+        new = pieces.difference(now)
+        split = {p: self._parts(p) for p in new if "\n" in p}
+        todo = list(new.difference(split).union(*split.values()).difference(now))
+        for low in range(0, len(todo), 2048):
+            some = todo[low:low + 2048]
+            for piece, code in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                now[piece] = array(self.kind, code.ids).tobytes()
+        for piece, some in split.items():
+            now[piece] = b"".join(map(now.__getitem__, some))
+        return now
+
+    @staticmethod
+    def _parts(piece: str) -> list[str]:
+        """A piece cut around single line breaks between words."""
+        first, *rest = _BREAK.split(piece)
+        return [first, *(x for r in rest for x in ("\n", r))]
 
     @staticmethod
     def _cut(text: str) -> list[str]:
-        if not text:
-            return []
         first, *rest = _CUT.split(text)
         return [first, *[" " + r for r in rest]]
 
 
+_encoders: dict[tuple, Encoder] = {}
+
+
+def encoder(vocabulary: str, dtype: str, end_id: int) -> Encoder:
+    """One encoder for each worker process and setting, so that its memory serves all tasks of the process."""
+    key = (vocabulary, dtype, end_id)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
 def id_type(vocabulary: str) -> str:
     from tokenizers import Tokenizer
     return "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
@@ -102,21 +171,20 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = EN
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         context = TaskContext.get()
-        shard, encoder = context.partitionId(), Encoder(vocabulary, dtype)
+        shard, encode = context.partitionId(), encoder(vocabulary, dtype, end_id).encode
         files, base = file_system(folder)
         name = f"{base}/shard-{shard:06d}"
         attempt = f"{name}.attempt-{context.taskAttemptId()}"
-        width, end, at, record, out, records = int(dtype[-1]), np.array([end_id], dtype).tobytes(), 0, 0, None, []
+        width, at, record, out, records = int(dtype[-1]), 0, 0, None, []
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, 1024):
+                part = batch.slice(low, 1024)
                 if out is None:
                     out = files.open_output_stream(attempt + ".bin")
                 counts = []
-                for ids in encoder.encode(part.column(1).to_pylist()):
+                for ids in encode(part.column(1)):
                     out.write(ids)
-                    out.write(end)
-                    counts.append(len(ids) // width + 1)
+                    counts.append(len(ids) // width)
                 n = np.array(counts, np.int64)
                 first = at + np.cumsum(n) - n
                 records.append(np.stack([first, n], axis=1).astype("<u8").tobytes())
