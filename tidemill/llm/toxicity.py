@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import arrow_limits, bucket_of_id, text_of
 
 #: Rows of each class that the classifier and the lexicons are fitted on, at most; taken by a hash of the id.
-SAMPLE_PER_CLASS = 8_000
+SAMPLE_PER_CLASS = 3_000
 HELD_OUT_OF = 5
 WORD_VOTERS, START_VOTERS = 6, 6
 WORDS_PER_VOTER, STARTS_PER_VOTER = 12, 24
