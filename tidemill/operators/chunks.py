@@ -75,18 +75,22 @@ def key_ranges(df: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
     )
 
 
+def with_range_number(df: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
+    """Adds range_no, computed from the key and the table's own bounds; NULL for a NULL key.
+
+    The bounds are one row, read from the same plan: for Parquet mostly from the footers.
+    """
+    low, high = (df.select(f(key).cast("bigint")).scalar() for f in (F.min, F.max))
+    width = F.floor((high - low + 1) / ranges)
+    number = F.when(width > 0, F.floor((F.col(key).cast("bigint") - low) / width)).otherwise(ranges - 1)
+    return df.withColumn("range_no", F.when(F.col(key).isNotNull(), F.least(number, F.lit(ranges - 1))).cast("int"))
+
+
 def range_load_report(df: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
-    """Rows that each range loads, empty ranges included."""
-    cuts = key_ranges(df, key, ranges).collect()  # one row per range
-    hits = [F.count_if((F.col(key) >= c["low"]) & (F.col(key) < c["high"])).alias(f"n{c['range_no']}") for c in cuts]
-    if not hits:
-        return df.sparkSession.createDataFrame([], "range_no int, low bigint, high bigint, row_count bigint")
-    packed = F.array(*[
-        F.struct(F.lit(c["range_no"]).alias("range_no"), F.lit(c["low"]).cast("bigint").alias("low"),
-                 F.lit(c["high"]).cast("bigint").alias("high"), F.col(f"n{c['range_no']}").alias("row_count"))
-        for c in cuts
-    ])
-    return df.agg(*hits).select(F.explode(packed).alias("r")).select("r.*")
+    """Rows that each range loads, empty ranges included: one count per range number beside the ranges' bounds."""
+    counts = with_range_number(df, key, ranges).filter(F.col(key).isNotNull()).groupBy("range_no").agg(F.count(F.lit(1)).alias("n"))
+    return key_ranges(df, key, ranges).join(counts, "range_no", "left").select(
+        "range_no", "low", "high", F.coalesce("n", F.lit(0)).alias("row_count"))
 
 
 def range_filters(df: DataFrame, key: str, ranges: int = RANGES) -> list[DataFrame]:

@@ -31,9 +31,15 @@ def target_field(name: str, kind: str, *, comment: str = "", default: object = N
     return T.StructField(name, column_type(kind), not required, meta)
 
 
-def conform(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Casts round half away from zero; a value that does not fit raises under ANSI mode."""
+def conform(df: DataFrame, target: T.StructType, *, missing_as_null: bool = False) -> DataFrame:
+    """Casts round half away from zero; a value that does not fit raises under ANSI mode.
+
+    A target column that the rows lack raises, unless missing_as_null asks for NULL (or its default) there.
+    """
     columns = []
+    lacking = [f.name for f in target.fields if f.name not in df.columns]
+    if lacking and not missing_as_null:
+        raise ValueError("the rows lack the target columns " + ", ".join(lacking))
     for field in target.fields:
         value = F.col(f"`{field.name}`") if field.name in df.columns else F.lit(None)
         value = value.cast(field.dataType)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -16,40 +17,43 @@ LEAF_NAMES = {
 def document_schema(df: DataFrame, column: str) -> T.StructType:
     """Merged schema of all documents: one distributed aggregate, one row to the driver."""
     text = df.agg(F.schema_of_variant_agg(F.parse_json(column)).alias("s")).first()["s"]
-    ddl = text.replace("OBJECT<", "STRUCT<")
+    # the type names stand outside quoted keys
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], text)
     parsed = T._parse_datatype_string(ddl)
     if not isinstance(parsed, T.StructType):
         raise ValueError(f"the documents are no JSON objects but {text}")
     return parsed
 
 
-def leaves(schema: T.StructType, prefix: str = "", sep: str = ".") -> Iterator[tuple[str, str, T.DataType]]:
-    """(path, name, type) of every leaf; an array is a leaf and is not dropped."""
+def leaves(schema: T.StructType, above: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
+    """(names from the root, type) of every leaf; an array is a leaf and is not dropped."""
     for f in schema.fields:
-        path = f"{prefix}{sep}{f.name}" if prefix else f.name
         if isinstance(f.dataType, T.StructType):
-            yield from leaves(f.dataType, path, sep)
+            yield from leaves(f.dataType, (*above, f.name))
         else:
-            yield path, f.name, f.dataType
+            yield (*above, f.name), f.dataType
 
 
-def json_paths(df: DataFrame, column: str, sep: str = ".") -> DataFrame:
-    """(path, name, type, documents): every leaf path and in how many documents it has a value."""
-    schema = document_schema(df, column)
-    found = list(leaves(schema, sep=sep))
+def json_paths(df: DataFrame, column: str, sep: str = ".", schema: T.StructType | None = None) -> DataFrame:
+    """(path, name, type, documents): every leaf path and in how many documents it has a value.
+
+    The merged schema has a field for every key there is; give the schema where keys are data and would be too many.
+    """
+    schema = schema or document_schema(df, column)
+    found = list(leaves(schema))
     doc = F.from_json(column, schema)
     parsed = df.select(doc.alias("doc"))
-    hits = [F.count(_at(F.col("doc"), path, sep)).alias(f"n{i}") for i, (path, _, _) in enumerate(found)]
+    hits = [F.count(_at(F.col("doc"), path)).alias(f"n{i}") for i, (path, _) in enumerate(found)]
     packed = F.array(*[
-        F.struct(F.lit(path).alias("path"), F.lit(name).alias("name"),
+        F.struct(F.lit(sep.join(path)).alias("path"), F.lit(path[-1]).alias("name"),
                  F.lit(LEAF_NAMES.get(type(kind), kind.simpleString())).alias("type"), F.col(f"n{i}").alias("documents"))
-        for i, (path, name, kind) in enumerate(found)
+        for i, (path, kind) in enumerate(found)
     ])
     return parsed.agg(*hits).select(F.explode(packed).alias("p")).select("p.*")
 
 
-def _at(doc: Column, path: str, sep: str) -> Column:
-    for name in path.split(sep):
+def _at(doc: Column, path: tuple[str, ...]) -> Column:
+    for name in path:
         doc = doc.getField(name)
     return doc
 
@@ -57,9 +61,9 @@ def _at(doc: Column, path: str, sep: str) -> Column:
 def json_columns(df: DataFrame, column: str, schema: T.StructType | None = None, sep: str = ".") -> DataFrame:
     """Replace the JSON column by one column per leaf, named by its path."""
     schema = schema or document_schema(df, column)
-    others = [c for c in df.columns if c != column]
+    others = [F.col(f"`{c}`") for c in df.columns if c != column]
     return df.withColumn("__doc", F.from_json(column, schema)).select(
-        *others, *[_at(F.col("__doc"), path, sep).alias(path) for path, _, _ in leaves(schema, sep=sep)])
+        *others, *[_at(F.col("__doc"), path).alias(sep.join(path)) for path, _ in leaves(schema)])
 
 
 def array_as_text(array: Column, sep: str = ", ") -> Column:

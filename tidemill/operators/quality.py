@@ -149,16 +149,24 @@ def _unique_rule(df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _reference_keys(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
+    """Distinct keys of the referenced table as __ref0, __ref1, ...; `valid_only` in the rule's config leaves rows out that are not valid."""
     dim = tables[rule.config["ref_table"]]
-    if "is_valid" in dim.columns:
+    if rule.config.get("valid_only", "is_valid" in dim.columns):
         dim = valid_rows(dim)
-    return dim.select(F.col(rule.config.get("ref_field") or rule.column).alias("__ref")).distinct()
+    names = [c.strip() for c in (rule.config.get("ref_field") or rule.column).split(",")]
+    if len(names) != len(rule.columns):
+        raise ValueError(f"rule {rule.rule_id} compares {len(rule.columns)} columns with {len(names)}")
+    return dim.select(*[F.col(c).alias(f"__ref{n}") for n, c in enumerate(names)]).distinct()
+
+
+def _same_reference(rule: Rule) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__ref{n}") for n, c in enumerate(rule.columns)])
 
 
 def _referential_rule(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
     keys = _key_counts(df, rule.columns)
-    joined = keys.join(_reference_keys(tables, rule), F.col(rule.columns[0]) == F.col("__ref"), "left")
-    orphan = F.col(rule.columns[0]).isNotNull() & F.col("__ref").isNull()
+    joined = keys.join(_reference_keys(tables, rule), _same_reference(rule), "left")
+    orphan = _key_known(rule.columns) & F.col("__ref0").isNull()
     one = joined.agg(F.coalesce(F.sum("key_rows"), F.lit(0)).alias("total_rows"),
                      F.coalesce(F.sum(F.when(orphan, F.col("key_rows"))), F.lit(0)).alias("f0"))
     return _metric_rows(one, [rule])
@@ -224,8 +232,7 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
         twice = _key_counts(df, rule.columns).filter(_key_known(rule.columns) & (F.col("key_rows") > 1))
         return df.join(twice.drop("key_rows"), rule.columns, "left_semi")
     if rule.rule_type == "REFERENTIAL":
-        key = F.col(rule.columns[0])
-        return df.filter(key.isNotNull()).join(_reference_keys(tables, rule), key == F.col("__ref"), "left_anti")
+        return df.filter(_key_known(rule.columns)).join(_reference_keys(tables, rule), _same_reference(rule), "left_anti")
     return df.filter(bad_row(rule))
 
 

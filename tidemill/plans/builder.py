@@ -13,7 +13,6 @@ from ..operators import conform, fold_conditions
 from .mapping import Field, Mapping
 
 JOIN_TYPES = {"INNER": "inner", "LEFT": "left", "RIGHT": "right", "FULL": "full", "CROSS": "cross"}
-CROSS_ROWS = 1000  # a CROSS source must be proven to have no more rows than this
 
 Sources = MappingType[str, DataFrame] | Callable[[str], DataFrame]
 
@@ -40,6 +39,14 @@ def _system_value(name: str, batch_date: date | None, load_ts: datetime | None)
     return F.expr(name)
 
 
+def one_row(df: DataFrame) -> bool:
+    """Whether the plan yields one row whatever the data: columns computed from an aggregate without groups."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "SubqueryAlias"):
+        plan = plan.child()
+    return plan.nodeName() == "OneRowRelation" or plan.nodeName() == "Aggregate" and plan.groupingExpressions().isEmpty()
+
+
 def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None = None, *, full: bool = True,
                    hash_hints: bool = False) -> DataFrame:
     """Sources under their aliases, joined by sequence.
@@ -60,9 +67,8 @@ def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None =
         source = by_alias[join.alias]
         right = _source(sources, source.name)
         if join.how == "CROSS":
-            found = right.limit(CROSS_ROWS + 1).count()
-            if found > CROSS_ROWS:
-                raise ValueError(f"CROSS source {source.name} has more than {CROSS_ROWS} rows")
+            if not one_row(right):
+                raise ValueError(f"CROSS source {source.name} is not one row by construction")
             df = df.crossJoin(right.alias(join.alias))
             continue
         if hash_hints and join.hint == "USE_HASH" and source.role != "LOOKUP":

@@ -120,9 +120,12 @@ def _quoted(value: Any) -> str:
 
 
 def _fill(template: str, parts: list[str]) -> str:
-    """{0}, {1}, ... by position and {name} by target field."""
-    text = re.sub(r"\{(\d+)\}", lambda m: parts[int(m.group(1))], template)
-    return re.sub(r"\{(\w+)\}", r"\1", text)
+    """{0}, {1}, ... by position and {name} by target field; braces inside a string literal stay."""
+    def filled(m: re.Match) -> str:
+        name = m["name"]
+        return m[0] if name is None else parts[int(name)] if name.isdigit() else name
+
+    return re.sub(r"'(?:[^'\\]|\\.|'')*'|\{(?P<name>\w+)\}", filled, template)
 
 
 def _references(entry: MappingType[str, Any]) -> list[str]:

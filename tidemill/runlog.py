@@ -48,6 +48,7 @@ class Step:
     name: str
     row_count: int | None = None
     message: str = ""
+    error_rate_percent: float | None = None
 
 
 class Run:
@@ -70,9 +71,10 @@ class Run:
             yield step
         except Exception as error:
             self.note(name, "FAILED", start, datetime.now(), error_code=type(error).__name__,
-                      error_message=str(error)[:4000], message=f"{type(error).__name__}: {str(error)[:900]}")
+                      error_message=str(error), message=f"{type(error).__name__}: {error}")
             raise
-        self.note(name, "SUCCESS", start, datetime.now(), row_count=step.row_count, message=step.message)
+        self.note(name, "SUCCESS", start, datetime.now(), row_count=step.row_count, message=step.message,
+                  error_rate_percent=step.error_rate_percent)
 
 
 def missing_upstreams(runs: DataFrame, names: Sequence[str], batch_date: date | None = None) -> DataFrame:

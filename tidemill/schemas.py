@@ -52,7 +52,7 @@ RUN_LOG = T.StructType([
     f("proc_name", "string"), f("mapping_id", "string"), f("batch_date", "date"), f("step", "string"),
     f("status", "string"), f("start_time", "timestamp_ntz"), f("end_time", "timestamp_ntz"),
     f("duration_seconds", "double"), f("row_count", "bigint"), f("error_code", "string"),
-    f("error_message", "string"), f("message", "string"),
+    f("error_message", "string"), f("message", "string"), f("error_rate_percent", "double"),
 ])
 
 QUALITY_LOG = T.StructType([

@@ -7,7 +7,7 @@ from time import monotonic
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.chunks import BATCH_SIZE, RANGES, ROWS_PER_FILE, copy_key, key_ranges, ordered_layout
+from ..operators.chunks import BATCH_SIZE, RANGES, ROWS_PER_FILE, copy_key, ordered_layout, with_range_number
 from .observed import RowCounter
 
 
@@ -23,15 +23,15 @@ class CopyReport:
 
 
 def copy_table(src: DataFrame, target: str, key: str | None = None, batch_size: int = BATCH_SIZE,
-               truncate: bool = False, rows_per_file: int = ROWS_PER_FILE) -> CopyReport:
-    """One distributed write in key order.
+               truncate: bool = False, rows_per_file: int = ROWS_PER_FILE, ordered: bool = False) -> CopyReport:
+    """One distributed write, each task what it has read; `ordered` sorts the target by key first, which shuffles it.
 
     Batches only count progress (`chunk_report` lists them).  Files are larger than a
     batch, because a file per 50,000 rows would leave millions of small files.
     """
     start = monotonic()
     seen = RowCounter()
-    laid_out = seen.watch(ordered_layout(src, copy_key(src, key), rows_per_file))
+    laid_out = seen.watch(ordered_layout(src, copy_key(src, key), rows_per_file) if ordered else src)
     mode = "overwrite" if truncate else "append"
     laid_out.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(target)
     rows = seen.rows
@@ -41,14 +41,7 @@ def copy_table(src: DataFrame, target: str, key: str | None = None, batch_size:
 def range_copy(src: DataFrame, target: str, key: str, ranges: int = RANGES) -> None:
     """Copy all key ranges in one job; each range is a partition folder of the target, which is replaced.
 
-    Rows are routed by comparing the key with the range bounds, so no shuffle is needed
-    and a range that holds most of the rows is written by as many tasks as read it.
+    The range number is computed from the key, so no shuffle is needed and a range that holds most of the
+    rows is written by as many tasks as read it.  Rows without a key are copied too, under a NULL range number.
     """
-    cuts = key_ranges(src, key, ranges).orderBy("range_no").collect()
-    route = None
-    for c in cuts:
-        hit = (F.col(key) >= c["low"]) & (F.col(key) < c["high"])
-        route = F.when(hit, c["range_no"]) if route is None else route.when(hit, c["range_no"])
-    rows = src if route is None else src.filter(F.col(key).isNotNull()).withColumn("range_no", route)
-    writer = rows.write.mode("overwrite")
-    (writer.partitionBy("range_no") if route is not None else writer).parquet(target)
+    with_range_number(src, key, ranges).write.mode("overwrite").partitionBy("range_no").parquet(target)

@@ -25,16 +25,17 @@ def stream_source(spark: SparkSession, folder: str, schema: T.StructType, *, fil
     return reader.load(folder)
 
 
-def _write(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = (), timeout: int = 600) -> None:
-    """Process what is there, then stop."""
+def _write(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> None:
+    """Process what is there, however long it takes, then stop."""
     writer = (df.writeStream.format("parquet").outputMode("append").option("path", target)
               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.start()
-    if not query.awaitTermination(timeout):
+    try:
+        query.awaitTermination()
+    finally:
         query.stop()
-        raise TimeoutError(f"the stream did not finish within {timeout} s")
 
 
 def stream_incremental(stream: DataFrame, target: str, checkpoint: str, columns: Sequence[str] | None = None) -> None:
