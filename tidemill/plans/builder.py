@@ -47,6 +47,26 @@ def one_row(df: DataFrame) -> bool:
     return plan.nodeName() == "OneRowRelation" or plan.nodeName() == "Aggregate" and plan.groupingExpressions().isEmpty()
 
 
+def sql_expression(text: str, batch_date: date | None = None) -> Column:
+    return F.expr(_sql(text, batch_date))
+
+
+def reads_only(text: str, alias: str, mapping: Mapping, names: list[str]) -> bool:
+    """Whether an expression reads the columns of one source and no other source or target field."""
+    others = [s.alias for s in mapping.sources if s.alias != alias]
+    return _reads_sources(text, [alias]) and not _reads_sources(text, others) and not _mentions(text, names)
+
+
+def increment(mapping: Mapping, sources: Sources, batch_date: date | None, *, full: bool = False) -> DataFrame:
+    """The PRIMARY source under its alias, narrowed to the increment unless all is wanted."""
+    primary = next(s for s in mapping.sources if s.role == "PRIMARY")
+    df = _source(sources, primary.name)
+    condition = mapping.incremental.get("incremental_condition")
+    if not full and condition:
+        df = df.filter(F.expr(_sql(condition, batch_date)))
+    return df.alias(primary.alias)
+
+
 def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None = None, *, full: bool = True,
                    hash_hints: bool = False) -> DataFrame:
     """Sources under their aliases, joined by sequence.
@@ -57,12 +77,7 @@ def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None =
     hash table per partition cannot spill.
     """
     by_alias = {s.alias: s for s in mapping.sources}
-    primary = next(s for s in mapping.sources if s.role == "PRIMARY")
-    df = _source(sources, primary.name)
-    condition = mapping.incremental.get("incremental_condition")
-    if not full and condition:
-        df = df.filter(F.expr(_sql(condition, batch_date)))
-    df = df.alias(primary.alias)
+    df = increment(mapping, sources, None if full else batch_date, full=full)
     for join in mapping.joins:
         source = by_alias[join.alias]
         right = _source(sources, source.name)

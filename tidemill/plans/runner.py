@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import quality
+from ..operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, scd2_schema
 from ..runlog import Run, RunLog, require_upstreams
 from ..sinks import tables as sinks
-from .builder import Sources, build
-from .mapping import Mapping
+from ..session import work_path
+from .builder import Sources, build, increment, reads_only, sql_expression
+from .mapping import STRATEGIES, Mapping
 
 
 @dataclass(frozen=True)
@@ -22,20 +25,63 @@ class RunResult:
     errors: int
 
 
-def _touched_days(mapping: Mapping, sources: Sources, batch_date: date, load_ts: datetime | None) -> list[date]:
-    """Partition days the increment writes to (a handful of dates), plus the batch date itself."""
-    column = mapping.partition_key
-    days = build(mapping, sources, batch_date, full=False, load_ts=load_ts, ordered=False).select(column).distinct()
-    return sorted({batch_date, *[r[0] for r in days.collect()]})
+def _touched_days(mapping: Mapping, sources: Sources, batch_date: date, load_ts: datetime | None) -> list[date | None]:
+    """Partition days the increment writes to, and the batch date itself; None for rows without a day.
 
+    Where the day is computed from the PRIMARY source alone, only its increment is read. A day whose rows a later filter
+    drops is recomputed all the same, which changes nothing.
+    """
+    primary = next(s for s in mapping.sources if s.role == "PRIMARY")
+    field = next((f for f in mapping.fields if f.name == mapping.partition_key), None)
+    names = [f.name for f in mapping.fields]
+    if field and field.kind in ("DIRECT", "DIRECT_MAPPING", "DERIVED") and reads_only(field.expression, primary.alias, mapping, names):
+        days = increment(mapping, sources, batch_date).select(sql_expression(field.expression, batch_date).cast("date")).distinct()
+    else:
+        days = build(mapping, sources, batch_date, full=False, load_ts=load_ts, ordered=False).select(mapping.partition_key).distinct()
+    found = {batch_date, *[r[0] for r in days.collect()]}
+    return sorted(found, key=lambda d: (d is None, d or batch_date))
+
+
+def _of_days(rows: DataFrame, column: str, days: list[date | None]) -> DataFrame:
+    test = F.col(column).isin([d for d in days if d is not None])
+    return rows.filter(test | F.col(column).isNull() if None in days else test)
 
-def _whole_days(mapping: Mapping, sources: Sources, days: list[date], load_ts: datetime | None) -> DataFrame:
+
+def _whole_days(mapping: Mapping, sources: Sources, days: list[date | None], load_ts: datetime | None) -> DataFrame:
     """Rows of the touched days built from all of their facts, not only from the increment.
 
     The partition key is a group column, so Catalyst pushes this filter to the scans.
     """
-    rows = build(mapping, sources, full=True, load_ts=load_ts, ordered=False)
-    return rows.filter(F.col(mapping.partition_key).isin(days))
+    return _of_days(build(mapping, sources, full=True, load_ts=load_ts, ordered=False), mapping.partition_key, days)
+
+
+def _batch_column(mapping: Mapping) -> str:
+    """The target's batch date: rows that are inserted once per batch are kept by it."""
+    for f in mapping.fields:
+        if f.kind == "SYSTEM" and "BATCH_DATE" in f.expression.upper():
+            return f.name
+    raise ValueError("INCREMENTAL_INSERT needs a target field with the batch date, so that a second run replaces its own rows")
+
+
+def history_columns(mapping: Mapping) -> Scd2Columns:
+    """The names that scd_config gives to the history columns."""
+    config = mapping.scd
+    return Scd2Columns(
+        effective=config.get("effective_date_field", "effective_date"),
+        expiry=config.get("expire_date_field", config.get("expiry_date_field", "expiry_date")),
+        current=config.get("current_flag_field", "is_current"), created=config.get("created_field"), updated=config.get("updated_field"),
+        version=config.get("version_field"), end_of_time=date.fromisoformat(config.get("end_date_max", "9999-12-31")))
+
+
+@contextmanager
+def _staged(rows: DataFrame):
+    """The rows, computed once and kept in the shared folder while they are checked and loaded."""
+    spark, path = rows.sparkSession, work_path(rows.sparkSession, "mapping")
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        sinks.delete_folder(spark, path)
 
 
 def run_mapping(spark: SparkSession, mapping: Mapping, sources: Sources, batch_date: date, log: RunLog, *,
@@ -43,17 +89,23 @@ def run_mapping(spark: SparkSession, mapping: Mapping, sources: Sources, batch_d
                 load_ts: datetime | None = None, check_upstreams: bool = True, apply_retention: bool = False) -> RunResult:
     """Load a mapping's target for one batch date and log every step.
 
-    An increment may hold rows of earlier days.  Those days are recomputed as a whole and
-    their partitions replaced, so a second run changes nothing.  Under REJECT the rows are
-    checked before they are published; LOG publishes first and logs what it finds.
+    FULL replaces the table. INCREMENTAL_MERGE and INCREMENTAL_UPDATE recompute the days that the increment touches and replace
+    their partitions; without a partition key they upsert the increment by the target's keys. INCREMENTAL_INSERT adds the
+    increment under its batch date. SCD2 merges it into a history by scd_config. In each case a second run changes nothing. The
+    rows are computed once, checked, and only then published: what a strategy or a rule rejects leaves the target as it was.
+    Under ALLOW every row is loaded with dq_status and the ids of the rules it breaks.
     """
+    if mapping.strategy not in STRATEGIES:
+        raise ValueError(f"unknown loading strategy {mapping.strategy!r}")
     target = target or mapping.target
     run = Run(log, f"load_{mapping.table}", mapping.mapping_id, batch_date)
     run.note("INIT", "RUNNING", run.started, message=f"strategy {mapping.strategy}, force_full {force_full}")
     with run.step("INIT"):
         if batch_date is None:
             raise ValueError("batch_date must not be empty")
-    full = mapping.strategy == "FULL" or force_full
+    strategy = "FULL" if force_full and mapping.strategy != "SCD2" else mapping.strategy
+    full, history = strategy == "FULL" or force_full, strategy == "SCD2"
+    allow = mapping.exception_strategy.upper() == "ALLOW"
 
     with run.step("DEPENDENCY_CHECK") as step:
         if check_upstreams and mapping.upstreams:
@@ -61,12 +113,20 @@ def run_mapping(spark: SparkSession, mapping: Mapping, sources: Sources, batch_d
         step.message = ", ".join(mapping.upstreams)
 
     with run.step("PREPROCESS") as step:
-        sinks.create_target(spark, target, mapping.target_schema(),
-                            partition_by=[mapping.partition_key] if mapping.partition_key else [])
-        days = [] if full else _touched_days(mapping, sources, batch_date, load_ts)
-        rows = (build(mapping, sources, batch_date, full=True, load_ts=load_ts, ordered=False) if full
-                else _whole_days(mapping, sources, days, load_ts))
-        step.message = "whole table" if full else f"{len(days)} days"
+        part = _batch_column(mapping) if mapping.strategy == "INCREMENTAL_INSERT" else mapping.partition_key
+        names, schema = DEFAULT_COLUMNS, mapping.target_schema()
+        if history:
+            names = history_columns(mapping)
+            natural, tracked = list(mapping.scd["natural_keys"]), list(mapping.scd["track_fields"])
+            schema, part = scd2_schema(schema, natural, tracked, names), names.expiry
+        elif allow:
+            schema = T.StructType([*schema.fields, T.StructField("dq_failed", T.StringType()), T.StructField("dq_status", T.StringType())])
+        sinks.create_target(spark, target, schema, partition_by=[part] if part else [])
+        by_day = strategy in ("INCREMENTAL_MERGE", "INCREMENTAL_UPDATE") and bool(mapping.partition_key)
+        days = _touched_days(mapping, sources, batch_date, load_ts) if by_day else []
+        rows = (_whole_days(mapping, sources, days, load_ts) if by_day
+                else build(mapping, sources, batch_date, full=full, load_ts=load_ts, ordered=False))
+        step.message = f"{len(days)} days" if by_day else "whole table" if full else "the increment"
 
     rules = [quality.rule_from_mapping(r, mapping.table, mapping.error_threshold) for r in mapping.rules]
     tables = dict(references or {})
@@ -76,10 +136,10 @@ def run_mapping(spark: SparkSession, mapping: Mapping, sources: Sources, batch_d
             source = next((s for s in mapping.sources if s.table == name), None)
             tables[name] = sources(source.name) if callable(sources) else sources[name]
 
-    def check_rows(df: DataFrame) -> int:
-        """Check, log what fails, and raise if the strategy rejects; returns the failing rows."""
+    def check_rows(df: DataFrame) -> tuple[int, float]:
+        """Check, log what fails, and raise if the strategy or a rule rejects; failing rows and their largest share."""
         if not rules:
-            return 0
+            return 0, 0.0
         tables[mapping.table] = df
         results = quality.check_with_samples(tables, rules, batch_date, sample=10).collect()  # one row per rule
         now = datetime.now()
@@ -89,31 +149,31 @@ def run_mapping(spark: SparkSession, mapping: Mapping, sources: Sources, batch_d
              "error_sample": r["error_details"], "check_time": now}
             for r in results if r["failed_rows"] > 0])
         quality.enforce(results, rules, mapping.exception_strategy)
-        return sum(r["failed_rows"] for r in results)
-
-    with run.step("DATA_LOAD") as step:
-        if mapping.exception_strategy.upper().startswith("REJECT"):
-            check_rows(rows)
-        if full:
-            report = sinks.overwrite(rows, target)
-        elif mapping.strategy == "INCREMENTAL_INSERT":
-            report = sinks.append(rows, target)
-        elif mapping.partition_key:
-            report = sinks.replace_days(rows, target, days, mapping.partition_key)
-        else:
-            report = sinks.upsert(rows, target, mapping.keys)
-        step.row_count, step.message = report.inserted, f"inserted {report.inserted}, deleted {report.deleted}"
+        return sum(r["failed_rows"] for r in results), max((float(r["failed_percentage"] or 0) for r in results), default=0.0)
+
+    with _staged(rows) as ready:
+        with run.step("DATA_LOAD") as step:
+            errors, share = check_rows(ready)
+            if allow and not history:
+                ready = quality.mark_rows(ready, [r for r in rules if r.rule_type in quality.ROW_TYPES])
+            if history:
+                report = sinks.merge_history(ready.select(*natural, *tracked), target, natural, tracked, batch_date, load_ts=load_ts, names=names)
+            elif full:
+                report = sinks.overwrite(ready, target)
+            elif strategy == "INCREMENTAL_INSERT":
+                report = sinks.replace_day(ready, target, batch_date, part)
+            elif by_day:
+                report = sinks.replace_days(ready, target, days, mapping.partition_key)
+            else:
+                report = sinks.upsert(ready, target, mapping.keys)
+            step.row_count, step.message = report.inserted, f"inserted {report.inserted}, deleted {report.deleted}"
 
     with run.step("DATA_QUALITY") as step:
-        loaded = spark.table(target)
-        if days and mapping.partition_key:
-            loaded = loaded.filter(F.col(mapping.partition_key).isin(days))
-        errors = check_rows(loaded)
-        step.message = f"{errors} failing"
+        step.error_rate_percent, step.message = share, f"{errors} failing"
 
     with run.step("STATISTICS") as step:
         sinks.refresh_statistics(spark, target)
-        if apply_retention and mapping.retention_days and mapping.partition_key:
+        if apply_retention and mapping.retention_days and mapping.partition_key and part == mapping.partition_key:
             dropped = sinks.drop_old_partitions(spark, target, batch_date, mapping.retention_days, mapping.partition_key)
             step.message = f"dropped {len(dropped)} partitions"
 

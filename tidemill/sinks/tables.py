@@ -83,7 +83,7 @@ def _file_system(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     where, files = _file_system(spark, path)
     files.delete(where, True)
 
@@ -125,7 +125,7 @@ def _aside(df: DataFrame, table: str) -> Iterator[str]:
         (writer.partitionBy(*parts) if parts else writer).parquet(path)
         yield path
     except BaseException:
-        _delete(spark, path)
+        delete_folder(spark, path)
         raise
 
 
@@ -160,7 +160,7 @@ def _publish(spark: SparkSession, table: str, path: str, touched: Iterable[tuple
             spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {_spec(folder)}")
     spark.catalog.refreshTable(table)
     for place in old:
-        _delete(spark, place)
+        delete_folder(spark, place)
 
 
 def _insert_overwrite(df: DataFrame, table: str, mode: str) -> None:
@@ -257,7 +257,7 @@ def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
             target = _same_key(target, rows, parts, "left_semi")
         with _aside(_untouched(target, rows, keys).unionByName(rows.select(*target.columns)), table) as path:
             _publish(spark, table, path, [] if partial else None)
-        _delete(spark, incoming)
+        delete_folder(spark, incoming)
     grown = spark.table(table).count() - before  # both counts come from file footers
     return LoadReport(inserted=grown, updated=seen.rows - grown)
 
