@@ -213,6 +213,28 @@ def range_copy(spark, sf_dir):
         F.count(F.lit(1)).alias("row_count"), F.min("o_orderkey").alias("min_id"), F.max("o_orderkey").alias("max_id"))
 
 
+def range_copy_null_keys(spark, sf_dir):
+    """Open orders lose their key here: rows without one are copied too, under no range."""
+    orders = Retail(spark, sf_dir).raw("orders").withColumn("k", F.when(F.col("o_orderstatus") != "O", F.col("o_orderkey")))
+    target = work_path(spark, "ranges")
+    copying.range_copy(orders, target, "k")
+    return spark.read.parquet(target).groupBy("range_no").agg(F.count(F.lit(1)).alias("row_count"), F.min("k").alias("min_id"))
+
+
+def upsert_null_partition(spark, sf_dir):
+    """An upsert into the partition of rows without a day keeps the rows of that partition that it does not name."""
+    orders = Retail(spark, sf_dir).raw("orders").select(
+        "o_orderkey", "o_orderstatus", F.when(F.col("o_orderstatus") != "O", F.trunc("o_orderdate", "year")).alias("year"))
+    db = f"upsert_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{work_path(spark, db)}'")
+    sinks.create_target(spark, f"{db}.t", orders.schema, partition_by=["year"])
+    sinks.overwrite(orders.filter("o_orderkey % 2 = 0"), f"{db}.t")
+    changed = orders.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("X"))
+    for _ in range(2):
+        sinks.upsert(changed, f"{db}.t", ["o_orderkey", "year"])
+    return spark.table(f"{db}.t")
+
+
 _LOADS = """WITH tagged AS (SELECT *, CASE WHEN ts <= TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS load_seq FROM events)"""
 _RANGES = """WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders),
     r AS (SELECT CAST(g.range AS INTEGER) AS range_no, lo + g.range * ((hi - lo + 1) // {n}) AS low,
@@ -220,6 +242,14 @@ _RANGES = """WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM
           FROM b CROSS JOIN range({n}) g)"""
 
 QUERIES = {
+    "range_copy_null_keys": (range_copy_null_keys, """
+        WITH o AS (SELECT CASE WHEN o_orderstatus <> 'O' THEN o_orderkey END AS k FROM orders),
+        b AS (SELECT min(k) AS lo, (max(k) - min(k) + 1) // 4 AS width FROM o)
+        SELECT CAST(CASE WHEN k IS NOT NULL THEN least((k - lo) // width, 3) END AS INTEGER) AS range_no, count(*) AS row_count, min(k) AS min_id FROM o, b GROUP BY 1"""),
+    "upsert_null_partition": (upsert_null_partition, """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_orderstatus <> 'O' THEN CAST(date_trunc('year', CAST(o_orderdate AS DATE)) AS DATE) END AS "year"
+        FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"""),
     "load_append": (load_append, _with_rows("SELECT * FROM order_rows UNION ALL SELECT * FROM order_rows WHERE order_status = 'P'")),
     "load_full": (load_full, _with_rows("SELECT * FROM order_rows WHERE order_status <> 'P'")),
     "load_force_full": (load_force_full, _with_rows("SELECT * FROM order_rows WHERE stat_year = DATE '1996-01-01'")),

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from tidemill.operators.quality import QualityError
 from tidemill.plans.builder import build
 from tidemill.plans.mapping import load_mapping, parse_mapping
 from tidemill.plans.runner import run_mapping
@@ -145,6 +146,88 @@ def flow_quality_log(spark, sf_dir):
     return log.faults().select("rule_id", "table_name", "error_count")
 
 
+MONTHS = (date(1995, 1, 31), date(1995, 2, 28))
+_MONTH = "date_trunc('month', CAST(o_orderdate AS DATE)) = date_trunc('month', DATE '${BATCH_DATE}')"
+
+
+def _strategy_document(strategy, attributes, condition=_MONTH, group_by=(), rules=(), **entity):
+    """A document over raw orders with a loading strategy."""
+    return parse_mapping({
+        "entity": {"mapping_id": f"M_{strategy}", "target_table": "result", "loading_strategy": strategy,
+                   "source_tables": [{"table_name": "orders", "alias": "o", "table_type": "PRIMARY"}],
+                   "incremental_config": {"incremental_condition": condition}, "validation_rules": list(rules),
+                   "sql_conditions": {"group_by": [{"sequence": i, "expression": g} for i, g in enumerate(group_by)]}, **entity},
+        "attributes": [{"seq": i, "target_field": n, "target_type": t, "target_precision": "18,2", "gen_type": g, "process_logic": e,
+                        "is_pk": "Y" if n == "o_orderkey" else ""} for i, (n, t, g, e) in enumerate(attributes)],
+    })
+
+
+_ORDER_FIELDS = [("o_orderkey", "BIGINT", "DIRECT", "o.o_orderkey"), ("price", "DECIMAL", "DIRECT", "o.o_totalprice"),
+                 ("stat_date", "DATE", "DERIVED", "CAST(o.o_orderdate AS DATE)"), ("batch", "DATE", "SYSTEM", "${BATCH_DATE}")]
+
+
+def _strategy_runs(spark, sf_dir, *documents):
+    """Runs each (document, batch date) twice into one table; a rejected run is left aside."""
+    log, db = RunLog(spark, work_path(spark, "runlog")), f"flow_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{work_path(spark, db)}'")
+    for document, day in documents:
+        for _ in range(2):
+            try:
+                run_mapping(spark, document, _raw(spark, sf_dir), day, log, target=f"{db}.result", load_ts=LOAD_TS)
+            except QualityError:
+                pass
+    return spark.table(f"{db}.result")
+
+
+def flow_full(spark, sf_dir):
+    doc = _strategy_document("FULL", _ORDER_FIELDS)
+    return _strategy_runs(spark, sf_dir, *[(doc, d) for d in MONTHS])
+
+
+def flow_insert(spark, sf_dir):
+    """Each batch's increment lies in the target once, however often it ran."""
+    doc = _strategy_document("INCREMENTAL_INSERT", _ORDER_FIELDS)
+    return _strategy_runs(spark, sf_dir, *[(doc, d) for d in MONTHS])
+
+
+def flow_merge(spark, sf_dir):
+    """Without a partition key the increment is upserted by the target's keys."""
+    doc = _strategy_document("INCREMENTAL_MERGE", _ORDER_FIELDS)
+    return _strategy_runs(spark, sf_dir, *[(doc, d) for d in MONTHS])
+
+
+def flow_update(spark, sf_dir):
+    doc = _strategy_document("INCREMENTAL_UPDATE", _ORDER_FIELDS[:3], partition_key="stat_date")
+    return _strategy_runs(spark, sf_dir, *[(doc, d) for d in MONTHS])
+
+
+def flow_scd2(spark, sf_dir):
+    """The number of orders of each customer up to the batch date, as a type 2 history."""
+    doc = _strategy_document(
+        "SCD2", [("o_custkey", "BIGINT", "DIRECT", "o.o_custkey"), ("orders", "BIGINT", "AGGREGATE", "COUNT(*)")],
+        "CAST(o_orderdate AS DATE) <= DATE '${BATCH_DATE}'", ["o.o_custkey"],
+        scd_config={"effective_date_field": "eff_start_date", "expire_date_field": "eff_end_date", "current_flag_field": "is_current",
+                    "natural_keys": ["o_custkey"], "track_fields": ["orders"], "end_date_max": "9999-12-31"})
+    return _strategy_runs(spark, sf_dir, *[(doc, d) for d in MONTHS])
+
+
+_DEAR = {"rule_id": "R1", "rule_name": "price", "rule_type": "RANGE", "field": "price", "max_value": 200000,
+         "error_action": "REJECT"}
+
+
+def flow_allow(spark, sf_dir):
+    """Rows that break a rule are loaded with their status."""
+    doc = _strategy_document("FULL", _ORDER_FIELDS, rules=[_DEAR], exception_strategy="ALLOW")
+    return _strategy_runs(spark, sf_dir, (doc, MONTHS[0])).groupBy("dq_status", "dq_failed").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def flow_reject(spark, sf_dir):
+    """A rule that rejects leaves the target as the run before it left it, also under LOG."""
+    fine = _strategy_document("INCREMENTAL_INSERT", _ORDER_FIELDS)
+    bad = _strategy_document("INCREMENTAL_INSERT", _ORDER_FIELDS, rules=[_DEAR], exception_strategy="LOG")
+    return _strategy_runs(spark, sf_dir, (fine, MONTHS[0]), (bad, MONTHS[1]))
+
+
 def _event_runs(spark, sf_dir):
     """A run log read off the events: one run per event, named by its type."""
     events = Retail(spark, sf_dir).raw("events")
@@ -217,7 +300,24 @@ MAPPING_CHANNEL_SQL = with_tables(
 _LATE_COUNT = f"(SELECT count(*) FROM ({ORDERS_LATE_SQL}) late)"
 _LATE_BAD = f"(SELECT count(*) FROM ({ORDERS_LATE_SQL}) late WHERE channel_code IN ('CH4', 'CH5'))"
 
+_ORDERS_SQL = """SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price, CAST(o_orderdate AS DATE) AS stat_date{more} FROM orders"""
+_TWO_MONTHS = " WHERE date_trunc('month', CAST(o_orderdate AS DATE)) IN (DATE '1995-01-01', DATE '1995-02-01')"
+_BATCH = ", last_day(CAST(o_orderdate AS DATE)) AS batch"
+
 QUERIES = {
+    "flow_full": (flow_full, _ORDERS_SQL.format(more=", DATE '1995-02-28' AS batch")),
+    "flow_insert": (flow_insert, _ORDERS_SQL.format(more=_BATCH) + _TWO_MONTHS),
+    "flow_merge": (flow_merge, _ORDERS_SQL.format(more=_BATCH) + _TWO_MONTHS),
+    "flow_update": (flow_update, _ORDERS_SQL.format(more="") + _TWO_MONTHS),
+    "flow_reject": (flow_reject, _ORDERS_SQL.format(more=_BATCH) + " WHERE date_trunc('month', CAST(o_orderdate AS DATE)) = DATE '1995-01-01'"),
+    "flow_allow": (flow_allow, """SELECT CASE WHEN o_totalprice > 200000 THEN 'REJECT' ELSE 'PASS' END AS dq_status,
+        CASE WHEN o_totalprice > 200000 THEN 'R1' ELSE '' END AS dq_failed, count(*) AS row_count FROM orders GROUP BY ALL"""),
+    "flow_scd2": (flow_scd2, """
+        WITH c AS (SELECT o_custkey, count(*) FILTER (CAST(o_orderdate AS DATE) <= DATE '1995-01-31') AS a, count(*) AS b FROM orders
+                   WHERE CAST(o_orderdate AS DATE) <= DATE '1995-02-28' GROUP BY o_custkey)
+        SELECT o_custkey, a AS orders, DATE '1995-01-31' AS eff_start_date,
+               CASE WHEN a = b THEN DATE '9999-12-31' ELSE DATE '1995-02-27' END AS eff_end_date, a = b AS is_current FROM c WHERE a > 0
+        UNION ALL SELECT o_custkey, b, DATE '1995-02-28', DATE '9999-12-31', true FROM c WHERE a <> b"""),
     "mapping_orders_summary": (mapping_orders_summary, ORDERS_FULL_SQL),
     "mapping_orders_day": (mapping_orders_day, ORDERS_DAY_SQL),
     "mapping_channel_sales": (mapping_channel_sales, MAPPING_CHANNEL_SQL),

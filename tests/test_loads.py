@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -240,3 +241,19 @@ def test_watermarks_keep_their_wall_clock_in_any_zone(spark, tmp_path, monkeypat
         spark.conf.set("spark.sql.session.timeZone", before)
         monkeypatch.undo()
         time.tzset()
+
+
+@pytest.mark.parametrize("strategy", ["FULL", "INCREMENTAL_MERGE", "INCREMENTAL_UPDATE"])
+def test_failed_load_keeps_the_old_rows(spark, table, strategy):
+    from pyspark.errors import PySparkException
+    before, places = content(spark, table), os.listdir(os.path.dirname(sinks._location(spark, table)))
+    bad = data(spark, (9, "x", 1)).withColumn(spark.table(table).columns[0], F.lit("no number"))
+    with pytest.raises(PySparkException):
+        sinks.load(bad, table, strategy, keys=[spark.table(table).columns[0]], day=D[1])
+    assert content(spark, table) == before
+    assert os.listdir(os.path.dirname(sinks._location(spark, table))) == places
+
+
+def test_upsert_refuses_bad_keys(spark, table):
+    with pytest.raises(sinks.SourceKeyError):
+        sinks.load(data(spark, (1, "x", 1), (1, "y", 1)), table, "INCREMENTAL_MERGE", keys=[spark.table(table).columns[0]])

@@ -289,7 +289,8 @@ def merge_history(src: DataFrame, table: str, keys: Sequence[str], compare: Sequ
 
 
 def load(df: DataFrame, table: str, strategy: str, *, keys: Sequence[str] = (), day: date | None = None,
-         day_column: str = "stat_date", compare: Sequence[str] = (), force_full: bool = False, load_ts=None) -> LoadReport:
+         day_column: str = "stat_date", compare: Sequence[str] = (), force_full: bool = False, load_ts=None,
+         names: Scd2Columns = DEFAULT_COLUMNS) -> LoadReport:
     """Write by strategy name; `force_full` turns every strategy into FULL."""
     strategy = "FULL" if force_full else strategy.upper()
     if strategy == "FULL":
