@@ -66,17 +66,17 @@ def mix64_array(x):
 
 
 class WordHashes(dict):
-    """Word -> XXH64, remembered up to a bound so that frequent words are hashed once per task."""
+    """Word -> XXH64 of its bytes with A-Z in lower case, remembered up to a bound so that frequent words are hashed once per task."""
 
     def __init__(self, seed: int = 42, bound: int = 200_000):
         super().__init__()
         self.seed, self.bound = seed, bound
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         import xxhash
         if len(self) >= self.bound:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, self.seed)
+        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass").lower(), self.seed)
         return value
 
 

@@ -9,15 +9,16 @@ equality, which finds every passage of more than 50 words that two documents sha
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WordHashes, arrow_limits, materialize, mix64, mix64_array, shingle_hashes
+from tidemill.llm.common import WORD, WordHashes, arrow_limits, materialize, mix64, mix64_array, shingle_hashes
 from tidemill.llm.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -28,6 +29,9 @@ PASSAGE, NEIGHBOURS = 16, 35
 RECALL = 0.9995
 CHUNK = 512
 LINE, PASSAGES = 0, 1
+#: Texts whose words are handled together.
+STEP = 256
+_WORD = re.compile(WORD)
 
 
 def tune(threshold: float = SIMILARITY, recall: float = RECALL, most: int = 8) -> tuple[int, int]:
@@ -39,87 +43,96 @@ def tune(threshold: float = SIMILARITY, recall: float = RECALL, most: int = 8) -
     raise ValueError("no banding reaches this recall with so few bands")
 
 
-def lines_of(text: str) -> list[tuple[int, int]]:
-    """(start, end) of each line in code points."""
-    found, at = [], 0
-    for line in text.split("\n"):
-        found.append((at, at + len(line)))
-        at += len(line) + 1
-    return found
+@dataclass
+class Words:
+    """The words of some texts, one after the other: hash, place in their text, and the lines they form."""
 
+    hashes: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    line_first: np.ndarray  # place of a line's first word, and of the one after its last
+    line_last: np.ndarray
+    line_text: np.ndarray  # number of the text
+    line_start: np.ndarray  # code points
+    line_end: np.ndarray
 
-def word_spans(line: str) -> list[tuple[int, int]]:
-    found, at = [], 0
-    for word in line.split(" "):
-        if word:
-            found.append((at, at + len(word)))
-        at += len(word) + 1
-    return found
 
+def _plain(text: str) -> bool:
+    """Whether single blanks and line breaks are all the white space there is between words."""
+    return not ("  " in text or "\n " in text or " \n" in text or "\t" in text or "\r" in text or "\v" in text or "\f" in text
+                or text[:1] == " " or text[-1:] == " ")
 
-def anchors(shingles: np.ndarray, width: int = NEIGHBOURS) -> np.ndarray:
-    """Positions that hold the least hash of some `width` neighbouring shingles; among equals the first."""
+
+def words_of(texts: list[str | None], known: WordHashes) -> Words:
+    """Words of the lines that have at least LEAST_WORDS of them."""
+    tokens: list[str] = []
+    starts, lines = [], []
+    odd: list[tuple[int, list[int]]] = []
+    for n, text in enumerate(texts):
+        if not text:
+            continue
+        plain, at = _plain(text), 0
+        for line in text.split("\n"):
+            if plain:
+                found = line.split(" ")
+            else:
+                spans = [m.span() for m in _WORD.finditer(line)]
+                found = [line[a:b] for a, b in spans]
+            if len(found) >= LEAST_WORDS:
+                if not plain:
+                    odd.append((len(tokens), [at + a for a, _ in spans]))
+                lines.append((len(tokens), len(tokens) + len(found), n, at, at + len(line)))
+                tokens += found
+            at += len(line) + 1
+    first, last, owner, start, end = (np.array(c, np.int64) for c in zip(*lines)) if lines else (np.zeros(0, np.int64),) * 5
+    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    upto = np.cumsum(size + 1)
+    word_start = upto - size - 1
+    if len(first):
+        word_start += np.repeat(start - word_start[first], last - first)
+    for place, own in odd:
+        word_start[place:place + len(own)] = own
+    hashes = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+    return Words(hashes, word_start, word_start + size, first, last, owner, start, end)
+
+
+def anchors(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, width: int = NEIGHBOURS) -> np.ndarray:
+    """Places that hold the least hash of some `width` neighbouring shingles of a line; among equals the first.
+
+    first and last bound each line's shingles; windows lie inside a line.
+    """
     count = len(shingles) - width + 1
-    if count < 1:
+    inside = last - first >= width
+    if count < 1 or not inside.any():
         return np.zeros(0, np.int64)
-    # pairs of hash and position in one number: the low bits carry the place, so the least is unique
-    order = (shingles & ~np.uint64((1 << 24) - 1)) | np.arange(len(shingles), dtype=np.uint64) & np.uint64((1 << 24) - 1)
-    least, span = order, 1
+    low = np.uint64((1 << 28) - 1)
+    # hash and place in one number, so the least is unique; a batch has far fewer words than 2 ** 28
+    least, span = (shingles & ~low) | np.arange(len(shingles), dtype=np.uint64), 1
     while span * 2 <= width:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     if span < width:
         least = np.minimum(least[:count], least[width - span:width - span + count])
-    chosen = np.zeros(len(shingles), bool)
-    place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-    window = np.arange(count)
-    chosen[(window & ~((1 << 24) - 1)) + place + np.where(place < (window & ((1 << 24) - 1)), 1 << 24, 0)] = True
-    return np.nonzero(chosen)[0]
-
-
-def _digest(data: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(data)
-
-
-def paragraphs_of(text: str | None, words: WordHashes, passages: bool = True):
-    """(kind, hash, second hash, start, end, shingles or None) of each paragraph and passage of a text."""
-    if not text:
-        return
-    seen: set[tuple[int, int]] = set()
-    for start, end in lines_of(text):
-        line = text[start:end]
-        tokens = line.encode("utf-8", "surrogatepass").lower().split()
-        if len(tokens) < LEAST_WORDS:
-            continue
-        joined = b" ".join(tokens)
-        hashes = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
-        shingles = shingle_hashes(hashes, SHINGLE)
-        yield LINE, _digest(joined), xxhash.xxh64_intdigest(joined, 7), start, end, shingles
-        if not passages or len(tokens) < NEIGHBOURS + SHINGLE - 1:
-            continue
-        at = anchors(shingles)
-        at = at[at + PASSAGE <= len(tokens)]
-        if not len(at):
-            continue
-        spans = _token_spans(line, len(tokens))
-        h1, h2 = passage_hashes(hashes, at)
-        for first, a, b in zip(at.tolist(), h1.tolist(), h2.tolist()):
-            if (a, b) not in seen:
-                seen.add((a, b))
-                yield PASSAGES, a, b, start + spans[first][0], start + spans[first + PASSAGE - 1][1], None
+    sizes = (last - first - width + 1)[inside]
+    windows = np.repeat(first[inside] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    return np.unique((least[windows] & low).astype(np.int64))
 
 
-def _token_spans(line: str, count: int) -> list[tuple[int, int]]:
-    spans = word_spans(line)
-    if len(spans) != count:
-        # other white space than the blank stands between words
-        import re
-        spans = [m.span() for m in re.finditer("[^\\x20\\x09-\\x0D]+", line)]
-    return spans
+def sequence_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each line's words in their order."""
+    if not len(first):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    size = last - first
+    place = (np.arange(len(hashes)) - np.repeat(first, size)).astype(np.uint64)
+    found = []
+    for seed in (11, 12):
+        mixed = mix64_array(hashes ^ mix64_array(place * np.uint64(2) + np.uint64(mix64(seed))))
+        found.append(mix64_array(np.add.reduceat(mixed, first) + size.astype(np.uint64)))
+    return found[0], found[1]
 
 
 def passage_hashes(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of the PASSAGE words from each position."""
+    """Two independent hashes of the PASSAGE words from each place."""
     one, two = np.zeros(len(at), np.uint64), np.full(len(at), 0x5851F42D4C957F2D, np.uint64)
     for k in range(PASSAGE):
         word = hashes[at + k]
@@ -128,60 +141,71 @@ def passage_hashes(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.n
     return one, two
 
 
-def band_hashes(shingles: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> list[np.ndarray]:
-    """For each band, one hash per paragraph; starts are the places of each paragraph's first shingle."""
-    found = []
+def band_hashes(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One hash per line and band from the least values of `rows` hash functions over the line's shingles."""
+    found = np.zeros((len(first), bands), np.uint64)
+    if not len(first):
+        return found
+    bounds = np.stack([first, last], axis=1).ravel()
+    if bounds[-1] == len(shingles):
+        bounds = bounds[:-1]
     for band in range(bands):
-        total = np.full(len(starts), mix64(band), np.uint64)
+        total = np.full(len(first), mix64(band), np.uint64)
         for row in range(rows):
             a, b = mix64(band * 97 + row) | 1, mix64(band * 89 + row + 5000)
-            total = mix64_array(total ^ np.minimum.reduceat((shingles * np.uint64(a)) ^ np.uint64(b), starts))
-        found.append(total)
+            total = mix64_array(total ^ np.minimum.reduceat((shingles * np.uint64(a)) ^ np.uint64(b), bounds)[::2])
+        found[:, band] = total
     return found
 
 
-
-
 def _paragraph_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Paragraphs and passages of (doc_id, content, text); lines carry their band hashes."""
-    words, (bands, rows) = WordHashes(), tune()
-
-    def ready(batch, out, sets):
-        at = pa.array(out[0], pa.int64())
-        keys = [None] * len(out[0])
-        if sets:
-            starts = np.cumsum([0] + [len(x) for _, x in sets[:-1]])
-            found = np.stack(band_hashes(np.concatenate([x for _, x in sets]), starts, bands, rows), axis=1).view(np.int64).tolist()
-            for (place, _), values in zip(sets, found):
-                keys[place] = values
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(out[1], pa.int32()), *(pa.array(np.array(c, np.uint64).view(np.int64)) for c in out[2:4]),
-             pa.array(out[4], pa.int64()), pa.array(out[5], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "content", "kind", "h1", "h2", "start", "end", "bands"])
-
+    known, (bands, rows) = WordHashes(), tune()
     for batch in batches:
-        out, sets = [[] for _ in range(6)], []
-        for row, text in enumerate(batch.column(2)):
-            for kind, h1, h2, start, end, shingles in paragraphs_of(text.as_py(), words):
-                if shingles is not None:
-                    sets.append((len(out[0]), shingles))
-                for column, value in zip(out, (row, kind, h1, h2, start, end)):
-                    column.append(value)
-            if len(out[0]) >= 5_000:
-                yield ready(batch, out, sets)
-                out, sets = [[] for _ in range(6)], []
-        yield ready(batch, out, sets)
+        for low in range(0, batch.num_rows, STEP):
+            part = batch.slice(low, STEP)
+            words = words_of(part.column(2).to_pylist(), known)
+            if not len(words.line_first):
+                continue
+            shingles, last = shingle_hashes(words.hashes, SHINGLE), words.line_last - SHINGLE + 1
+            h1, h2 = sequence_hashes(words.hashes, words.line_first, words.line_last)
+            keys = band_hashes(shingles, words.line_first, last, bands, rows)
+            yield _rows(part, words.line_text, LINE, h1, h2, words.line_start, words.line_end, keys)
+            at = anchors(shingles, words.line_first, last)
+            line = np.searchsorted(words.line_first, at, "right") - 1
+            fits = at + PASSAGE <= words.line_last[line]
+            at, owner = at[fits], words.line_text[line[fits]]
+            h1, h2 = passage_hashes(words.hashes, at)
+            # of equal passages in one text the first is kept
+            order = np.lexsort((at, h2, h1, owner))
+            new = np.ones(len(at), bool)
+            o, a, b = owner[order], h1[order], h2[order]
+            new[1:] = (o[1:] != o[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            keep = np.sort(order[new])
+            yield _rows(part, owner[keep], PASSAGES, h1[keep], h2[keep], words.start[at[keep]], words.end[at[keep] + PASSAGE - 1], None)
+
+
+def _rows(part, owner, kind: int, h1, h2, start, end, keys) -> pa.RecordBatch:
+    at, count = pa.array(owner), len(owner)
+    bands = pa.nulls(count, pa.list_(pa.int64())) if keys is None else pa.ListArray.from_arrays(
+        pa.array(np.arange(count + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel().view(np.int64)))
+    return pa.RecordBatch.from_arrays(
+        [part.column(0).take(at), part.column(1).take(at), pa.array(np.full(count, kind, np.int32)), pa.array(h1.view(np.int64)),
+         pa.array(h2.view(np.int64)), pa.array(start), pa.array(end), bands],
+        names=["doc_id", "content", "kind", "h1", "h2", "start", "end", "bands"])
 
 
 def _shingle_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h1, h2, shingles) of the lines of (text)."""
-    words = WordHashes()
+    known = WordHashes()
     for batch in batches:
-        for text in batch.column(0):
-            found = [x for x in paragraphs_of(text.as_py(), words, False)]
-            if found:
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.array([x[k] for x in found], np.uint64).view(np.int64)) for k in (1, 2)),
-                                                  pa.array([np.unique(x[5]).tobytes() for x in found], pa.binary())], names=["h1", "h2", "shingles"])
+        for low in range(0, batch.num_rows, STEP):
+            words = words_of(batch.column(0).slice(low, STEP).to_pylist(), known)
+            h1, h2 = sequence_hashes(words.hashes, words.line_first, words.line_last)
+            shingles = shingle_hashes(words.hashes, SHINGLE)
+            sets = [np.unique(shingles[a:b - SHINGLE + 1]).tobytes() for a, b in zip(words.line_first.tolist(), words.line_last.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(sets, pa.binary())],
+                                             names=["h1", "h2", "shingles"])
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
