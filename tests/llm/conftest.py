@@ -1,0 +1,19 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Rows with nulls in every column, empty and long texts, repeated rows, and columns named like the operators' own."""
+    long = " ".join(f"word{i % 977} term{i}" for i in range(6000))
+    near = [f"the quick brown fox number {i} jumps over the lazy dog again and again near the old river bank" for i in range(3)]
+    rows = [(1, long, "en", "a"), (2, None, "en", "a"), (3, "", None, "b"), (4, near[0], "en", None), (5, near[0], "en", "b"),
+            (None, near[1], "de", "c"), (None, None, None, None), (6, "   \n\t ", "en", "a"), (7, "é 1 2", "fr", "a"), (7, "é 1 2", "fr", "a"),
+            (8, near[2] + "\n" + near[2], "en", "a"), (9, "!!! ???", "en", "c"), (10, long, "en", "a")]
+    table = spark.createDataFrame([(i, t, lang, s, None if t is None else len(t), "x", 1, 2) for i, t, lang, s in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars long, rid string, fp int, place int")
+    return table
+
+
+@pytest.fixture(scope="session")
+def empty(docs):
+    return docs.limit(0)
