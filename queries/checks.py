@@ -10,6 +10,7 @@ from tidemill.operators import quality as q
 from tidemill.operators.quality import Rule
 from tidemill.plans import channel_sales as cs
 from tidemill.plans.orders_summary import orders_summary
+from tidemill.session import work_path
 from tidemill.sources import Retail
 
 from .duck import rounded, with_tables
@@ -158,6 +159,33 @@ SELECT check_date, count(*) AS total_checks, count(*) FILTER (WHERE pct = 0) AS
 FROM rated GROUP BY check_date"""
 
 
+STORED_DAYS = (date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 7))
+
+
+def dq_stored_trend(spark, sf_dir):
+    """Rules read from a table, one check per day, results stored by day and one day checked again; the trend is read from the store."""
+    rows = [("T1", "RANGE", "value", {"max": "250"}), ("T2", "CUSTOM", None, {"condition": "event_type = 'error'"}),
+            ("T3", "NOT_NULL", "user_id", {}), ("T4", "NOT_NULL", "event_id", {})]
+    table = spark.createDataFrame([(i, i, "", "events", c, t, f, None, "LOG", i != "T4", i) for i, t, c, f in rows], q.RULE_TABLE)
+    rules, path, events = q.rules_from_table(table), work_path(spark, "quality"), Retail(spark, sf_dir).raw("events")
+    for day in (*STORED_DAYS, STORED_DAYS[0]):
+        results = q.check({"events": events.filter(F.col("ts").cast("date") == F.lit(day))}, rules, day)
+        q.store_results(results, path)
+    return q.status_trend(q.stored_results(spark, path, results.schema))
+
+
+DQ_STORED_SQL = f"""
+WITH wide AS (SELECT CAST(ts AS DATE) AS check_date, count(*) AS total, count(*) FILTER (WHERE value > 250) AS r1,
+                     count(*) FILTER (WHERE event_type = 'error') AS r2, count(*) FILTER (WHERE user_id IS NULL) AS r3
+              FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-07' GROUP BY 1),
+long AS (SELECT check_date, total, r1 AS failed FROM wide UNION ALL SELECT check_date, total, r2 FROM wide
+         UNION ALL SELECT check_date, total, r3 FROM wide),
+rated AS (SELECT check_date, {rounded('failed * 100', 'total', 'DECIMAL(5,2)')} AS pct FROM long)
+SELECT check_date, count(*) AS total_checks, count(*) FILTER (WHERE pct = 0) AS passed,
+       count(*) FILTER (WHERE pct > 5) AS failed
+FROM rated GROUP BY check_date"""
+
+
 def dq_rule_report(spark, sf_dir):
     """Results joined to their rules' descriptions; the rule table is inline."""
     from tidemill.sources import values_relation
@@ -252,6 +280,7 @@ DQ_FLOW_SQL = with_tables("named_rows dim_channel", f"""
     FROM counted""", **_CHECKED)
 
 QUERIES = {
+    "dq_stored_trend": (dq_stored_trend, DQ_STORED_SQL),
     "dq_results_long": (_check(RULES), results_sql(RULES)),
     **{f"dq_{kind.lower()}": _of_type(kind) for kind in (
         "NOT_NULL", "UNIQUE", "RANGE", "REGEX", "CUSTOM", "REFERENTIAL", "IN_SET", "DATE_RANGE", "INT_RANGE", "TEXT_LENGTH")},

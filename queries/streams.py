@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemill.operators.quality import Rule
 from tidemill.session import work_path
+from tidemill.sinks import tables
 from tidemill.sources import Retail
 from tidemill.streaming import loads
 
@@ -32,6 +35,20 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(target).select("event_id", "event_type")
 
 
+def stream_newest(spark, sf_dir):
+    """Up to three differing copies of an event, spread over files that arrive one by one, not in order."""
+    events = Retail(spark, sf_dir).raw("events").select("event_id", "event_type", F.explode(
+        F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int"))).alias("version"))
+    events = events.withColumn("event_type", F.concat_ws("-", "event_type", "version"))
+    folder, db = work_path(spark, "copies"), f"stream_{uuid.uuid4().hex[:10]}"
+    events.repartition(4, F.xxhash64("event_id", "version")).write.parquet(folder)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{work_path(spark, db)}'")
+    tables.create_target(spark, f"{db}.newest", events.schema)
+    stream = loads.stream_source(spark, folder, events.schema, max_files=1)
+    loads.stream_newest(stream, ["event_id"], "version", f"{db}.newest", work_path(spark, "offsets"))
+    return spark.table(f"{db}.newest")
+
+
 GATE_RULES = [
     Rule("S1", "RANGE", "events", "value", {"min": 1, "max": 250}),
     Rule("S2", "IN_SET", "events", "event_type", {"values": ["view", "click", "purchase", "signup"]}),
@@ -45,6 +62,8 @@ def stream_gate(spark, sf_dir):
 
 
 QUERIES = {
+    "stream_newest": (stream_newest, """
+        SELECT event_id, concat(event_type, '-', event_id % 3) AS event_type, CAST(event_id % 3 AS INTEGER) AS version FROM events"""),
     "stream_incremental": (stream_incremental, "SELECT event_id, user_id, event_type, props FROM events"),
     "stream_dedup": (stream_dedup, "SELECT event_id, event_type FROM events"),
     "stream_gate": (stream_gate, """

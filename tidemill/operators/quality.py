@@ -13,7 +13,7 @@ from datetime import date
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import percent, rows_json
 from ..sources.reader import typed_rows
@@ -332,3 +332,33 @@ def enforce(results: Sequence[Mapping[str, Any]], rules: Sequence[Rule], strateg
 
 def with_threshold(rules: Iterable[Rule], threshold: float) -> list[Rule]:
     return [replace(r, threshold=threshold) for r in rules]
+
+
+RULE_TABLE = "rule_id string, rule_name string, schema_name string, table_name string, column_name string, rule_type string, " \
+             "rule_config map<string, string>, threshold double, error_action string, is_active boolean, description string"
+
+
+def rules_from_table(rules: DataFrame) -> list[Rule]:
+    """Rules kept as rows (RULE_TABLE); their number is that of the checks somebody wrote, not of the data."""
+    found = []
+    for r in rules.orderBy("rule_id").collect():
+        config = dict(r["rule_config"] or {})
+        if "values" in config:
+            config["values"] = config["values"].split("|")
+        for name in ("nulls_fail", "empty_fails", "valid_only"):
+            if name in config:
+                config[name] = config[name].lower() == "true"
+        found.append(Rule(r["rule_id"], r["rule_type"].upper(), r["table_name"], r["column_name"], config,
+                          DEFAULT_THRESHOLD if r["threshold"] is None else r["threshold"], r["rule_name"] or "",
+                          schema=r["schema_name"] or "", active=r["is_active"] is not False, error_action=r["error_action"] or "LOG"))
+    return found
+
+
+def store_results(results: DataFrame, path: str) -> None:
+    """Keeps one check date's results below a folder, partitioned by date; checking a date again replaces its results."""
+    (results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("check_date").parquet(path))
+
+
+def stored_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All results kept below a folder, for `status_trend` and `rule_report`."""
+    return spark.read.schema(schema).parquet(path)

@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.dedup import latest_row
 from ..operators.quality import Rule, mark_rows
+from ..sinks.tables import upsert
 
 
 def stream_source(spark: SparkSession, folder: str, schema: T.StructType, *, files: str | None = None,
@@ -52,6 +54,25 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay:
     _write(timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys)), target, checkpoint)
 
 
+def stream_newest(stream: DataFrame, keys: Sequence[str], newest_by: str, table: str, checkpoint: str) -> None:
+    """Keep the newest row of each key in a table, however late or in whatever order its copies arrive.
+
+    Each micro-batch is reduced to its newest rows, those older than the table's are left out, the rest is upserted; a
+    batch that runs again after a failure changes nothing. No state is kept besides the table, so no copy comes too late.
+    """
+    def merge(batch: DataFrame, _: int) -> None:
+        rows = latest_row(batch, keys, newest_by)
+        held = batch.sparkSession.table(table).select(*keys, F.col(newest_by).alias("__held"))
+        fresh = rows.join(held, list(keys), "left").filter(F.col("__held").isNull() | (F.col(newest_by) >= F.col("__held")))
+        upsert(fresh.drop("__held"), table, keys)
+
+    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
 def stream_quality_gate(stream: DataFrame, rules: Sequence[Rule], target: str, checkpoint: str) -> None:
     """Split passed and rejected rows into the folders dq_status=PASS and dq_status=REJECT in one pass."""
     _write(mark_rows(stream, rules), target, checkpoint, partition_by=["dq_status"])
