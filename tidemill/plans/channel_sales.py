@@ -178,4 +178,5 @@ def channel_sales(tables: Mapping[str, DataFrame], batch_date: date | None = Non
     named = with_dimensions(base_rows(tables, batch_date), tables)
     totals = channel_totals(named, by, order_grain)
     key_parts = by if order_grain else ["stat_date", "channel_code"]
-    return conform(final_metrics(totals, key_parts, batch_date, load_ts), CHANNEL_SALES)
+    # at order grain the category is no group, so it stays NULL
+    return conform(final_metrics(totals, key_parts, batch_date, load_ts), CHANNEL_SALES, missing_as_null=order_grain)
