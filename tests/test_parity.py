@@ -33,4 +33,5 @@ def test_compare_notices_differences(spark, duck):
 def test_contract():
     import __spark_entry__ as entry
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not [n for n in entry.queries() if n.startswith(("op_", "pipeline"))]
+    assert set(QUERIES) <= set(entry.queries())
+    assert not [n for n in QUERIES if n.startswith(("op_", "pipeline"))]
