@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,20 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def with_row_id(docs: DataFrame, purpose: str) -> DataFrame:
+    """(row, rid): each row as a struct, and an id that is unique and the same in every pass over the rows.
+
+    Rows of a plain file scan are named by their file and place in it. Others are written once to a table, whose rows keep the number
+    they got.
+    """
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation" and "_metadata" not in docs.columns:
+        try:
+            return docs.select(F.struct("*").alias("row"), F.struct("_metadata.file_path", "_metadata.row_index").alias("rid"))
+        except AnalysisException:
+            pass  # a source without row numbers
+    return materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), purpose)
+
+
 def text_of(name: str = "text") -> Column:
     """A null text counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WORD, arrow_limits, materialize, mix64, mix64_array
+from tidemill.llm.common import WORD, arrow_limits, materialize, mix64, mix64_array, with_row_id
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
@@ -169,9 +169,9 @@ def mix(rows: DataFrame, block: int = BLOCK, seed: int = SEED, shard_blocks: int
     arrow_limits(spark)
     sources = source_plan(rows, block)
     if not sources:
-        none = "rid long, doc_id long, source string, size long, no int, start long"
-        return (spark.createDataFrame([], "shard long, place long, rid long, doc_id long, pass int, first long, last long"),
-                spark.createDataFrame([], none), sources)
+        none, number = rows.filter("false"), F.lit(0).cast("long")
+        return (none.select(number.alias("shard"), number.alias("place"), "rid", "doc_id", F.lit(0).alias("pass"), number.alias("first"), number.alias("last")),
+                none.select("rid", "doc_id", "source", "size", F.lit(0).alias("no"), number.alias("start")), sources)
     where = materialize(placed(rows, sources), "mix-placed")
     drawn = draw_blocks(spark, sources, seed, shard_blocks)
     parts = where.filter("size > 0").select("rid", "doc_id", "no", "start", "size", F.explode(F.sequence(
@@ -223,7 +223,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     A document that a pass takes whole is a row with its whole text; of one taken in part each stretch is a row, cut between words.
     n_chars, where docs has it, becomes the length of the row's text.
     """
-    kept = materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "mix-rows")
+    kept = with_row_id(docs, "mix-rows")
     rows = materialize(sized(kept.select("rid", "row.doc_id", "row.source", "row.text")), "mix-sizes")
     pieces, _, _ = mix(rows)
     taken = pieces.groupBy("rid", "pass").agg(F.collect_list(F.struct("first", "last")).alias("pieces"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import MASK, arrow_limits, materialize, mix64
+from tidemill.llm.common import MASK, arrow_limits, materialize, mix64, with_row_id
 from tidemill.llm.graph import components
 
 SHINGLE = 3
@@ -188,9 +188,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of repeated rows with that id one stays.
     """
     arrow_limits(docs.sparkSession)
-    rows = materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"),
-                                   fingerprint(F.col("text")).alias("fp")), "simhash-rows")
+    rows = with_row_id(docs, "simhash-rows")
+    prints = materialize(rows.select("rid", F.col("row.doc_id").alias("doc_id"), fingerprint(F.col("row.text")).alias("fp")), "simhash")
     # an id is unique and orders as (null last, doc_id, row)
-    order = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), F.col("rid").alias("rid"))
-    kept = near_duplicates(rows.select("fp", order.alias("order")), "order").select(F.col("least.rid").alias("rid")).distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
+    kept = near_duplicates(prints.select("fp", order.alias("order")), "order").select(F.col("least.rid").alias("rid")).distinct()
     return rows.join(kept, "rid", "left_semi").select("row.*")
