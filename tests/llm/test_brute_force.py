@@ -202,6 +202,21 @@ def test_shared_passage_inside_lines(spark):
     assert substrings.tune() == (8, 2)
 
 
+def test_shared_passage_across_lines(spark):
+    rng = random.Random(5)
+    def words(n):
+        return [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    passage, wrapped = words(51), words(60)
+    broken = " ".join(passage[:26]) + "\n" + " ".join(passage[26:])
+    lines = "\n".join(" ".join(wrapped[k:k + 12]) for k in range(0, 60, 12))
+    frame = spark.createDataFrame([(1, " ".join(words(60)) + " " + broken + " " + " ".join(words(30))), (2, " ".join(words(41) + passage + words(9))),
+                                   (3, " ".join(words(20)) + " " + lines), (4, " ".join(words(33) + wrapped)), (5, "tail " + lines),
+                                   (6, "one\n\ntwo words"), (7, "two words\nthree")], "doc_id long, text string")
+    found = substrings.repeated_paragraphs(frame).collect()
+    assert {(r.doc_id, r.group_doc_id) for r in found if r.kind == "passage"} == {(1, 1), (2, 1), (3, 3), (4, 3), (5, 3)}
+    assert {(r.doc_id, r.start, r.removed) for r in found if r.kind == "paragraph" and r.doc_id > 5} == {(6, 5, False), (7, 0, True)}
+
+
 def test_mixing(spark):
     assert mixing.targets([100, 100, 100]) == pytest.approx([200, 500 / 3, 250 / 3])
     quotas = np.array([500, 300, 7])

@@ -2,9 +2,10 @@
 
 A paragraph is a line of a text. Equal paragraphs are one group by their hash; distinct ones meet through MinHash
 bands tuned for recall, colliding ones are verified by the exact Jaccard similarity of their five-word shingles, and
-connected components form the groups. A passage inside longer lines is a paragraph that its line breaks do not show: windows of
-PASSAGE words that start at positions chosen by content alone (the least shingle hash of every NEIGHBOURS) are compared for
-equality, which finds every passage of more than 50 words that two documents share. One occurrence of each group stays.
+connected components form the groups. Lines too short for a shingle are compared by their hash alone. A passage is a paragraph that
+line breaks do not show: windows of PASSAGE words of the whole text, line breaks ignored, that start at positions chosen by content
+alone (the least shingle hash of every NEIGHBOURS) are compared for equality, which finds every passage of 50 words or more that two
+documents share. One occurrence of each group stays.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from tidemill.llm.common import WORD, WordHashes, arrow_limits, materialize, mix
 from tidemill.llm.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Lines with fewer words are left alone; two of them agree by chance.
-LEAST_WORDS = 16
+#: Lines with fewer words are left alone: those without any.
+LEAST_WORDS = 1
 #: An anchor lies among any NEIGHBOURS + SHINGLE - 1 words, and NEIGHBOURS - 1 + PASSAGE words hold its whole window: 50 words.
 PASSAGE, NEIGHBOURS = 16, 35
 RECALL = 0.9995
@@ -45,7 +46,7 @@ def tune(threshold: float = SIMILARITY, recall: float = RECALL, most: int = 8) -
 
 @dataclass
 class Words:
-    """The words of some texts, one after the other: hash, place in their text, and the lines they form."""
+    """The words of some texts, one after the other: hash, place in their text, and the lines and texts they form."""
 
     hashes: np.ndarray
     start: np.ndarray
@@ -55,6 +56,9 @@ class Words:
     line_text: np.ndarray  # number of the text
     line_start: np.ndarray  # code points
     line_end: np.ndarray
+    text_first: np.ndarray  # as for lines; texts without words are left out
+    text_last: np.ndarray
+    text_number: np.ndarray
 
 
 def _plain(text: str) -> bool:
@@ -64,7 +68,7 @@ def _plain(text: str) -> bool:
 
 
 def words_of(texts: list[str | None], known: WordHashes) -> Words:
-    """Words of the lines that have at least LEAST_WORDS of them."""
+    """All words of the texts, and the lines that have one."""
     tokens: list[str] = []
     starts, lines = [], []
     odd: list[tuple[int, list[int]]] = []
@@ -78,7 +82,7 @@ def words_of(texts: list[str | None], known: WordHashes) -> Words:
             else:
                 spans = [m.span() for m in _WORD.finditer(line)]
                 found = [line[a:b] for a, b in spans]
-            if len(found) >= LEAST_WORDS:
+            if line and len(found) >= LEAST_WORDS:
                 if not plain:
                     odd.append((len(tokens), [at + a for a, _ in spans]))
                 lines.append((len(tokens), len(tokens) + len(found), n, at, at + len(line)))
@@ -93,13 +97,15 @@ def words_of(texts: list[str | None], known: WordHashes) -> Words:
     for place, own in odd:
         word_start[place:place + len(own)] = own
     hashes = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
-    return Words(hashes, word_start, word_start + size, first, last, owner, start, end)
+    opens = np.flatnonzero(np.diff(owner, prepend=-1))
+    return Words(hashes, word_start, word_start + size, first, last, owner, start, end,
+                 first[opens], np.append(first[opens[1:]], len(tokens))[:len(opens)], owner[opens])
 
 
 def anchors(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, width: int = NEIGHBOURS) -> np.ndarray:
-    """Places that hold the least hash of some `width` neighbouring shingles of a line; among equals the first.
+    """Places that hold the least hash of some `width` neighbouring shingles of a text; among equals the first.
 
-    first and last bound each line's shingles; windows lie inside a line.
+    first and last bound each text's shingles; windows lie inside a text.
     """
     count = len(shingles) - width + 1
     inside = last - first >= width
@@ -167,14 +173,15 @@ def _paragraph_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             words = words_of(part.column(2).to_pylist(), known)
             if not len(words.line_first):
                 continue
-            shingles, last = shingle_hashes(words.hashes, SHINGLE), words.line_last - SHINGLE + 1
+            shingles = shingle_hashes(words.hashes, SHINGLE)
             h1, h2 = sequence_hashes(words.hashes, words.line_first, words.line_last)
-            keys = band_hashes(shingles, words.line_first, last, bands, rows)
-            yield _rows(part, words.line_text, LINE, h1, h2, words.line_start, words.line_end, keys)
-            at = anchors(shingles, words.line_first, last)
-            line = np.searchsorted(words.line_first, at, "right") - 1
-            fits = at + PASSAGE <= words.line_last[line]
-            at, owner = at[fits], words.line_text[line[fits]]
+            long = words.line_last - words.line_first >= SHINGLE
+            for kind, keys in ((long, band_hashes(shingles, words.line_first[long], words.line_last[long] - SHINGLE + 1, bands, rows)), (~long, None)):
+                yield _rows(part, words.line_text[kind], LINE, h1[kind], h2[kind], words.line_start[kind], words.line_end[kind], keys)
+            at = anchors(shingles, words.text_first, words.text_last - SHINGLE + 1)
+            text = np.searchsorted(words.text_first, at, "right") - 1
+            fits = at + PASSAGE <= words.text_last[text]
+            at, owner = at[fits], words.text_number[text[fits]]
             h1, h2 = passage_hashes(words.hashes, at)
             # of equal passages in one text the first is kept
             order = np.lexsort((at, h2, h1, owner))
@@ -196,15 +203,16 @@ def _rows(part, owner, kind: int, h1, h2, start, end, keys) -> pa.RecordBatch:
 
 
 def _shingle_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, shingles) of the lines of (text)."""
+    """(h1, h2, shingles) of the lines of (text) that have a shingle."""
     known = WordHashes()
     for batch in batches:
         for low in range(0, batch.num_rows, STEP):
             words = words_of(batch.column(0).slice(low, STEP).to_pylist(), known)
             h1, h2 = sequence_hashes(words.hashes, words.line_first, words.line_last)
             shingles = shingle_hashes(words.hashes, SHINGLE)
-            sets = [np.unique(shingles[a:b - SHINGLE + 1]).tobytes() for a, b in zip(words.line_first.tolist(), words.line_last.tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(sets, pa.binary())],
+            long = words.line_last - words.line_first >= SHINGLE
+            sets = [np.unique(shingles[a:b - SHINGLE + 1]).tobytes() for a, b in zip(words.line_first[long].tolist(), words.line_last[long].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(h1[long].view(np.int64)), pa.array(h2[long].view(np.int64)), pa.array(sets, pa.binary())],
                                              names=["h1", "h2", "shingles"])
 
 
@@ -281,7 +289,7 @@ def paragraph_links(lines: DataFrame, texts: DataFrame) -> DataFrame:
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, start, end, kind, group_doc_id, group_start, members, removed: one row per occurrence in a group of two or more.
 
-    start and end are code points of the text. kind is paragraph (a line, near copies linked) or passage (equal words inside lines). The group is
+    start and end are code points of the text. kind is paragraph (a line, near copies linked) or passage (equal words, across lines too). The group is
     named by its first occurrence, that with the smallest doc_id and start, which stays; the others are removed. Null ids
     come last. Texts that are null, empty or repeat nothing give no rows; repeated rows repeat each other. A passage that
     occurs several times in one document counts there once; a repeated line counts each time.
@@ -293,7 +301,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     found = materialize(texts.mapInArrow(
         _paragraph_tasks, f"doc_id {kind}, content long, kind int, h1 long, h2 long, start long, end long, bands array<long>"), "paragraphs", "kind")
     lines, passages = found.filter(F.col("kind") == LINE), found.filter(F.col("kind") == PASSAGES)
-    group = components(paragraph_links(lines.select("h1", "h2", "content", "bands"), texts.select("content", "text")), "a", "b")
+    group = components(paragraph_links(lines.filter("bands IS NOT NULL").select("h1", "h2", "content", "bands"), texts.select("content", "text")), "a", "b")
     # most passages occur once: those are left out by their hash alone before their rows are moved
     repeated = passages.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1")
     passages = passages.select("doc_id", "start", "end", "h1", "h2").join(repeated, "h1")
