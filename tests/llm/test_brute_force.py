@@ -217,6 +217,35 @@ def test_shared_passage_across_lines(spark):
     assert {(r.doc_id, r.start, r.removed) for r in found if r.kind == "paragraph" and r.doc_id > 5} == {(6, 5, False), (7, 0, True)}
 
 
+def test_passages_are_whole(spark):
+    rng = random.Random(6)
+    def words(n):
+        return [f"w{rng.randrange(40)}" if rng.random() < 0.5 else f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    one, two, inner = words(90), words(50), words(70)
+    docs = {1: words(30) + two + words(10), 2: words(45) + one + words(20) + inner + words(5) + inner + words(11), 3: words(8) + one[:60] + words(40),
+            4: one[20:] + two + words(3), 5: ["a", "b", "c"] * 60, 6: words(49), 7: words(80), 8: words(80)[:31] + one[:49] + words(9), 9: ["a", "b", "c"] * 60}
+    docs[7] = docs[2]
+    width, places = substrings.LEAST_PASSAGE, {}
+    for i, w in docs.items():
+        for k in range(len(w) - width + 1):
+            places.setdefault(tuple(w[k:k + width]), []).append((i, k))
+    wanted, kept = set(), set()
+    for found in places.values():
+        for n, (i, k) in enumerate(found if len(found) > 1 else []):
+            own = found[0][1] + width if n and found[0][0] == i else 0
+            (wanted if n else kept).update((i, x) for x in range(max(k, own), k + width))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    got = {True: set(), False: set()}
+    rows = substrings.repeated_paragraphs(frame).filter("kind = 'passage'").collect()
+    for r in rows:
+        text = " ".join(docs[r.doc_id])
+        span, before = text[r.start:r.end].split(), len(text[:r.start].split())
+        got[r.removed] |= {(r.doc_id, before + k) for k in range(len(span))}
+    assert got[True] == wanted and got[False] == kept
+    assert {(r.doc_id, r.removed) for r in rows if r.group_doc_id == 2} >= {(2, False), (2, True), (3, True), (4, True), (7, True)}
+    assert [(r.start, r.end) for r in rows if r.doc_id == 7] != [] and 6 not in {r.doc_id for r in rows}
+
+
 def test_mixing(spark):
     assert mixing.targets([100, 100, 100]) == pytest.approx([200, 500 / 3, 250 / 3])
     quotas = np.array([500, 300, 7])

@@ -4,8 +4,9 @@ A paragraph is a line of a text. Equal paragraphs are one group by their hash; d
 bands tuned for recall, colliding ones are verified by the exact Jaccard similarity of their five-word shingles, and
 connected components form the groups. Lines too short for a shingle are compared by their hash alone. A passage is a paragraph that
 line breaks do not show: windows of PASSAGE words of the whole text, line breaks ignored, that start at positions chosen by content
-alone (the least shingle hash of every NEIGHBOURS) are compared for equality, which finds every passage of 50 words or more that two
-documents share. One occurrence of each group stays.
+alone (the least shingle hash of every NEIGHBOURS) are seeds. A run of LEAST_PASSAGE words always holds a seed chosen by its own words;
+the runs whose seed occurs again are compared for equality at every place, and repeated runs that touch are joined. This marks
+exactly the words of all runs of LEAST_PASSAGE words that occur twice, in two documents or in one. One occurrence of each group stays.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WORD, WordHashes, arrow_limits, materialize, mix64, mix64_array, shingle_hashes
+from tidemill.llm.common import WORD, WordHashes, arrow_limits, materialize, mix64, mix64_array, shingle_hashes, with_row_id
 from tidemill.llm.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -27,9 +28,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 LEAST_WORDS = 1
 #: An anchor lies among any NEIGHBOURS + SHINGLE - 1 words, and NEIGHBOURS - 1 + PASSAGE words hold its whole window: 50 words.
 PASSAGE, NEIGHBOURS = 16, 35
+LEAST_PASSAGE = NEIGHBOURS - 1 + PASSAGE
 RECALL = 0.9995
 CHUNK = 512
-LINE, PASSAGES = 0, 1
+LINE, SEED = 0, 1
 #: Texts whose words are handled together.
 STEP = 256
 _WORD = re.compile(WORD)
@@ -102,15 +104,15 @@ def words_of(texts: list[str | None], known: WordHashes) -> Words:
                  first[opens], np.append(first[opens[1:]], len(tokens))[:len(opens)], owner[opens])
 
 
-def anchors(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, width: int = NEIGHBOURS) -> np.ndarray:
-    """Places that hold the least hash of some `width` neighbouring shingles of a text; among equals the first.
+def least_places(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, width: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+    """(place, place of the least hash among the `width` neighbouring shingles from there; among equals the first).
 
     first and last bound each text's shingles; windows lie inside a text.
     """
     count = len(shingles) - width + 1
     inside = last - first >= width
     if count < 1 or not inside.any():
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = np.uint64((1 << 28) - 1)
     # hash and place in one number, so the least is unique; a batch has far fewer words than 2 ** 28
     least, span = (shingles & ~low) | np.arange(len(shingles), dtype=np.uint64), 1
@@ -121,7 +123,12 @@ def anchors(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, width: in
         least = np.minimum(least[:count], least[width - span:width - span + count])
     sizes = (last - first - width + 1)[inside]
     windows = np.repeat(first[inside] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    return np.unique((least[windows] & low).astype(np.int64))
+    return windows, (least[windows] & low).astype(np.int64)
+
+
+def anchors(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, width: int = NEIGHBOURS) -> np.ndarray:
+    """Places that hold the least hash of some `width` neighbouring shingles of a text."""
+    return np.unique(least_places(shingles, first, last, width)[1])
 
 
 def sequence_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,10 +144,10 @@ def sequence_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) ->
     return found[0], found[1]
 
 
-def passage_hashes(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of the PASSAGE words from each place."""
+def passage_hashes(hashes: np.ndarray, at: np.ndarray, width: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the `width` words from each place."""
     one, two = np.zeros(len(at), np.uint64), np.full(len(at), 0x5851F42D4C957F2D, np.uint64)
-    for k in range(PASSAGE):
+    for k in range(width):
         word = hashes[at + k]
         one = mix64_array(one ^ word)
         two = mix64_array(two + word * np.uint64(0x9FB21C651E98DF25))
@@ -165,7 +172,7 @@ def band_hashes(shingles: np.ndarray, first: np.ndarray, last: np.ndarray, bands
 
 
 def _paragraph_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paragraphs and passages of (doc_id, content, text); lines carry their band hashes."""
+    """Lines and seeds of (doc_id, content, text); lines carry their band hashes, seeds the number of their first word as start."""
     known, (bands, rows) = WordHashes(), tune()
     for batch in batches:
         for low in range(0, batch.num_rows, STEP):
@@ -181,24 +188,44 @@ def _paragraph_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             at = anchors(shingles, words.text_first, words.text_last - SHINGLE + 1)
             text = np.searchsorted(words.text_first, at, "right") - 1
             fits = at + PASSAGE <= words.text_last[text]
-            at, owner = at[fits], words.text_number[text[fits]]
-            h1, h2 = passage_hashes(words.hashes, at)
-            # of equal passages in one text the first is kept
-            order = np.lexsort((at, h2, h1, owner))
-            new = np.ones(len(at), bool)
-            o, a, b = owner[order], h1[order], h2[order]
-            new[1:] = (o[1:] != o[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            keep = np.sort(order[new])
-            yield _rows(part, owner[keep], PASSAGES, h1[keep], h2[keep], words.start[at[keep]], words.end[at[keep] + PASSAGE - 1], None)
+            at, text = at[fits], text[fits]
+            yield _rows(part, words.text_number[text], SEED, passage_hashes(words.hashes, at)[0], None, at - words.text_first[text], None, None)
+
+
+def _run_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of LEAST_PASSAGE words in (content, none, id, copies, places, text) whose own seed is at one of the places."""
+    known = WordHashes()
+    for batch in batches:
+        for low in range(0, batch.num_rows, STEP):
+            part = batch.slice(low, STEP)
+            words = words_of(part.column(5).to_pylist(), known)
+            seeded = np.zeros(len(words.hashes), bool)
+            begin = np.zeros(part.num_rows, np.int64)
+            begin[words.text_number] = words.text_first
+            places = part.column(4)
+            seeded[np.asarray(places.flatten()) + np.repeat(begin, np.asarray(places.value_lengths()))] = True
+            at, seed = least_places(shingle_hashes(words.hashes, SHINGLE), words.text_first, words.text_last - SHINGLE + 1)
+            text = np.searchsorted(words.text_first, at, "right") - 1
+            keep = at + LEAST_PASSAGE <= words.text_last[text]
+            keep[keep] = seeded[seed[keep]]
+            at, text = at[keep], text[keep]
+            h1, h2 = passage_hashes(words.hashes, at, LEAST_PASSAGE)
+            owner = pa.array(words.text_number[text])
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(k).take(owner) for k in range(4)), pa.array((at - words.text_first[text]).astype(np.int32)),
+                 pa.array(words.start[at].astype(np.int32)), pa.array(words.end[at + LEAST_PASSAGE - 1].astype(np.int32)),
+                 pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+                names=["content", "none", "id", "copies", "at", "start", "end", "h1", "h2"])
 
 
 def _rows(part, owner, kind: int, h1, h2, start, end, keys) -> pa.RecordBatch:
     at, count = pa.array(owner), len(owner)
     bands = pa.nulls(count, pa.list_(pa.int64())) if keys is None else pa.ListArray.from_arrays(
         pa.array(np.arange(count + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel().view(np.int64)))
+    none, ids = pa.nulls(count, pa.int64()), part.column(0)
     return pa.RecordBatch.from_arrays(
-        [part.column(0).take(at), part.column(1).take(at), pa.array(np.full(count, kind, np.int32)), pa.array(h1.view(np.int64)),
-         pa.array(h2.view(np.int64)), pa.array(start), pa.array(end), bands],
+        [pa.nulls(count, ids.type) if kind == SEED else ids.take(at), part.column(1).take(at), pa.array(np.full(count, kind, np.int32)),
+         pa.array(h1.view(np.int64)), none if h2 is None else pa.array(h2.view(np.int64)), pa.array(start), none if end is None else pa.array(end), bands],
         names=["doc_id", "content", "kind", "h1", "h2", "start", "end", "bands"])
 
 
@@ -286,36 +313,65 @@ def paragraph_links(lines: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(_link_tasks, "a string, b string").distinct())
 
 
+def repeated_runs(seeds: DataFrame, docs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, start, end, members, group_doc_id, group_start, removed): spans of joined runs of LEAST_PASSAGE words that occur more than once.
+
+    seeds (content, h1, start), docs (doc_id, rid, content), texts (rid, text). Equal texts are searched once and counted as often
+    as they occur. A run that overlaps its own first occurrence gives the words behind that only.
+    """
+    often = materialize(seeds.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1"), "seeds")
+    # seeds that occur once are left out before their texts are moved
+    places = seeds.join(often, "h1").groupBy("content").agg(F.collect_set(F.col("start").cast("int")).alias("places"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "rid")
+    distinct = materialize(docs.groupBy("content").agg(F.min(own).alias("own"), F.count(F.lit(1)).alias("copies")), "distinct-texts")
+    wanted = distinct.join(places, "content").select("content", "own", "copies", "places", F.col("own.rid").alias("rid"))
+    runs = materialize(texts.join(wanted, "rid").select("content", "own.none", "own.id", "copies", "places", "text").mapInArrow(
+        _run_tasks, f"content long, none boolean, id {kind}, copies long, at int, start int, end int, h1 long, h2 long"), "runs")
+    first = F.struct("none", "id", "at", "content", "start", "end")
+    least = materialize(runs.groupBy("h1", "h2").agg(F.sum("copies").alias("members"), F.min(first).alias("first")).filter("members > 1"), "first-runs")
+    found = runs.select("content", "copies", "at", "start", "end", "h1", "h2").join(least, ["h1", "h2"])
+    # the first of equal texts keeps what occurs in it first, the others keep nothing
+    found = found.withColumn("copy", F.explode(F.when(F.col("copies") > 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    same = ~F.col("copy") & (F.col("content") == F.col("first.content"))
+    found = found.withColumn("removed", ~(same & (F.col("at") == F.col("first.at"))))
+    found = found.withColumn("start", F.when(same & F.col("removed"), F.greatest("start", "first.end")).otherwise(F.col("start")))
+    text = Window.partitionBy("content", "copy", "removed")
+    found = found.withColumn("begins", F.coalesce(F.col("at") > F.lag("at").over(text.orderBy("at")) + LEAST_PASSAGE, F.lit(True)))
+    found = found.withColumn("span", F.count_if("begins").over(text.orderBy("at")))
+    spans = found.groupBy("content", "copy", "removed", "span").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.max("members").alias("members"), F.min_by("first", "at").alias("first"))
+    named = docs.join(distinct.select("content", "own"), "content").select("content", "doc_id", (F.col("rid") != F.col("own.rid")).alias("copy"))
+    return spans.join(named, ["content", "copy"]).select(
+        "doc_id", F.col("start").cast("long"), F.col("end").cast("long"), "members",
+        F.col("first.id").alias("group_doc_id"), F.col("first.start").cast("long").alias("group_start"), "removed")
+
+
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, start, end, kind, group_doc_id, group_start, members, removed: one row per occurrence in a group of two or more.
 
-    start and end are code points of the text. kind is paragraph (a line, near copies linked) or passage (equal words, across lines too). The group is
-    named by its first occurrence, that with the smallest doc_id and start, which stays; the others are removed. Null ids
-    come last. Texts that are null, empty or repeat nothing give no rows; repeated rows repeat each other. A passage that
-    occurs several times in one document counts there once; a repeated line counts each time.
+    start and end are code points of the text. kind is paragraph (a line, near copies linked) or passage (equal words, across lines too).
+    The group is named by its first occurrence, that with the smallest doc_id and start, which stays; the others are removed. Null ids
+    come last. Texts that are null, empty or repeat nothing give no rows; repeated rows repeat each other. A passage is the longest
+    stretch of touching runs of LEAST_PASSAGE words that are all first occurrences, or all removed; its group is that of the run it
+    opens with, members the most occurrences of a run in it. Repeats inside one document count.
     """
     arrow_limits(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    text = F.col("text").cast("string")
-    texts = docs.select("doc_id", F.xxhash64(text).alias("content"), text.alias("text"))
-    found = materialize(texts.mapInArrow(
+    text = F.col("row.text").cast("string")
+    texts = with_row_id(docs, "texts").select(F.col("row.doc_id").alias("doc_id"), "rid", F.xxhash64(text).alias("content"), text.alias("text"))
+    found = materialize(texts.select("doc_id", "content", "text").mapInArrow(
         _paragraph_tasks, f"doc_id {kind}, content long, kind int, h1 long, h2 long, start long, end long, bands array<long>"), "paragraphs", "kind")
-    lines, passages = found.filter(F.col("kind") == LINE), found.filter(F.col("kind") == PASSAGES)
+    lines, seeds = found.filter(F.col("kind") == LINE), found.filter(F.col("kind") == SEED)
     group = components(paragraph_links(lines.filter("bands IS NOT NULL").select("h1", "h2", "content", "bands"), texts.select("content", "text")), "a", "b")
-    # most passages occur once: those are left out by their hash alone before their rows are moved
-    repeated = passages.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1")
-    passages = passages.select("doc_id", "start", "end", "h1", "h2").join(repeated, "h1")
+    passages = repeated_runs(seeds.select("content", "h1", "start"), materialize(texts.select("doc_id", "rid", "content"), "contents"),
+                             texts.select("rid", "text"), kind)
     where = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("start").alias("start"))
-
-    def grouped(rows: DataFrame, keys: list[str]) -> DataFrame:
-        least = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("members"), F.min(where).alias("first")).filter("members > 1")
-        return rows.join(least, keys)
-
     named = lines.select("doc_id", "start", "end", "h1", "h2").join(
         group.select(*[F.split("node", ",")[k].cast("long").alias(f"h{k + 1}") for k in (0, 1)], "component"), ["h1", "h2"], "left")
     named = named.select("doc_id", "start", "end", F.coalesce("component", F.concat_ws(",", "h1", "h2")).alias("group"))
-    rows = (grouped(named, ["group"]).select("doc_id", "start", "end", "members", "first", F.lit("paragraph").alias("kind"))
-            .union(grouped(passages, ["h1", "h2"])
-                   .select("doc_id", "start", "end", "members", "first", F.lit("passage").alias("kind"))))
-    return rows.select("doc_id", "start", "end", "kind", F.col("first.id").alias("group_doc_id"), F.col("first.start").alias("group_start"), "members",
-                       (~(F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("start") == F.col("first.start")))).alias("removed"))
+    least = named.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.min(where).alias("first")).filter("members > 1")
+    rows = named.join(least.select("group", "members", F.col("first.id").alias("group_doc_id"), F.col("first.start").alias("group_start")), "group")
+    first = F.col("doc_id").eqNullSafe(F.col("group_doc_id")) & (F.col("start") == F.col("group_start"))
+    columns = ["doc_id", "start", "end", "kind", "group_doc_id", "group_start", "members", "removed"]
+    return (rows.withColumn("removed", ~first).withColumn("kind", F.lit("paragraph")).select(columns)
+            .union(passages.withColumn("kind", F.lit("passage")).select(columns)))
