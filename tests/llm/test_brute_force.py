@@ -202,6 +202,16 @@ def test_shared_passage_inside_lines(spark):
     assert substrings.tune() == (8, 2)
 
 
+def test_secret_values_of_any_length():
+    cost, rng = secrets.GuessCost(), random.Random(7)
+    key = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(5000))
+    for text, value in ((f'pwd="{key[:264]}"', key[:264]), (f"auth: {key}", key), ("passphrase: \"correct horse battery staple\"", "correct horse battery staple"),
+                        ("pwd: x9$Kq", "x9$Kq")):
+        at = text.index(value)
+        assert secrets.scan(text, cost)[1] == [("guess", at, at + len(value))]
+    assert secrets.scan('secret: "my password" pwd: "" pwd: ab', cost)[1] == []
+
+
 def test_shared_passage_across_lines(spark):
     rng = random.Random(5)
     def words(n):

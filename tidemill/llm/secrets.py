@@ -25,9 +25,9 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 ASSIGN_VALUE, ACCESS_LENGTH = 12, 18
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Key names of a credential context, and what may stand between name and value.
+#: Key names of a credential context, what may stand between name and value, and the value: quoted, blanks allowed, or up to a blank.
 CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:[A-Za-z0-9]+[_-])*(?:password|passwd|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|credentials?|auth)"""
-                     r"""["']?[ \t]*(?::=|=>|[:=])[ \t]*(?:"([^"\s]{6,256})"|'([^'\s]{6,256})'|([^\s"'<>,;]{6,256}))""", re.I | re.A)
+                     r"""["']?[ \t]*(?::=|=>|[:=])[ \t]*(?:"([^"\r\n]+)"|'([^'\r\n]+)'|([^\s"'<>,;]+))""", re.I | re.A)
 #: log10 of the guesses from which a value counts as a secret.
 GUESSES = 8.0
 #: Words an attacker tries first, most frequent first. Callers may pass their own ranking.
