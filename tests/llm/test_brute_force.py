@@ -212,6 +212,14 @@ def test_secret_values_of_any_length():
     assert secrets.scan('secret: "my password" pwd: "" pwd: ab', cost)[1] == []
 
 
+def test_words_of_the_corpus_are_no_secrets(spark):
+    plain = [(n, "Niemand kennt something wonderful, nobody knows whereabouts") for n in range(6)]
+    texts = ["secret: whereabouts", "token: something", "auth=Niemand", 'passphrase: "nobody knows"', "pwd: qzvkxjwphtm", "pwd: x9$Kq2!z and token: wonderful"]
+    frame = spark.createDataFrame(plain + [(10 + n, text) for n, text in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: (r.spans, r.n_guess, r.max_guess_log10 >= secrets.GUESSES) for r in secrets.find_secrets(frame).collect() if r.doc_id >= 10}
+    assert found == {10: ("", 0, False), 11: ("", 0, False), 12: ("", 0, False), 13: ("", 0, False), 14: ("guess:5:16", 1, True), 15: ("guess:5:13", 1, True)}
+
+
 def test_shared_passage_across_lines(spark):
     rng = random.Random(5)
     def words(n):

@@ -3,7 +3,7 @@
 The fixed patterns find long assigned values, access keys and hex runs. Beyond them, a value that stands in a credential context
 (a key name, then : or =) is split at minimum cost into words, dates, repeats, sequences, keyboard walks and
 brute-force spans; the cost is the logarithm of the guesses an attacker needs. Values above a threshold are secrets, however short;
-placeholders and plain words are not.
+placeholders and plain words are not. Words are a short common list, then those of the corpus itself by the documents that hold them.
 """
 
 from __future__ import annotations
@@ -11,13 +11,14 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import arrow_limits
+from tidemill.llm.common import arrow_limits, materialize
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -35,6 +36,11 @@ COMMON = ("password 123456 qwerty admin letmein welcome monkey dragon master log
           "user root guest example demo sample token key value string none null true false your my the and for with this that "
           "here name pass hello world love football baseball shadow sunshine princess summer winter spring autumn server "
           "database local host public private access credential placeholder insert replace enter xxx foo bar baz").split()
+#: A word of the corpus has so many letters, and so many rows of the corpus hold it; a letters-only secret copied that often is a word.
+LETTERS, LEAST_DOCUMENTS = (3, 32), 5
+#: Words a task counts before it hands them on.
+COUNTED = 300_000
+_LETTERS = re.compile(r"[^\W\d_]+")
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("4@3601!5$7", "aaeboiisst")
 DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
@@ -64,10 +70,13 @@ def brute_force(part: str) -> float:
 class GuessCost:
     """log10 of the guesses for a value: the cheapest way to cut it into spans, found by dynamic programming."""
 
-    def __init__(self, words=COMMON):
+    def __init__(self, words=COMMON, further: dict[str, int] | None = None):
+        """words by rank; further ranks come behind them."""
         self.ranks: dict[str, int] = {}
         for n, word in enumerate(words, 1):
             self.ranks.setdefault(word.lower(), n)
+        for word, rank in (further or {}).items():
+            self.ranks.setdefault(word, len(words) + rank)
         self.longest = max(map(len, self.ranks), default=0)
 
     def spans(self, value: str):
@@ -180,28 +189,100 @@ def join_spans(spans) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
+def parts_of(value: str) -> set[str]:
+    """The strings of letters in a value, also with leet characters read as letters, that may be words."""
+    found, low = set(), value.lower()
+    for form in {low, low.translate(LEET)}:
+        for m in _LETTERS.finditer(form):
+            run = m[0]
+            found.update(run[i:j] for i in range(len(run)) for j in range(i + LETTERS[0], min(len(run), i + LETTERS[1]) + 1))
+    return found
+
+
+def _word_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n): in how many rows of (text) a word stands; a word may come in several parts."""
+    counts: Counter[str] = Counter()
+
+    def rows():
+        found = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        counts.clear()
+        return found
+
+    for batch in batches:
+        for text in batch.column(0):
+            counts.update({w for w in _LETTERS.findall((text.as_py() or "").lower()) if LETTERS[0] <= len(w) <= LETTERS[1]})
+            if len(counts) > COUNTED:
+                yield rows()
+    yield rows()
+
+
+def _part_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, word) of (v, value)."""
+    for batch in batches:
+        for v, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parts = sorted(parts_of(value))
+            yield pa.RecordBatch.from_arrays([pa.array([v] * len(parts), pa.int64()), pa.array(parts, pa.string())], names=["v", "word"])
+
+
+def value_costs(values: DataFrame, texts: DataFrame, words) -> DataFrame:
+    """(value, cost): log10 of the guesses for distinct values, with the words of texts (text) ranked behind the given ones.
+
+    Words with about as many rows (an eighth of a power of two) share a rank, the number of words that have as many or more.
+    """
+    values = materialize(values.select("value").distinct().withColumn("v", F.monotonically_increasing_id()), "values")
+    known = texts.mapInArrow(_word_tasks, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCUMENTS)
+    known = materialize(known.select("word", F.floor(F.log2("n") * 8).cast("int").alias("bucket")), "words")
+    ranks, total = {}, 0
+    for bucket, count in sorted(known.groupBy("bucket").count().collect(), reverse=True):
+        ranks[bucket] = total = total + count
+    held = (values.select("v", "value").mapInArrow(_part_tasks, "v long, word string").join(known, "word")
+            .groupBy("v").agg(F.collect_list(F.struct("word", "bucket")).alias("held")))
+
+    @F.arrow_udf("double")
+    def costs(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, own in batches:
+            yield pa.array([GuessCost(words, {h["word"]: ranks[h["bucket"]] for h in held or ()})(value.rstrip(".)]}"))
+                            for value, held in zip(batch.to_pylist(), own.to_pylist())], pa.float64())
+
+    return values.join(held, "v", "left").select("value", costs("value", "held").alias("cost"))
+
+
 def find_secrets(docs: DataFrame, threshold: float = GUESSES, words=COMMON) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess, max_guess_log10: one row per row of docs.
 
     Null text counts as empty: no spans, the digest of the empty string. Repeated rows and null ids give their own rows. Spans count code
-    points, whole texts are read, other columns are not.
+    points, whole texts are read, other columns are not. words are tried first; then come the words of docs.
     """
     arrow_limits(docs.sparkSession)
     words = tuple(words)
-    fields = [("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string()),
-              ("n_guess", pa.int64()), ("max_guess_log10", pa.float64())]
+    fields = [("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()),
+              ("base", pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int64()), ("span", pa.string())]))),
+              ("open", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])))]
 
-    @F.arrow_udf("struct<n_assign: long, n_access: long, n_hex: long, base_sha256: string, spans: string, n_guess: long, max_guess_log10: double>")
+    @F.arrow_udf("struct<n_assign: long, n_access: long, n_hex: long, base_sha256: string, base: array<struct<start: long, kind: long, span: string>>, "
+                 "open: array<struct<start: long, end: long, value: string>>>")
     def secrets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cost = GuessCost(words)
         for batch in batches:
             rows = []
             for value in batch:
-                base, spans, most = scan(value.as_py() or "", cost, threshold)
-                kinds = [s[0] for s in spans]
+                text = value.as_py() or ""
+                base = base_spans(text)
+                kinds = [s[0] for s in base]
                 rows.append({"n_assign": kinds.count("assign"), "n_access": kinds.count("access"), "n_hex": kinds.count("hex"),
-                             "base_sha256": hashlib.sha256(join_spans(base).encode()).hexdigest(), "spans": join_spans(spans),
-                             "n_guess": kinds.count("guess"), "max_guess_log10": most})
+                             "base_sha256": hashlib.sha256(join_spans(base).encode()).hexdigest(),
+                             "base": [{"start": s[1], "kind": KINDS.index(s[0]), "span": join_spans([s])} for s in base],
+                             # further words only make a value cheaper, so what is cheap without them needs none
+                             "open": [{"start": s[1], "end": s[2], "value": text[s[1]:s[2]]} for s in guess_spans(text, base, cost, threshold)]})
             yield pa.array(rows, pa.struct(fields))
 
-    return docs.select("doc_id", secrets(F.col("text").cast("string")).alias("s")).select("doc_id", "s.*")
+    text = F.col("text").cast("string")
+    rows = materialize(docs.select("doc_id", F.monotonically_increasing_id().alias("r"), secrets(text).alias("s")).select("doc_id", "r", "s.*"), "secrets")
+    opened = rows.select("r", F.explode("open").alias("o")).select("r", "o.start", "o.end", "o.value")
+    guessed = opened.join(value_costs(opened, docs.select(text.alias("text")), words), "value").filter(F.col("cost") >= threshold)
+    guessed = guessed.groupBy("r").agg(F.max("cost").alias("most"), F.collect_list(F.struct(
+        "start", F.lit(KINDS.index("guess")).cast("long").alias("kind"), F.concat_ws(":", F.lit("guess"), "start", "end").alias("span"))).alias("more"))
+    found = rows.join(guessed, "r", "left").withColumn("more", F.coalesce("more", F.slice("base", 1, 0)))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
+                        F.array_join(F.sort_array(F.concat("base", "more")).getField("span"), ",").alias("spans"),
+                        F.size("more").cast("long").alias("n_guess"), F.coalesce("most", F.lit(0.0)).alias("max_guess_log10"))
