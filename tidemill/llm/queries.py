@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.llm.alignment import alignment_report
 from tidemill.llm.decontamination import contaminated
 from tidemill.llm.language import identify_languages
 from tidemill.llm.mixing import mix_report
@@ -60,6 +61,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
@@ -71,4 +76,5 @@ QUERIES = {
     "op6_quality": (op6_quality, QUALITY_SQL),
     "op5_language": (op5_language, None),
     "op4_substring_dedup": (op4_substring_dedup, None),
+    "op13_alignment": (op13_alignment, None),
 }
