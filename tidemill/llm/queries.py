@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.llm.alignment import alignment_report
 from tidemill.llm.decontamination import contaminated
 from tidemill.llm.language import identify_languages
+from tidemill.llm.lexical import LEXICAL_SQL, ranked_documents
+from tidemill.llm.licenses import license_report
 from tidemill.llm.mixing import mix_report
 from tidemill.llm.quality import QUALITY_SQL, quality_rules
 from tidemill.llm.secrets import find_secrets
@@ -65,6 +67,14 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_report(table(spark, sf_dir, "documents"))
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op3_simhash_dedup": (op3_simhash_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
@@ -77,4 +87,6 @@ QUERIES = {
     "op5_language": (op5_language, None),
     "op4_substring_dedup": (op4_substring_dedup, None),
     "op13_alignment": (op13_alignment, None),
+    "op12_licenses": (op12_licenses, None),
+    "op11_search": (op11_search, LEXICAL_SQL),
 }
