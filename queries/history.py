@@ -94,6 +94,16 @@ def scd2_history(spark, sf_dir):
         F.max("expiry_date").alias("known_to"), F.count_if("is_current").alias("open_rows"))
 
 
+def scd2_backdated(spark, sf_dir):
+    """The three snapshots of `scd2_merge`, merged last one first."""
+    names = Scd2Columns(created=None, updated=None, seen="seen_dates")
+    one, two, three = _snapshots(spark, sf_dir)
+    dim = first_load(three, KEYS, COMPARE, DAYS[2], names=names)
+    for day, src in ((DAYS[0], one), (DAYS[1], two)):
+        dim = scd2_merge(dim, src, KEYS, COMPARE, day, names=names, backdated=True)
+    return dim.drop("seen_dates")
+
+
 def scd2_source_faults(spark, sf_dir):
     """NULL and duplicate keys a merge would refuse, on line items keyed by order and line."""
     lines = Retail(spark, sf_dir).raw("lineitem").withColumn(
@@ -111,16 +121,19 @@ def scd2_delta(spark, sf_dir):
 
 
 def update_from_source(spark, sf_dir):
-    """Customers take the largest order of their history as new balance."""
+    """Customers take the largest order of their history as new balance; a partner whose largest order is unknown makes it NULL."""
     r = Retail(spark, sf_dir)
+    price = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice"))
     best = r.raw("orders").filter(F.col("o_orderstatus") == "P").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.max("o_totalprice").alias("c_acctbal"))
+        F.max_by(price, "o_totalprice").alias("c_acctbal"))
     return update_from(r.raw("customer").select("c_custkey", "c_name", "c_acctbal"), best, ["c_custkey"], ["c_acctbal"])
 
 
 QUERIES = {
     "scd2_merge": (scd2_merged, _HISTORY + """
         SELECT c_custkey, c_name, c_mktsegment, c_nationkey, effective_date, expiry_date, is_current FROM dim3"""),
+    "scd2_backdated": (scd2_backdated, _HISTORY + """
+        SELECT c_custkey, c_name, c_mktsegment, c_nationkey, effective_date, expiry_date, is_current FROM dim3"""),
     "scd2_delta": (scd2_delta, _HISTORY + """
         SELECT c_custkey, c_name, c_mktsegment, c_nationkey, effective_date, expiry_date, is_current FROM dim2"""),
     "scd2_versions": (scd2_versions, _HISTORY + """
@@ -136,7 +149,9 @@ QUERIES = {
                (SELECT count(*) FROM (SELECT 1 FROM k WHERE l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber
                 HAVING count(*) > 1) d) AS duplicate_keys"""),
     "update_from_source": (update_from_source, """
-        SELECT c.c_custkey, c.c_name, coalesce(b.best, c.c_acctbal) AS c_acctbal FROM customer c
-        LEFT JOIN (SELECT o_custkey, max(o_totalprice) AS best FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) b
-          ON b.o_custkey = c.c_custkey"""),
+        WITH b AS (SELECT o_custkey, max(o_totalprice) AS top FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+        p AS (SELECT DISTINCT o.o_custkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN top END AS best
+              FROM orders o JOIN b ON b.o_custkey = o.o_custkey AND b.top = o.o_totalprice WHERE o_orderstatus = 'P')
+        SELECT c.c_custkey, c.c_name, CASE WHEN p.o_custkey IS NOT NULL THEN p.best ELSE c.c_acctbal END AS c_acctbal
+        FROM customer c LEFT JOIN p ON p.o_custkey = c.c_custkey"""),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from tidemill.functions import stamp
 from tidemill.operators import chunks
+from tidemill.operators.scd2 import Scd2Columns, scd2_schema
 from tidemill.session import work_path
 from tidemill.sinks import copying, incremental, tables as sinks
 from tidemill.sources import Retail
@@ -221,18 +222,72 @@ def range_copy_null_keys(spark, sf_dir):
     return spark.read.parquet(target).groupBy("range_no").agg(F.count(F.lit(1)).alias("row_count"), F.min("k").alias("min_id"))
 
 
+def _tables(spark):
+    """A database of its own below the shared folder."""
+    db = f"scratch_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{work_path(spark, db)}'")
+    return db
+
+
 def upsert_null_partition(spark, sf_dir):
-    """An upsert into the partition of rows without a day keeps the rows of that partition that it does not name."""
+    """An upsert into the partition of rows without a day keeps the rows of that partition that it does not name.
+
+    The table holds the orders of the upper priorities, the change set those of the lower ones; one priority is in both.
+    """
     orders = Retail(spark, sf_dir).raw("orders").select(
-        "o_orderkey", "o_orderstatus", F.when(F.col("o_orderstatus") != "O", F.trunc("o_orderdate", "year")).alias("year"))
-    db = f"upsert_{uuid.uuid4().hex[:10]}"
-    spark.sql(f"CREATE DATABASE {db} LOCATION '{work_path(spark, db)}'")
-    sinks.create_target(spark, f"{db}.t", orders.schema, partition_by=["year"])
-    sinks.overwrite(orders.filter("o_orderkey % 2 = 0"), f"{db}.t")
-    changed = orders.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("X"))
+        "o_orderkey", "o_orderstatus", F.when(F.col("o_orderstatus") != "O", F.trunc("o_orderdate", "year")).alias("year"), "o_orderpriority")
+    table = f"{_tables(spark)}.t"
+    sinks.create_target(spark, table, orders.schema, partition_by=["year"])
+    sinks.overwrite(orders.filter(F.col("o_orderpriority") <= "3-MEDIUM"), table)
+    changed = orders.filter(F.col("o_orderpriority") >= "3-MEDIUM").withColumn("o_orderstatus", F.lit("X"))
+    for _ in range(2):
+        sinks.upsert(changed, table, ["o_orderkey", "year"])
+    return spark.table(table)
+
+
+def replace_day_two_columns(spark, sf_dir):
+    """A table partitioned by year and status: a year comes back with one status only, another one comes back empty, twice each."""
+    rows = order_rows(spark, sf_dir)
+    table = f"{_tables(spark)}.orders"
+    sinks.create_target(spark, table, SCHEMA, partition_by=["stat_year", "order_status"])
+    sinks.load(rows, table, "FULL")
+    day, gone = date(1996, 1, 1), date(1997, 1, 1)
+    fixed = rows.filter((F.col("stat_year") == F.lit(day)) & (F.col("order_status") == "O"))
+    for _ in range(2):
+        sinks.load(fixed, table, "INCREMENTAL_UPDATE", day=day, day_column="stat_year")
+        sinks.load(rows.limit(0), table, "INCREMENTAL_UPDATE", day=gone, day_column="stat_year")
+    sinks.replace_days(rows.filter(F.col("order_status") == "F").filter(F.col("stat_year") == "1999-01-01"), table,
+                       [date(1999, 1, 1), date(2000, 1, 1)], "stat_year")
+    return spark.table(table)
+
+
+def upsert_key_buckets(spark, sf_dir):
+    """Upserts without a partition key: the most expensive orders change, and with them only the key buckets that hold them."""
+    rows = order_rows(spark, sf_dir).drop("stat_year")
+    table = f"{_tables(spark)}.orders"
+    sinks.create_target(spark, table, T.StructType(SCHEMA.fields[:3]), upsert_keys=["order_id"], key_buckets=32)
+    sinks.load(rows.filter(F.col("order_status") != "P"), table, "INCREMENTAL_INSERT")
+    top = rows.agg(F.max("order_amount")).scalar()
+    dear = rows.filter(F.col("order_amount") >= top * F.lit("0.998").cast("decimal(4,3)")).withColumn("order_status", F.lit("DEAR"))
     for _ in range(2):
-        sinks.upsert(changed, f"{db}.t", ["o_orderkey", "year"])
-    return spark.table(f"{db}.t")
+        sinks.load(dear, table, "INCREMENTAL_MERGE", keys=["order_id"])
+    sinks.load(rows.filter(F.col("order_status") == "P"), table, "INCREMENTAL_MERGE", keys=["order_id"])
+    return spark.table(table).drop(sinks.KEY_BUCKET)
+
+
+def load_history_backdated(spark, sf_dir):
+    """SCD2 strategy on a table whose batches arrive in the wrong order, one of them twice."""
+    customers = Retail(spark, sf_dir).raw("customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    named = customers.select("c_custkey", "c_mktsegment")
+    moved = customers.select("c_custkey", F.when(F.col("c_nationkey") < 8, "MOVED").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    gone = customers.select("c_custkey", F.when(F.col("c_nationkey") < 4, "GONE").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    names = Scd2Columns(created=None, updated=None, seen="seen_dates")
+    schema = scd2_schema(named.schema, ["c_custkey"], ["c_mktsegment"], names)
+    table = f"{_tables(spark)}.customers"
+    sinks.create_target(spark, table, schema, partition_by=["expiry_date"])
+    for day, rows in ((date(2024, 3, 1), gone), (date(2024, 1, 1), named), (date(2024, 2, 1), moved), (date(2024, 1, 1), named)):
+        sinks.load(rows, table, "SCD2", keys=["c_custkey"], compare=["c_mktsegment"], day=day, names=names)
+    return spark.table(table).withColumn("seen_dates", F.concat_ws(",", F.sort_array("seen_dates")))
 
 
 _LOADS = """WITH tagged AS (SELECT *, CASE WHEN ts <= TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS load_seq FROM events)"""
@@ -247,9 +302,29 @@ QUERIES = {
         b AS (SELECT min(k) AS lo, (max(k) - min(k) + 1) // 4 AS width FROM o)
         SELECT CAST(CASE WHEN k IS NOT NULL THEN least((k - lo) // width, 3) END AS INTEGER) AS range_no, count(*) AS row_count, min(k) AS min_id FROM o, b GROUP BY 1"""),
     "upsert_null_partition": (upsert_null_partition, """
-        SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
-               CASE WHEN o_orderstatus <> 'O' THEN CAST(date_trunc('year', CAST(o_orderdate AS DATE)) AS DATE) END AS "year"
-        FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"""),
+        SELECT o_orderkey, CASE WHEN o_orderpriority >= '3-MEDIUM' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_orderstatus <> 'O' THEN CAST(date_trunc('year', CAST(o_orderdate AS DATE)) AS DATE) END AS "year", o_orderpriority
+        FROM orders"""),
+    "replace_day_two_columns": (replace_day_two_columns, _with_rows("""
+        SELECT * FROM order_rows WHERE year(stat_year) NOT IN (1996, 1997, 1999, 2000)
+            OR (year(stat_year) = 1996 AND order_status = 'O') OR (year(stat_year) = 1999 AND order_status = 'F')""")),
+    "upsert_key_buckets": (upsert_key_buckets, _with_rows("""
+        SELECT order_id, CASE WHEN order_status <> 'P' AND order_amount >= 0.998 * (SELECT max(order_amount) FROM order_rows) THEN 'DEAR'
+               ELSE order_status END AS order_status, order_amount FROM order_rows""")),
+    "load_history_backdated": (load_history_backdated, """
+        WITH points AS (
+            SELECT c_custkey, DATE '2024-01-01' AS known, c_mktsegment AS v FROM customer
+            UNION ALL SELECT c_custkey, DATE '2024-02-01', CASE WHEN c_nationkey < 8 THEN 'MOVED' ELSE c_mktsegment END FROM customer
+            UNION ALL SELECT c_custkey, DATE '2024-03-01', CASE WHEN c_nationkey < 4 THEN 'GONE' ELSE c_mktsegment END FROM customer),
+        marked AS (SELECT *, CASE WHEN lag(v) OVER w IS DISTINCT FROM v OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS starts FROM points
+                   WINDOW w AS (PARTITION BY c_custkey ORDER BY known)),
+        runs AS (SELECT *, sum(starts) OVER (PARTITION BY c_custkey ORDER BY known) AS run FROM marked),
+        spans AS (SELECT c_custkey, run, min(v) AS c_mktsegment, min(known) AS effective_date,
+                         coalesce(string_agg(CASE WHEN starts = 0 THEN strftime(known, '%Y-%m-%d') END, ',' ORDER BY known), '') AS seen_dates
+                  FROM runs GROUP BY 1, 2)
+        SELECT c_custkey, c_mktsegment, effective_date, seen_dates,
+               coalesce(lead(effective_date) OVER w - 1, DATE '9999-12-31') AS expiry_date, lead(run) OVER w IS NULL AS is_current
+        FROM spans WINDOW w AS (PARTITION BY c_custkey ORDER BY run)"""),
     "load_append": (load_append, _with_rows("SELECT * FROM order_rows UNION ALL SELECT * FROM order_rows WHERE order_status = 'P'")),
     "load_full": (load_full, _with_rows("SELECT * FROM order_rows WHERE order_status <> 'P'")),
     "load_force_full": (load_force_full, _with_rows("SELECT * FROM order_rows WHERE stat_year = DATE '1996-01-01'")),

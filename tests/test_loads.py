@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from tidemill.operators import chunks
 from tidemill.operators.conform import conform, target_field
-from tidemill.sinks import copying, incremental, tables as sinks
+from tidemill.sinks import copying, incremental, publish, tables as sinks
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()),
                        T.StructField("stat_date", T.DateType())])
@@ -249,7 +249,7 @@ def test_watermarks_keep_their_wall_clock_in_any_zone(spark, tmp_path, monkeypat
 @pytest.mark.parametrize("strategy", ["FULL", "INCREMENTAL_MERGE", "INCREMENTAL_UPDATE"])
 def test_failed_load_keeps_the_old_rows(spark, table, strategy):
     from pyspark.errors import PySparkException
-    folder = os.path.dirname(sinks._location(spark, table)).removeprefix("file:")
+    folder = os.path.dirname(publish.location(spark, table)).removeprefix("file:")
     before, places = content(spark, table), os.listdir(folder)
     bad = data(spark, (9, "x", 1)).withColumn(spark.table(table).columns[0], F.lit("no number"))
     with pytest.raises(PySparkException):

@@ -1,13 +1,14 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from tidemill.operators.scd2 import (Scd2Columns, SourceKeyError, current_rows, first_load, key_history, scd2_merge,
+from tidemill.operators.scd2 import (Scd2Columns, SourceKeyError, current_rows, first_load, is_backdated, key_history, scd2_merge,
                                      scd2_schema, source_key_faults, update_from)
 from tidemill.sinks import tables as sinks
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 SCHEMA = "customer_id int, customer_name string, address string, phone string, email string"
 KEYS, COMPARE = ["customer_id"], ["customer_name", "address", "phone", "email"]
@@ -140,3 +141,83 @@ def test_small_delta_does_not_shuffle_the_dimension(spark, tmp_path):
     dim, delta = spark.read.parquet(f"{tmp_path}/dim"), spark.read.parquet(f"{tmp_path}/delta")
     plan = scd2_merge(dim, delta, ["id"], ["v"], D2, load_ts=TS, delta=True)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+ANY_ORDER = Scd2Columns(created=None, updated=None, version="version_no", seen="seen_dates")
+
+
+def plain_history(snapshots):
+    """Runs of equal values over the dates at which each key was seen."""
+    known = {}
+    for day, people in sorted(snapshots.items()):
+        for key, value in people.items():
+            known.setdefault(key, []).append((day, value))
+    out = []
+    for key, points in known.items():
+        runs = []
+        for day, value in points:
+            if runs and runs[-1][1] == value:
+                runs[-1][2].append(day)
+            else:
+                runs.append((day, value, []))
+        for n, (day, value, seen) in enumerate(runs):
+            end = runs[n + 1][0] - timedelta(days=1) if n + 1 < len(runs) else END
+            out.append((key, value, day, end, end == END, n + 1, tuple(seen)))
+    return sorted(out, key=str)
+
+
+def history_of(df):
+    return sorted(((r.k, r.v, r.effective_date, r.expiry_date, r.is_current, r.version_no, tuple(sorted(r.seen_dates))) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("stored", [False, True])
+def test_snapshots_in_any_order_give_one_history(spark, database, seed, stored):
+    rng = random.Random(seed)
+    days = [date(2024, m, 1) for m in rng.sample(range(1, 13), 5)]
+    snapshots = {d: {k: rng.choice(["a", "b", None]) for k in range(8) if rng.random() < .8} for d in days}
+    days.append(rng.choice(days))  # a batch that runs twice
+    table = f"{database}.h"
+    schema = scd2_schema(T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())]), ["k"], ["v"], ANY_ORDER)
+    sinks.create_target(spark, table, schema, partition_by=["expiry_date"] if seed % 2 else [])
+    dim = spark.createDataFrame([], schema)
+    done = {}
+    for day in days:
+        src = spark.createDataFrame(list(snapshots[day].items()), "k int, v string")
+        if stored:
+            sinks.merge_history(src, table, ["k"], ["v"], day, names=ANY_ORDER)
+            dim = spark.table(table)
+        else:
+            dim = scd2_merge(dim, src, ["k"], ["v"], day, names=ANY_ORDER, backdated=is_backdated(dim, day, ANY_ORDER))
+            dim = spark.createDataFrame(dim.collect(), schema)
+        done[day] = snapshots[day]
+        assert history_of(dim) == plain_history(done)
+
+
+def test_late_rows_stop_a_merge_that_does_not_expect_them(spark):
+    dim = first_load(spark.createDataFrame(PEOPLE, SCHEMA), KEYS, COMPARE, D2, load_ts=TS)
+    with pytest.raises(Exception, match="backdated"):
+        scd2_merge(dim, moved(spark), KEYS, COMPARE, D1).collect()
+
+
+def test_an_earlier_value_holds_until_the_next_known_change(spark):
+    dim = first_load(spark.createDataFrame(PEOPLE, SCHEMA), KEYS, COMPARE, D2, load_ts=TS)
+    got = scd2_merge(dim, moved(spark), KEYS, COMPARE, D1, load_ts=datetime(2026, 1, 1), backdated=True)
+    assert rows(got.select("customer_id", "address", "effective_date", "expiry_date", "is_current", "created_at", "last_updated")) == [
+        (1, "北京", D2, END, True, TS, TS), (1, "深圳", D1, date(2025, 3, 17), False, datetime(2026, 1, 1), datetime(2026, 1, 1)),
+        (2, "上海", D1, END, True, datetime(2026, 1, 1), datetime(2026, 1, 1))]
+    assert got.filter("expiry_date < effective_date").count() == 0
+
+
+def test_a_past_merge_leaves_older_partitions_alone(spark, database):
+    table = f"{database}.h"
+    schema = scd2_schema(T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())]), ["k"], ["v"])
+    sinks.create_target(spark, table, schema, partition_by=["expiry_date"])
+    for month, value in ((1, "a"), (3, "b"), (5, "c"), (7, "d")):
+        sinks.merge_history(spark.createDataFrame([(1, value), (2, "z")], "k int, v string"), table, ["k"], ["v"], date(2024, month, 1))
+    old = {r[0] for r in spark.table(table).filter("expiry_date = DATE'2024-02-29'").select("_metadata.file_path").collect()}
+    report = sinks.merge_history(spark.createDataFrame([(1, "x")], "k int, v string"), table, ["k"], ["v"], date(2024, 6, 1))
+    assert report == sinks.LoadReport(inserted=1, updated=1)
+    assert rows(spark.table(table).filter("k = 1").select("v", "effective_date")) == [
+        ("a", date(2024, 1, 1)), ("b", date(2024, 3, 1)), ("c", date(2024, 5, 1)), ("d", date(2024, 7, 1)), ("x", date(2024, 6, 1))]
+    assert old == {r[0] for r in spark.table(table).filter("expiry_date = DATE'2024-02-29'").select("_metadata.file_path").collect()}

@@ -2,23 +2,32 @@
 
 Parquet tables know neither DELETE nor MERGE.  Every change is computed as a new state and written
 once, in the table's types, to a folder beside the table; only when it is complete does the table (or the
-partition) take that folder as its location.  A load that fails leaves the old rows and no folder behind.
+partition) take that folder as its location.  `publish` keeps a journal of that, so that a load that fails or dies
+leaves all old rows or all new ones.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections.abc import Iterable, Iterator, Sequence
+import json
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, SourceKeyError, scd2_merge, source_key_faults
+from ..operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, SourceKeyError, is_backdated, scd2_merge, source_key_faults
 from .observed import RowCounter
+from .publish import NULL_FOLDER, Change, Folder, delete_folder, drop_target, folders, partition_columns, quoted, recover, show_partitions, value_of
+
+__all__ = ["KEY_BUCKET", "LoadReport", "append", "create_target", "delete_folder", "distribute", "drop_old_partitions", "drop_target", "load", "merge_history",
+           "old_partitions", "overwrite", "partition_day", "recover", "refresh_statistics", "replace_day", "replace_days", "upsert", "upsert_state"]
+
+#: Partition column of a table that spreads its keys over buckets, so that an upsert rewrites only those it touches.
+KEY_BUCKET = "key_bucket"
+_BUCKET_PROPERTY = "tidemill.key_bucket"
 
 
 @dataclass(frozen=True)
@@ -28,174 +37,123 @@ class LoadReport:
     updated: int = 0
 
 
-def _quoted(name: str) -> str:
-    return ".".join(f"`{p}`" for p in name.split("."))
-
-
 def create_target(spark: SparkSession, table: str, schema: T.StructType, *, partition_by: Sequence[str] = (),
-                  bucket_by: Sequence[str] = (), buckets: int = 0, comment: str = "") -> None:
-    """Create the table if it is missing; bucketing stands in for a distribution key."""
+                  bucket_by: Sequence[str] = (), buckets: int = 0, upsert_keys: Sequence[str] = (), key_buckets: int = 0, comment: str = "") -> None:
+    """Create the table if it is missing; bucketing stands in for a distribution key.
+
+    `key_buckets` adds the partition column `key_bucket`, a hash of `upsert_keys`: every load fills it, and an upsert by these keys
+    reads and rewrites only the buckets that its keys fall into.
+    """
     columns = []
     for f in schema.fields:
         note = f.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
         columns.append(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{note}'" if note else ""))
-    sql = f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({', '.join(columns)}) USING PARQUET"
+    if key_buckets:
+        columns.append(f"`{KEY_BUCKET}` int")
+        partition_by = [*partition_by, KEY_BUCKET]
+    sql = f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({', '.join(columns)}) USING PARQUET"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     if bucket_by:
         sql += " CLUSTERED BY (" + ", ".join(f"`{c}`" for c in bucket_by) + f") INTO {buckets} BUCKETS"
     if comment:
         sql += " COMMENT '" + comment.replace("'", "\\'") + "'"
+    if key_buckets:
+        setting = json.dumps({"keys": list(upsert_keys), "buckets": key_buckets}).replace("'", "\\'")
+        sql += f" TBLPROPERTIES ('{_BUCKET_PROPERTY}' = '{setting}')"
     spark.sql(sql)
 
 
+def _bucketing(spark: SparkSession, table: str) -> tuple[list[str], int] | None:
+    """Keys and number of the key buckets of a table that has them."""
+    if KEY_BUCKET not in spark.table(table).columns:
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").filter(F.col("key") == _BUCKET_PROPERTY).first()
+    setting = json.loads(found["value"]) if found else None
+    return (setting["keys"], setting["buckets"]) if setting else None
+
+
 def _in_order(df: DataFrame, table: str) -> DataFrame:
     """Columns in table order and type; rows of a partitioned table gathered by partition, so that a
     task does not open a file in every partition.  AQE splits what is too large for one task."""
-    out = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.sparkSession.table(table).schema.fields])
-    parts = _partition_columns(df.sparkSession, table)
+    spark = df.sparkSession
+    fields, bucketing = spark.table(table).schema.fields, _bucketing(spark, table)
+    out = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields if not (bucketing and f.name == KEY_BUCKET)])
+    if bucketing:
+        keys, buckets = bucketing
+        out = out.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int"))
+        out = out.select(*[F.col(f"`{f.name}`") for f in fields])
+    parts = partition_columns(spark, table)
     return out.hint("rebalance", *[F.col(f"`{c}`") for c in parts]) if parts else out
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
-
 def append(df: DataFrame, table: str) -> LoadReport:
+    spark = df.sparkSession
+    recover(spark, table)
     seen = RowCounter()
     rows = seen.watch(df)
     _in_order(rows, table).write.mode("append").insertInto(table)
-    df.sparkSession.catalog.refreshTable(table)
+    spark.catalog.refreshTable(table)
     return LoadReport(inserted=seen.rows)
 
 
-_NULL = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of a NULL partition
-_SUFFIX = re.compile(r"__v[0-9a-f]{10}$")
-
-
-def _location(spark: SparkSession, table: str, spec: str = "") -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)} {spec}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"].rstrip("/")  # of a partition its own comes first, then that of the table
-
-
-def _file_system(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    where, files = _file_system(spark, path)
-    files.delete(where, True)
-
-
-def _folders(spark: SparkSession, path: str, depth: int) -> list[tuple[str, ...]]:
-    """Names of the partition folders below a path, one tuple per partition."""
-    where, files = _file_system(spark, path)
-    names = [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory() and "=" in s.getPath().getName()]
-    if depth == 1:
-        return [(n,) for n in names]
-    return [(n, *rest) for n in names for rest in _folders(spark, f"{path}/{n}", depth - 1)]
-
-
-def _spec(folder: Sequence[str]) -> str:
-    """PARTITION clause of a folder like day=2024-01-31."""
-    parts = []
-    for name, value in (f.split("=", 1) for f in folder):
-        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
-        parts.append(f"`{unquote(name)}` = " + ("NULL" if value == _NULL else f"'{text}'"))
-    return "PARTITION (" + ", ".join(parts) + ")"
-
-
-def _show_partitions(spark: SparkSession, table: str) -> list[tuple[str, ...]]:
-    return [tuple(r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()]
-
-
 def _is_bucketed(spark: SparkSession, table: str) -> bool:
     return any(c.isBucket for c in spark.catalog.listColumns(table))
 
 
 @contextmanager
-def _aside(df: DataFrame, table: str) -> Iterator[str]:
-    """Writes the rows to a new folder beside the table; the folder is deleted if the write or the block fails."""
+def _aside(df: DataFrame, table: str) -> Iterator[Change]:
+    """Writes the rows to a new folder beside the table, for the block to publish; what the block leaves unpublished is deleted."""
     spark = df.sparkSession
-    path = f"{_SUFFIX.sub('', _location(spark, table))}__v{uuid.uuid4().hex[:10]}"
-    parts = _partition_columns(spark, table)
+    change = Change.start(spark, table)
     try:
-        writer = _in_order(df, table).write
-        (writer.partitionBy(*parts) if parts else writer).parquet(path)
-        yield path
-    except BaseException:
-        delete_folder(spark, path)
-        raise
+        rows, parts = _in_order(df, table), partition_columns(spark, table)
+        if _is_bucketed(spark, table):
+            # files carry their bucket in the name, which only an insert into a table of the same shape gives them
+            twin = f"{table}__{change.path.rsplit('__v', 1)[1]}"
+            spark.sql(f"CREATE TABLE {quoted(twin)} LIKE {quoted(table)} LOCATION '{change.path}'")
+            try:
+                rows.write.insertInto(twin)
+            finally:
+                spark.sql(f"DROP TABLE {quoted(twin)}")
+        else:
+            (rows.write.partitionBy(*parts) if parts else rows.write).parquet(change.path)
+        yield change
+    finally:
+        change.close(spark)
 
 
 def _read_aside(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.read.schema(spark.table(table).schema).parquet(path)
 
 
-def _publish(spark: SparkSession, table: str, path: str, touched: Iterable[tuple[str, ...]] | None = None) -> None:
-    """The written folder becomes the table's content.
-
-    touched: only these partitions and those in the folder change; a touched one that the folder lacks is dropped. Without it all
-    partitions change. Old files go after the switch.
-    """
-    parts, old = _partition_columns(spark, table), []
-    if _is_bucketed(spark, table):
-        # bucket files carry their bucket in the name, which only an insert gives them
-        _insert_overwrite(_read_aside(spark, table, path), table, "static" if touched is None else "dynamic")
-        old.append(path)
-    elif not parts:
-        old.append(_location(spark, table))
-        spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{path}'")
-    else:
-        found, before = _folders(spark, path, len(parts)), set(_show_partitions(spark, table))
-        for folder in found:
-            spec, place = _spec(folder), f"{path}/{'/'.join(folder)}"
-            if folder in before:
-                old.append(_location(spark, table, spec))
-                spark.sql(f"ALTER TABLE {_quoted(table)} {spec} SET LOCATION '{place}'")
-            else:
-                spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
-        for folder in (before if touched is None else before & set(touched)) - set(found):
-            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {_spec(folder)}")
-    spark.catalog.refreshTable(table)
-    for place in old:
-        delete_folder(spark, place)
-
-
-def _insert_overwrite(df: DataFrame, table: str, mode: str) -> None:
-    """Static mode replaces the whole table, dynamic mode the partitions found in `df`."""
-    spark = df.sparkSession
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, mode)
-    try:
-        _in_order(df, table).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(setting, before)
-
-
 def overwrite(df: DataFrame, table: str) -> LoadReport:
     """Strategy FULL: all old rows go."""
     spark = df.sparkSession
-    deleted = spark.table(table).count()
     seen = RowCounter()
-    with _aside(seen.watch(df), table) as path:
-        _publish(spark, table, path)
+    with _aside(seen.watch(df), table) as change:
+        deleted = spark.table(table).count()
+        change.publish(spark)
     return LoadReport(inserted=seen.rows, deleted=deleted)
 
 
-def _day_folder(column: str, day: date) -> tuple[str]:
-    return (f"{column}={day:%Y-%m-%d}",)
+def _day_text(day: date | None) -> str:
+    return NULL_FOLDER if day is None else f"{day:%Y-%m-%d}"
+
+
+def _of_days(column: str, days: Iterable[date | None]) -> Callable[[Folder], bool]:
+    """Whether a partition belongs to one of the days, whatever other partition columns the table has."""
+    texts = {_day_text(d) for d in days}
+    return lambda folder: unquote(value_of(folder, column)) in texts
 
 
 def replace_day(df: DataFrame, table: str, day: date, column: str = "stat_date") -> LoadReport:
     """Replace one day with all rows given; the day is cleared even if there are none, other days stay."""
     spark = df.sparkSession
-    deleted = spark.table(table).filter(F.col(column) == F.lit(day)).count()
     seen = RowCounter()
-    with _aside(seen.watch(df).withColumn(column, F.lit(day)), table) as path:
-        _publish(spark, table, path, [_day_folder(column, day)])
+    with _aside(seen.watch(df).withColumn(column, F.lit(day)), table) as change:
+        deleted = spark.table(table).filter(F.col(column) == F.lit(day)).count()
+        change.publish(spark, _of_days(column, [day]))
     return LoadReport(inserted=seen.rows, deleted=deleted)
 
 
@@ -203,14 +161,14 @@ def replace_days(df: DataFrame, table: str, days: Iterable[date | None], column:
     """Replace several days at once; a listed day without rows comes out empty. None stands for the rows without a day."""
     spark = df.sparkSession
     wanted = set(days)
-    folders = {(f"{column}={_NULL}",) if d is None else _day_folder(column, d) for d in wanted}
+    listed = _of_days(column, wanted)
     touched = F.col(column).isin([d for d in wanted if d is not None])
-    deleted = spark.table(table).filter(touched | F.col(column).isNull() if None in wanted else touched).count()
     seen = RowCounter()
-    with _aside(seen.watch(df), table) as path:
-        if set(_folders(spark, path, 1)) - folders:
+    with _aside(seen.watch(df), table) as change:
+        if not all(map(listed, folders(spark, change.path, len(partition_columns(spark, table))))):
             raise ValueError("the rows hold days that were not listed")
-        _publish(spark, table, path, folders)
+        deleted = spark.table(table).filter(touched | F.col(column).isNull() if None in wanted else touched).count()
+        change.publish(spark, listed)
     return LoadReport(inserted=seen.rows, deleted=deleted)
 
 
@@ -231,18 +189,33 @@ def _same_key(target: DataFrame, src: DataFrame, keys: Sequence[str], how: str)
     return target.join(partner, same, how)
 
 
+def _in_folders(found: Iterable[Folder]) -> Column:
+    """Whether a row lies in one of the partitions; a condition on partition columns only, so that no other partition is read."""
+    def inside(folder: Folder) -> Column:
+        tests = []
+        for name, value in (f.split("=", 1) for f in folder):
+            column = F.col(f"`{unquote(name)}`")
+            tests.append(column.isNull() if value == NULL_FOLDER else column.cast("string") == F.lit(unquote(value)))
+        return reduce(lambda a, b: a & b, tests)
+    every = list(found)
+    if every and all(len(f) == 1 and f[0].split("=", 1)[1] != NULL_FOLDER for f in every):
+        name = unquote(every[0][0].split("=", 1)[0])
+        return F.col(f"`{name}`").cast("string").isin([unquote(f[0].split("=", 1)[1]) for f in every])
+    return reduce(lambda a, b: a | b, map(inside, every), F.lit(False))
+
+
 def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
     """Strategy INCREMENTAL_MERGE.
 
-    If the partition columns are keys, only the partitions found in the source are
-    read, merged and rewritten; otherwise the whole table is. Duplicate source keys are refused, and so is a NULL
+    If the keys settle the partition (the partition columns are keys, or key buckets of them), only the partitions that the source falls into
+    are read, merged and rewritten; otherwise the whole table is. Duplicate source keys are refused, and so is a NULL
     in a key column, except in a partition column: the rows without a day are a partition like any other.
     """
     spark = src.sparkSession
-    parts = _partition_columns(spark, table)
+    parts, bucketing = partition_columns(spark, table), _bucketing(spark, table)
     seen = RowCounter()
     with _aside(seen.watch(src), table) as incoming:
-        rows = _read_aside(spark, table, incoming)
+        rows = _read_aside(spark, table, incoming.path)
         needed = [k for k in keys if k not in parts]
         faults = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
             F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("duplicates"),
@@ -251,41 +224,51 @@ def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
         if faults["duplicates"] or faults["nulls"]:
             raise SourceKeyError(f"source keys: {faults['nulls']} NULL, {faults['duplicates']} duplicated")
         target = spark.table(table)
-        before = target.count()
-        partial = bool(parts) and set(parts) <= set(keys)
+        settled = [*keys, KEY_BUCKET] if bucketing and set(bucketing[0]) <= set(keys) else list(keys)
+        partial = bool(parts) and set(parts) <= set(settled)
         if partial:
-            target = _same_key(target, rows, parts, "left_semi")
-        with _aside(_untouched(target, rows, keys).unionByName(rows.select(*target.columns)), table) as path:
-            _publish(spark, table, path, [] if partial else None)
-        delete_folder(spark, incoming)
-    grown = spark.table(table).count() - before  # both counts come from file footers
-    return LoadReport(inserted=grown, updated=seen.rows - grown)
+            target = target.filter(_in_folders(folders(spark, incoming.path, len(parts))))
+        before = target.count()
+        with _aside(_untouched(target, rows, keys).unionByName(rows.select(*target.columns)), table) as change:
+            after = _read_aside(spark, table, change.path).count()  # from file footers
+            change.publish(spark, (lambda _: False) if partial else None)
+    return LoadReport(inserted=after - before, updated=seen.rows - (after - before))
 
 
 def merge_history(src: DataFrame, table: str, keys: Sequence[str], compare: Sequence[str], effective_date: date, *,
                   load_ts=None, names: Scd2Columns = DEFAULT_COLUMNS, delta: bool = False) -> LoadReport:
     """Strategy SCD2 on a catalog table; refuses NULL and duplicate source keys.
 
-    In a table partitioned by the expiry date all open rows share one partition, and the
-    rows a merge closes go to the partition of the day before.  Only these two partitions are read
-    and rewritten; older history is never touched.  Other tables are rewritten as a whole.
+    The date may lie before dates that were merged already: the intervals of the source's keys are then split at it.
+
+    In a table partitioned by the expiry date all open rows share one partition, and the rows a merge closes go to the partition
+    of the day before.  Only these two partitions are read and rewritten, or those from the day before on if the
+    date is a past one; older history is never touched.  Other tables are rewritten as a whole.
     """
     spark = src.sparkSession
+    recover(spark, table)
     faults = source_key_faults(src, keys).first()
     if faults["null_keys"] or faults["duplicate_keys"]:
         raise SourceKeyError(f"source keys: {faults['null_keys']} NULL, {faults['duplicate_keys']} duplicated")
-    dim = spark.table(table)
-    by_expiry = _partition_columns(spark, table) == [names.expiry]
+    whole = spark.table(table)
+    closing = effective_date - timedelta(days=1)
+    # no interval of these keys is touched that ends before the day before
+    late = is_backdated(whole.filter(F.col(names.expiry) >= F.lit(closing)), effective_date, names)
+    by_expiry, dim = partition_columns(spark, table) == [names.expiry], whole
     if by_expiry:
-        dim = dim.filter(F.col(names.expiry).isin(names.end_of_time, effective_date - timedelta(days=1)))
-    before, open_before = dim.count(), dim.filter(F.col(names.current)).count()
-    state = scd2_merge(dim, src, keys, compare, effective_date, load_ts=load_ts, names=names, delta=delta)
-    with _aside(state, table) as path:
-        counted = _read_aside(spark, table, path).agg(F.count(F.lit(1)).alias("rows"), F.count_if(names.current).alias("open")).first()
-        _publish(spark, table, path, [_day_folder(names.expiry, d) for d in (names.end_of_time, effective_date - timedelta(days=1))]
-                 if by_expiry else None)
-    closed = (counted["rows"] - counted["open"]) - (before - open_before)
-    return LoadReport(inserted=counted["rows"] - before, updated=closed)
+        dim = whole.filter(F.col(names.expiry) >= F.lit(closing) if late else F.col(names.expiry).isin(names.end_of_time, closing))
+    before = dim.agg(F.count(F.lit(1)).alias("rows"), F.count_if(names.current).alias("open")).first()
+    state = scd2_merge(dim, src, keys, compare, effective_date, load_ts=load_ts, names=names, delta=delta, backdated=late)
+
+    def touched(folder: Folder) -> bool:
+        day = date.fromisoformat(value_of(folder, names.expiry))
+        return day >= closing if late else day in (names.end_of_time, closing)
+
+    with _aside(state, table) as change:
+        after = _read_aside(spark, table, change.path).agg(F.count(F.lit(1)).alias("rows"), F.count_if(names.current).alias("open")).first()
+        change.publish(spark, touched if by_expiry else None)
+    closed = (after["rows"] - after["open"]) - (before["rows"] - before["open"])
+    return LoadReport(inserted=after["rows"] - before["rows"], updated=closed)
 
 
 def load(df: DataFrame, table: str, strategy: str, *, keys: Sequence[str] = (), day: date | None = None,
@@ -317,11 +300,10 @@ def drop_old_partitions(spark: SparkSession, table: str, batch_date: date, reten
     """Drop partitions older than the retention; works on the partition list, not on rows."""
     limit = batch_date - timedelta(days=retention_days)
     dropped = []
-    for row in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect():
-        value = dict(p.split("=", 1) for p in row[0].split("/"))[column]
+    for value in {value_of(f, column) for f in show_partitions(spark, table)}:
         # rows without a day have no age
-        if value != _NULL and date.fromisoformat(value) < limit:
-            spark.sql(f"ALTER TABLE {_quoted(table)} DROP PARTITION (`{column}` = DATE '{value}')")
+        if value != NULL_FOLDER and date.fromisoformat(value) < limit:
+            spark.sql(f"ALTER TABLE {quoted(table)} DROP PARTITION (`{column}` = DATE '{value}')")
             dropped.append(value)
     return sorted(dropped)
 
@@ -349,7 +331,7 @@ def distribute(df: DataFrame, kind: str, keys: Sequence[str] = (), partitions: i
 
 
 def refresh_statistics(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> None:
-    spark.sql(f"ANALYZE TABLE {_quoted(table)} COMPUTE STATISTICS")
+    spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS")
     if columns:
-        spark.sql(f"ANALYZE TABLE {_quoted(table)} COMPUTE STATISTICS FOR COLUMNS "
+        spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS FOR COLUMNS "
                   + ", ".join(f"`{c}`" for c in columns))
