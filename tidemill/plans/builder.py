@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import stamp
 from ..operators import conform, fold_conditions
+from .aggregation import Reduction, plan
 from .mapping import Field, Mapping
 
 JOIN_TYPES = {"INNER": "inner", "LEFT": "left", "RIGHT": "right", "FULL": "full", "CROSS": "cross"}
@@ -68,15 +69,16 @@ def increment(mapping: Mapping, sources: Sources, batch_date: date | None, *, fu
 
 
 def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None = None, *, full: bool = True,
-                   hash_hints: bool = False) -> DataFrame:
+                   hash_hints: bool = False, reductions: MappingType[str, Reduction] | None = None) -> DataFrame:
     """Sources under their aliases, joined by sequence.
 
     The increment's condition is applied to the PRIMARY source before any join, so it
     reaches that scan.  A LOOKUP source gets no hint: Catalyst and AQE broadcast what is
     small enough.  USE_HASH is followed for detail sources only on request, because a
-    hash table per partition cannot spill.
+    hash table per partition cannot spill.  A detail with a reduction is joined as one row per key.
     """
     by_alias = {s.alias: s for s in mapping.sources}
+    reductions = reductions or {}
     df = increment(mapping, sources, None if full else batch_date, full=full)
     for join in mapping.joins:
         source = by_alias[join.alias]
@@ -86,9 +88,13 @@ def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None =
                 raise ValueError(f"CROSS source {source.name} is not one row by construction")
             df = df.crossJoin(right.alias(join.alias))
             continue
+        condition = join.condition
+        if join.alias in reductions:
+            condition = reductions[join.alias].condition
+            right = reductions[join.alias].apply(right, lambda text: sql_expression(text, batch_date))
         if hash_hints and join.hint == "USE_HASH" and source.role != "LOOKUP":
             right = right.hint("shuffle_hash")
-        df = df.join(right.alias(join.alias), F.expr(_sql(join.condition, batch_date)), JOIN_TYPES[join.how])
+        df = df.join(right.alias(join.alias), sql_expression(condition, batch_date), JOIN_TYPES[join.how])
     return df
 
 
@@ -119,11 +125,6 @@ def build(mapping: Mapping, sources: Sources, batch_date: date | None = None, *,
     """Target rows of a mapping."""
     aliases = [s.alias for s in mapping.sources]
     names = [f.name for f in mapping.fields]
-    df = joined_sources(mapping, sources, batch_date, full=full, hash_hints=hash_hints)
-    condition = fold_conditions(mapping.where)
-    if condition is not None:
-        df = df.filter(condition)
-
     def is_first(f: Field) -> bool:
         if f.kind in ("DIRECT", "DIRECT_MAPPING", "LOOKUP", "AGGREGATE"):
             return True
@@ -134,7 +135,18 @@ def build(mapping: Mapping, sources: Sources, batch_date: date | None = None, *,
     layers = _layers(later, {f.name for f in first}, names)
     columns = [F.expr(_sql(f.expression, batch_date)).alias(f"f_{f.name}") for f in first]
     grouped = bool(mapping.group_by) or any(f.kind == "AGGREGATE" for f in first)
-    if grouped:
+    eager = plan(mapping, [f.expression for f in first]) if grouped else None
+    df = joined_sources(mapping, sources, batch_date, full=full, hash_hints=hash_hints, reductions=eager.reductions if eager else None)
+    condition = fold_conditions(mapping.where)
+    if condition is not None:
+        df = df.filter(condition)
+
+    if eager:
+        df = eager.rows(df, lambda text: sql_expression(text, batch_date))
+        for test in eager.tests:
+            df = df.filter(sql_expression(test, batch_date))
+        df = df.select(*[sql_expression(text, batch_date).alias(f.name) for f, text in zip(first, eager.texts)])
+    elif grouped:
         groups = [F.expr(_sql(g, batch_date)) for g in mapping.group_by]
         tests = [F.expr(_sql(h, batch_date)).alias(f"having_{i}") for i, h in enumerate(mapping.having)]
         df = df.groupBy(*groups).agg(*columns, *tests)
