@@ -159,25 +159,27 @@ SELECT check_date, count(*) AS total_checks, count(*) FILTER (WHERE pct = 0) AS
 FROM rated GROUP BY check_date"""
 
 
-STORED_DAYS = (date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 7))
-
-
 def dq_stored_trend(spark, sf_dir):
-    """Rules read from a table, one check per day, results stored by day and one day checked again; the trend is read from the store."""
+    """Rules read from a table, one check for each week of the events, results stored by its first day; one week is checked again.
+
+    The trend is read from the store.
+    """
     rows = [("T1", "RANGE", "value", {"max": "250"}), ("T2", "CUSTOM", None, {"condition": "event_type = 'error'"}),
             ("T3", "NOT_NULL", "user_id", {}), ("T4", "NOT_NULL", "event_id", {})]
     table = spark.createDataFrame([(i, i, "", "events", c, t, f, None, "LOG", i != "T4", i) for i, t, c, f in rows], q.RULE_TABLE)
     rules, path, events = q.rules_from_table(table), work_path(spark, "quality"), Retail(spark, sf_dir).raw("events")
-    for day in (*STORED_DAYS, STORED_DAYS[0]):
-        results = q.check({"events": events.filter(F.col("ts").cast("date") == F.lit(day))}, rules, day)
-        q.store_results(results, path)
+    week = F.to_date(F.date_trunc("week", "ts"))
+    weeks = [r[0] for r in events.select(week.alias("w")).distinct().orderBy("w").collect()]
+    for day in (*weeks, weeks[0]):
+        q.store_results(q.check({"events": events.filter(week == F.lit(day))}, rules, day), path)
+    results = q.check({"events": events}, rules, CHECK_DATE)
     return q.status_trend(q.stored_results(spark, path, results.schema))
 
 
 DQ_STORED_SQL = f"""
-WITH wide AS (SELECT CAST(ts AS DATE) AS check_date, count(*) AS total, count(*) FILTER (WHERE value > 250) AS r1,
+WITH wide AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS check_date, count(*) AS total, count(*) FILTER (WHERE value > 250) AS r1,
                      count(*) FILTER (WHERE event_type = 'error') AS r2, count(*) FILTER (WHERE user_id IS NULL) AS r3
-              FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-07' GROUP BY 1),
+              FROM events GROUP BY 1),
 long AS (SELECT check_date, total, r1 AS failed FROM wide UNION ALL SELECT check_date, total, r2 FROM wide
          UNION ALL SELECT check_date, total, r3 FROM wide),
 rated AS (SELECT check_date, {rounded('failed * 100', 'total', 'DECIMAL(5,2)')} AS pct FROM long)
@@ -194,15 +196,26 @@ def dq_rule_report(spark, sf_dir):
         "rule_id", "description", "total_rows", "failed_rows", "failed_percentage", "check_status")
 
 
+SAMPLE_KEYS = {"test_orders": ["order_id"], "customer": ["c_custkey"], "pages": ["page_id"], "lineitem": ["l_orderkey", "l_linenumber"],
+               "labels": ["doc_id"], "dwd_orders": ["order_id"], "documents": ["doc_id"]}
+
+
 def dq_error_samples(spark, sf_dir):
-    """How many rows each rule sampled; the texts themselves depend on which rows come first."""
-    samples = q.error_samples(tables(spark, sf_dir), RULES, sample=100)
-    return samples.select("rule_id", F.json_array_length("error_details").cast("bigint").alias("sampled"))
+    """The keys of the rows that are sampled for each rule, in their order; key rules sample rows that may be equal, of which any may be taken."""
+    rules = [r for r in RULES if r.rule_type not in ("UNIQUE",) and r.table != "dwd_orders"]
+    samples = q.error_samples(tables(spark, sf_dir), rules, 20, SAMPLE_KEYS)
+    rows = F.from_json("error_details", "array<struct<order_id: long, c_custkey: long, page_id: long, doc_id: long>>")
+    return samples.select("rule_id", F.posexplode(rows).alias("place", "row")).select(
+        "rule_id", "place", F.coalesce("row.order_id", "row.c_custkey", "row.page_id", "row.doc_id").alias("key"))
 
 
-_SAMPLED = """SELECT r.rule_id, least(100, CASE r.rule_id WHEN 'line_key_unique' THEN (
-        SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d)
-    ELSE r.failed_rows END)::BIGINT AS sampled FROM results r"""
+_KEY = {"test_orders": "order_id", "customer": "c_custkey", "pages": "page_id", "labels": "doc_id", "documents": "doc_id"}
+_BAD = {r.rule_id: (_WHERE[r.rule_id][0], _WHERE[r.rule_id][1]) for r in RULES if r.rule_id in _WHERE} | {
+    "label_has_document": ("labels", "NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = labels.doc_id)")}
+SAMPLES_SQL = results_sql(RULES, " UNION ALL ".join(
+    f"""SELECT '{rule}' AS rule_id, CAST(p - 1 AS INTEGER) AS place, CAST({_KEY[table]} AS BIGINT) AS key
+        FROM (SELECT {_KEY[table]}, row_number() OVER (ORDER BY md5(CAST({_KEY[table]} AS VARCHAR))) AS p FROM {table} WHERE {where}) t WHERE p <= 20"""
+    for rule, (table, where) in _BAD.items()))
 
 
 def dq_rule_ratios(spark, sf_dir):
@@ -293,7 +306,7 @@ QUERIES = {
     "dq_rule_report": (dq_rule_report, results_sql(RULES, """
         SELECT rule_id, rule_type || ' on ' || table_name AS description, total_rows, failed_rows, failed_percentage,
                check_status FROM results""")),
-    "dq_error_samples": (dq_error_samples, results_sql(RULES, _SAMPLED)),
+    "dq_error_samples": (dq_error_samples, SAMPLES_SQL),
     "dq_rule_ratios": (dq_rule_ratios, DQ_RATIOS_SQL),
     "dq_row_status": (dq_row_status, DQ_ROW_STATUS_SQL),
     "dq_flow_checks": (dq_flow_checks, DQ_FLOW_SQL),

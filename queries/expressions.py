@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill import functions as tf
 from tidemill.operators import fold_conditions, jsonflat, lookup, valid_rows
+from tidemill.operators.joins import hash_join
 from tidemill.sources import Retail, read_source, values_relation, view_source
 
 from .duck import rounded, with_tables
@@ -214,6 +215,27 @@ def hinted_hash_join(spark, sf_dir):
         F.sum("pieces").alias("pieces"))
 
 
+def skewed_hash_join(spark, sf_dir):
+    """Two of five orders share one build key and a third of the suppliers have it: the key is cut, the hash tables stay small."""
+    r = Retail(spark, sf_dir)
+    orders = r.raw("orders").select(
+        F.when(F.col("o_orderpriority") <= "2-HIGH", 0).otherwise(F.col("o_custkey")).alias("k"), "o_totalprice", "o_orderstatus")
+    suppliers = r.raw("supplier").select(
+        F.when(F.col("s_nationkey") < 8, 0).when(F.col("s_nationkey") < 12, None).otherwise(F.col("s_suppkey")).alias("k"), "s_nationkey")
+    joined = hash_join(suppliers, orders, ["k"], "left", most=1000)
+    return joined.groupBy("s_nationkey").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("o_orderstatus").alias("matched"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(28,2)").alias("amount"))
+
+
+def json_paths_data_keys(spark, sf_dir):
+    """Documents whose keys are data: one key per user, below a level that only some of them have."""
+    events = Retail(spark, sf_dir).raw("events")
+    key = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    doc = F.to_json(F.create_map(key, F.create_map(F.col("event_type"), F.struct("value", F.lit(None).alias("none")))))
+    return jsonflat.json_paths(events.select(doc.alias("doc")), "doc")
+
+
 def inline_values(spark, sf_dir):
     """Inline rows joined to facts."""
     labels = values_relation(spark, ["code", "label"], [("F", "finished"), ("O", "open"), ("P", "partly")])
@@ -352,6 +374,14 @@ QUERIES = {
     "hinted_hash_join": (hinted_hash_join, """
         SELECT o_orderstatus, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS pieces
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus"""),
+    "skewed_hash_join": (skewed_hash_join, """
+        WITH o AS (SELECT CASE WHEN o_orderpriority <= '2-HIGH' THEN 0 ELSE o_custkey END AS k, o_totalprice, o_orderstatus FROM orders),
+        s AS (SELECT CASE WHEN s_nationkey < 8 THEN 0 WHEN s_nationkey < 12 THEN NULL ELSE s_suppkey END AS k, s_nationkey FROM supplier)
+        SELECT s_nationkey, count(*) AS row_count, count(o_orderstatus) AS matched, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS amount
+        FROM s LEFT JOIN o USING (k) GROUP BY 1"""),
+    "json_paths_data_keys": (json_paths_data_keys, """
+        SELECT 'u' || user_id || '.' || event_type || '.value' AS path, 'value' AS name, 'float' AS type, count(*) AS documents
+        FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL GROUP BY user_id, event_type"""),
     "inline_values": (inline_values, """
         SELECT code, label, count(*) AS row_count FROM orders
         JOIN (VALUES ('F', 'finished'), ('O', 'open'), ('P', 'partly')) v(code, label) ON code = o_orderstatus GROUP BY 1, 2"""),

@@ -94,6 +94,32 @@ def mapping_full_join(spark, sf_dir):
     return build(doc, _raw(spark, sf_dir))
 
 
+def mapping_union(spark, sf_dir):
+    """One document, three branches: parties of two kinds and their orders, with widened types and a branch label."""
+    def attributes(*rows):
+        return [{"seq": i, "target_field": n, "target_type": t, "target_precision": p, "gen_type": g, "process_logic": e}
+                for i, (n, t, p, g, e) in enumerate(rows)]
+
+    document = parse_mapping({
+        "entity": {"mapping_id": "M_UNION", "target_table": "parties", "sql_conditions": {}},
+        "union": {"label_field": "origin", "branches": [
+            {"branch_name": "customer", "source_tables": [{"table_name": "customer", "alias": "c"}], "attributes": attributes(
+                ("party_key", "BIGINT", "", "DIRECT", "c.c_custkey"), ("party_name", "VARCHAR", "", "DIRECT", "c.c_name"),
+                ("amount", "DECIMAL", "12,2", "DIRECT", "CAST(c.c_acctbal AS DECIMAL(12,2))"), ("code", "INTEGER", "", "DIRECT", "c.c_nationkey"))},
+            {"branch_name": "supplier", "source_tables": [{"table_name": "supplier", "alias": "s"}], "attributes": attributes(
+                ("code", "VARCHAR", "", "DERIVED", "CONCAT('S', s.s_nationkey)"), ("party_key", "INTEGER", "", "DIRECT", "s.s_suppkey"),
+                ("party_name", "VARCHAR", "", "DIRECT", "s.s_name"))},
+            {"branch_name": "orders", "source_tables": [{"table_name": "orders", "alias": "o"}],
+             "sql_conditions": {"group_by": [{"sequence": 1, "expression": "o.o_custkey"}]}, "attributes": attributes(
+                ("party_key", "BIGINT", "", "DIRECT", "o.o_custkey"),
+                ("amount", "DECIMAL", "24,4", "AGGREGATE", "SUM(CAST(o.o_totalprice AS DECIMAL(18,4)))"))}]},
+        "attributes": attributes(
+            ("party_key", "BIGINT", "", "DIRECT", "party_key"), ("party_name", "VARCHAR", "", "DIRECT", "party_name"),
+            ("amount", "DECIMAL", "24,4", "DIRECT", "amount"), ("code", "VARCHAR", "", "DIRECT", "code"), ("origin", "VARCHAR", "", "DIRECT", "origin"),
+            ("label", "VARCHAR", "", "DERIVED", "CONCAT(origin, '-', party_key)"))})
+    return build(document, _raw(spark, sf_dir))
+
+
 def mapping_cross_join(spark, sf_dir):
     """Each segment's orders beside the one-row grand total; the CROSS side is proven small."""
     r = Retail(spark, sf_dir)
@@ -331,6 +357,12 @@ QUERIES = {
     "mapping_full_join": (mapping_full_join, """
         SELECT c_custkey, s_suppkey, coalesce(s_name, c_name) AS name, 'both' AS origin
         FROM customer FULL JOIN supplier ON c_custkey = s_suppkey + 50"""),
+    "mapping_union": (mapping_union, """
+        WITH u AS (SELECT c_custkey AS party_key, c_name AS party_name, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DECIMAL(24,4)) AS amount,
+                          CAST(c_nationkey AS VARCHAR) AS code, 'customer' AS origin FROM customer
+                   UNION ALL SELECT s_suppkey, s_name, NULL, 'S' || s_nationkey, 'supplier' FROM supplier
+                   UNION ALL SELECT o_custkey, NULL, CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DECIMAL(24,4)), NULL, 'orders' FROM orders GROUP BY 1)
+        SELECT *, origin || '-' || party_key AS label FROM u"""),
     "mapping_cross_join": (mapping_cross_join, f"""
         SELECT priority, orders, all_orders, {rounded('orders * 100', 'all_orders')} AS share FROM (
             SELECT o_orderpriority AS priority, count(*) AS orders, (SELECT count(*) FROM orders) AS all_orders

@@ -7,12 +7,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# The type names reported for leaves.
-LEAF_NAMES = {
-    T.LongType: "int", T.StringType: "str", T.DoubleType: "float", T.DecimalType: "float", T.BooleanType: "bool",
-    T.NullType: "NoneType", T.ArrayType: "list", T.VariantType: "variant",
-}
-
+from ..session import cut_lineage
 
 def document_schema(df: DataFrame, column: str) -> T.StructType:
     """Merged schema of all documents: one distributed aggregate, one row to the driver."""
@@ -34,22 +29,55 @@ def leaves(schema: T.StructType, above: tuple[str, ...] = ()) -> Iterator[tuple[
             yield (*above, f.name), f.dataType
 
 
-def json_paths(df: DataFrame, column: str, sep: str = ".", schema: T.StructType | None = None) -> DataFrame:
+# The names of variant types, as `schema_of_variant` gives them.
+_VARIANT_NAMES = {"BIGINT": "int", "STRING": "str", "DOUBLE": "float", "BOOLEAN": "bool", "VOID": "NoneType"}
+#: Levels that are opened in the first pass; doubled as long as there are deeper ones.
+LEVELS = 4
+
+
+def _leaf_rows(df: DataFrame, column: str, sep: str, levels: int) -> DataFrame:
+    """(path, name, kind) of every value that is no object; objects deeper than `levels` stay, as kind OBJECT."""
+    spark = df.sparkSession
+    rows = df.select(F.parse_json(column).alias("v")).filter(F.col("v").isNotNull()).select(
+        "v", F.schema_of_variant("v").alias("kind"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("name"))
+    for _ in range(levels):
+        rows = rows.withColumn("object", F.when(F.col("kind").startswith("OBJECT"), F.col("v")))
+        opened = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("object").outer()).toDF("pos", "key", "value"))
+        inside = F.col("key").isNotNull()
+        opened = opened.filter(inside | F.col("object").isNull())  # an empty object has no leaf
+        rows = opened.select(F.when(inside, F.col("value")).otherwise(F.col("v")).alias("v"),
+                             F.when(inside, F.schema_of_variant("value")).otherwise(F.col("kind")).alias("kind"),
+                             F.when(inside, F.concat_ws(sep, "path", "key")).otherwise(F.col("path")).alias("path"),
+                             F.when(inside, F.col("key")).otherwise(F.col("name")).alias("name"))
+    kind = F.regexp_extract("kind", "^[A-Z]+", 0)
+    return rows.select("path", "name", kind.alias("kind"))
+
+
+def json_paths(df: DataFrame, column: str, sep: str = ".") -> DataFrame:
     """(path, name, type, documents): every leaf path and in how many documents it has a value.
 
-    The merged schema has a field for every key there is; give the schema where keys are data and would be too many.
+    Documents are opened level by level in the cluster and counted there, so keys that are data make rows, not columns.
+    An array is a leaf. Whole and broken numbers under one path are float, other mixtures variant; a path that is
+    never more than null is NoneType. The result is kept in the shared folder, which tells whether a deeper pass is needed.
     """
-    schema = schema or document_schema(df, column)
-    found = list(leaves(schema))
-    doc = F.from_json(column, schema)
-    parsed = df.select(doc.alias("doc"))
-    hits = [F.count(_at(F.col("doc"), path)).alias(f"n{i}") for i, (path, _) in enumerate(found)]
-    packed = F.array(*[
-        F.struct(F.lit(sep.join(path)).alias("path"), F.lit(path[-1]).alias("name"),
-                 F.lit(LEAF_NAMES.get(type(kind), kind.simpleString())).alias("type"), F.col(f"n{i}").alias("documents"))
-        for i, (path, kind) in enumerate(found)
-    ])
-    return parsed.agg(*hits).select(F.explode(packed).alias("p")).select("p.*")
+    levels = LEVELS
+    while True:
+        leaves_ = _leaf_rows(df, column, sep, levels)
+        names = F.create_map(*[F.lit(x) for pair in _VARIANT_NAMES.items() for x in pair])
+        named = F.when(F.col("kind") == "ARRAY", "list").when(F.col("kind").isin("DECIMAL", "FLOAT"), "float").otherwise(
+            F.coalesce(F.try_element_at(names, F.col("kind")), F.lower("kind")))
+        counted = leaves_.select("path", "name", named.alias("type"), (F.col("kind") != "VOID").alias("value")).groupBy("path", "name").agg(
+            F.array_sort(F.array_remove(F.collect_set("type"), "NoneType")).alias("types"), F.count_if("value").alias("documents"))
+        counted = cut_lineage(counted)
+        if not counted.filter(F.array_contains("types", "object")).limit(1).count():
+            break
+        levels *= 2
+    if counted.filter(F.col("path").isNull()).limit(1).count():
+        raise ValueError("the documents are no JSON objects")
+    kinds = F.size("types")
+    merged = (F.when(kinds == 0, "NoneType").when(kinds == 1, F.try_element_at("types", F.lit(1)))
+              .when(F.col("types") == F.array(F.lit("float"), F.lit("int")), "float").otherwise("variant"))
+    return counted.select("path", "name", merged.alias("type"), "documents")
 
 
 def _at(doc: Column, path: tuple[str, ...]) -> Column:

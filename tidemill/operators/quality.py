@@ -13,7 +13,7 @@ from datetime import date
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, SparkSession, functions as F, types as T
 
 from ..functions import percent, rows_json
 from ..sources.reader import typed_rows
@@ -236,13 +236,32 @@ def failing_rows(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
     return df.filter(bad_row(rule))
 
 
-def error_samples(tables: Mapping[str, DataFrame], rules: Sequence[Rule], sample: int = 100) -> DataFrame:
-    """(rule_id, error_details): up to `sample` failing rows of each rule as a JSON array."""
+def error_samples(tables: Mapping[str, DataFrame], rules: Sequence[Rule], sample: int = 100,
+                  keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """(rule_id, error_details): up to `sample` failing rows of each rule as a JSON array.
+
+    The rows are those with the least hashes, so a second run takes the same ones, however the table is laid out; every task keeps its
+    own least rows and the least of all are taken from them. `keys` names the columns of a table that are hashed, else all are. All
+    row rules of a table are sampled in one scan. A rule without failing rows has no row.
+    """
+    rules, keys = select_rules(rules), keys or {}
+    by_table: dict[str, list[Rule]] = {}
+    for rule in rules:
+        by_table.setdefault(rule.table if rule.rule_type in ROW_TYPES else f"{rule.table} {rule.rule_id}", []).append(rule)
     parts = []
-    for rule in select_rules(rules):
-        rows = failing_rows(tables, rule).limit(sample)
-        parts.append(rows.agg(rows_json(*[F.col(f"`{c}`") for c in rows.columns]).alias("error_details"))
-                     .select(F.lit(rule.rule_id).alias("rule_id"), "error_details"))
+    for some in by_table.values():
+        name = some[0].table
+        if some[0].rule_type in ROW_TYPES:
+            df, ids = tables[name], F.array_compact(F.array(*[F.when(bad_row(r), F.lit(r.rule_id)) for r in some]))
+        else:
+            df, ids = failing_rows(tables, some[0]), F.array(F.lit(some[0].rule_id))
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        hashed = F.md5(F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in keys.get(name, df.columns)]))
+        found = df.select(F.explode(ids).alias("rule_id"), hashed.alias("hash"), F.struct(*columns).alias("row"))
+        least = Window.partitionBy("rule_id").orderBy("hash", F.to_json("row"))
+        kept = found.withColumn("place", F.row_number().over(least)).filter(F.col("place") <= sample)
+        rows = F.transform(F.array_sort(F.collect_list(F.struct("place", "row"))), lambda r: r["row"])
+        parts.append(kept.groupBy("rule_id").agg(F.to_json(rows).alias("error_details")))
     return reduce(DataFrame.unionByName, parts)
 
 

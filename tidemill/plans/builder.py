@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import stamp
 from ..operators import conform, fold_conditions
+from ..operators.unions import union_branches
 from .aggregation import Reduction, plan
 from .mapping import Field, Mapping
 
@@ -120,9 +121,27 @@ def _layers(later: list[Field], ready: set[str], names: list[str]) -> list[list[
     return layers
 
 
+def _built_union(mapping: Mapping, sources: Sources, batch_date: date | None, *, load_ts: datetime | None, ordered: bool, **how) -> DataFrame:
+    """The branches' rows by name, their types widened; fields of the document itself are computed over all of them."""
+    rows = union_branches({name: build(part, sources, batch_date, load_ts=load_ts, ordered=False, **how) for name, part in mapping.branches},
+                          mapping.label_field)
+    names = [f.name for f in mapping.fields]
+    # fields that a branch gives are taken as they are
+    later = [f for f in mapping.fields if f.name not in rows.columns]
+    for layer in _layers(later, set(rows.columns), names):
+        rows = rows.select("*", *[(_system_value(f.expression, batch_date, load_ts) if f.kind == "SYSTEM"
+                                   else sql_expression(f.expression, batch_date)).alias(f.name) for f in layer])
+    rows = conform(rows, mapping.target_schema()) if mapping.fields else rows
+    if ordered and mapping.order_by:
+        rows = rows.orderBy(*[F.col(e.split(".")[-1]).desc() if d.upper() == "DESC" else F.col(e.split(".")[-1]).asc() for e, d in mapping.order_by])
+    return rows
+
+
 def build(mapping: Mapping, sources: Sources, batch_date: date | None = None, *, full: bool = True,
           load_ts: datetime | None = None, ordered: bool = True, hash_hints: bool = False) -> DataFrame:
-    """Target rows of a mapping."""
+    """Target rows of a mapping; of one with branches the rows of all, aligned by name."""
+    if mapping.branches:
+        return _built_union(mapping, sources, batch_date, full=full, load_ts=load_ts, ordered=ordered, hash_hints=hash_hints)
     aliases = [s.alias for s in mapping.sources]
     names = [f.name for f in mapping.fields]
     def is_first(f: Field) -> bool:

@@ -81,6 +81,9 @@ class Mapping:
     exception_strategy: str = "LOG"
     error_threshold: float = 5.0
     version: str = ""
+    #: (name, document) of each branch of a union mapping, whose own sources and fields are read instead
+    branches: tuple[tuple[str, Mapping], ...] = ()
+    label_field: str | None = None
 
     @property
     def target(self) -> str:
@@ -192,13 +195,20 @@ def _field(entry: MappingType[str, Any]) -> Field:
 
 
 def parse_mapping(document: MappingType[str, Any]) -> Mapping:
+    """A document. One with `union` has branches in place of sources: each names its own, with conditions and attributes, and a branch_name."""
     e, conditions = document["entity"], document["entity"].get("sql_conditions") or {}
+    union = document.get("union") or {}
+    branches = tuple((b["branch_name"], parse_mapping({
+        "entity": {**{k: v for k, v in e.items() if k not in ("source_tables", "sql_conditions")}, **{k: b[k] for k in ("source_tables", "sql_conditions") if k in b}},
+        "attributes": b["attributes"]})) for b in union.get("branches", ()))
+    if len({n for n, _ in branches}) != len(branches):
+        raise ValueError("branches of a union need names of their own")
     distribution = e.get("distribution_key") or ""
     return Mapping(
         mapping_id=e["mapping_id"], schema=e.get("target_schema", ""), table=e["target_table"],
         strategy=e.get("loading_strategy", "FULL"),
         sources=tuple(Source(s["alias"], s["table_name"], s.get("schema", ""), s.get("table_type", "PRIMARY"),
-                             s.get("source_id", "")) for s in e["source_tables"]),
+                             s.get("source_id", "")) for s in (e["source_tables"] if not branches else ())),
         joins=tuple(Join(j["join_sequence"], j["table_alias"], j.get("join_type", "LEFT").upper(), j.get("join_condition"),
                          j.get("join_hint")) for j in _in_sequence(conditions.get("joins"), "join_sequence")),
         where=tuple(_in_sequence(conditions.get("where"))),
@@ -210,7 +220,8 @@ def parse_mapping(document: MappingType[str, Any]) -> Mapping:
         incremental=e.get("incremental_config") or {}, scd=e.get("scd_config") or {}, partition_key=e.get("partition_key"),
         distribution_key=tuple(c.strip() for c in distribution.split(",") if c.strip()),
         retention_days=e.get("partition_retention_days"), exception_strategy=e.get("exception_strategy", "LOG"),
-        error_threshold=float(e.get("error_threshold_percent", 5.0)), version=e.get("version", ""))
+        error_threshold=float(e.get("error_threshold_percent", 5.0)), version=e.get("version", ""),
+        branches=branches, label_field=union.get("label_field"))
 
 
 def load_mapping(name_or_path: str) -> Mapping:

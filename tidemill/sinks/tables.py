@@ -204,9 +204,18 @@ def _in_folders(found: Iterable[Folder]) -> Column:
     return reduce(lambda a, b: a | b, map(inside, every), F.lit(False))
 
 
-def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
+def _not_older(rows: DataFrame, target: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
+    held = target.select(*[F.col(f"`{k}`").alias(f"__key_{n}") for n, k in enumerate(keys)], F.col(f"`{newest_by}`").alias("__held"))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"__key_{n}")) for n, k in enumerate(keys)])
+    joined = rows.join(held, same, "left")
+    return joined.filter(F.col("__held").isNull() | (F.col(f"`{newest_by}`") >= F.col("__held"))).select(*rows.columns)
+
+
+def upsert(src: DataFrame, table: str, keys: Sequence[str], newest_by: str | None = None) -> LoadReport:
     """Strategy INCREMENTAL_MERGE.
 
+    With `newest_by` a source row only replaces a row whose value there is not greater (NULL is the least).
+
     If the keys settle the partition (the partition columns are keys, or key buckets of them), only the partitions that the source falls into
     are read, merged and rewritten; otherwise the whole table is. Duplicate source keys are refused, and so is a NULL
     in a key column, except in a partition column: the rows without a day are a partition like any other.
@@ -228,6 +237,8 @@ def upsert(src: DataFrame, table: str, keys: Sequence[str]) -> LoadReport:
         partial = bool(parts) and set(parts) <= set(settled)
         if partial:
             target = target.filter(_in_folders(folders(spark, incoming.path, len(parts))))
+        if newest_by:
+            rows = _not_older(rows, target, keys, newest_by)
         before = target.count()
         with _aside(_untouched(target, rows, keys).unionByName(rows.select(*target.columns)), table) as change:
             after = _read_aside(spark, table, change.path).count()  # from file footers

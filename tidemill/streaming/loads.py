@@ -8,6 +8,7 @@ take the place of the batch watermark state.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -54,17 +55,20 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay:
     _write(timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys)), target, checkpoint)
 
 
-def stream_newest(stream: DataFrame, keys: Sequence[str], newest_by: str, table: str, checkpoint: str) -> None:
+def stream_newest(stream: DataFrame, keys: Sequence[str], newest_by: str, table: str, checkpoint: str, rejects: str | None = None) -> None:
     """Keep the newest row of each key in a table, however late or in whatever order its copies arrive.
 
-    Each micro-batch is reduced to its newest rows, those older than the table's are left out, the rest is upserted; a
-    batch that runs again after a failure changes nothing. No state is kept besides the table, so no copy comes too late.
+    Each micro-batch is reduced to its newest rows, which are upserted where the table has no newer one; a
+    batch that runs again after a failure changes nothing. No state is kept besides the table, so no copy comes too late, and a table
+    with key buckets has only those read and rewritten that the batch falls into. Rows without a key go to
+    the folder `rejects`, a batch to a partition of its own; without such a folder they are left out.
     """
-    def merge(batch: DataFrame, _: int) -> None:
-        rows = latest_row(batch, keys, newest_by)
-        held = batch.sparkSession.table(table).select(*keys, F.col(newest_by).alias("__held"))
-        fresh = rows.join(held, list(keys), "left").filter(F.col("__held").isNull() | (F.col(newest_by) >= F.col("__held")))
-        upsert(fresh.drop("__held"), table, keys)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if rejects:
+            batch.filter(~known).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        upsert(latest_row(batch.filter(known), keys, newest_by), table, keys, newest_by)
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
