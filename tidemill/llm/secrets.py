@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import arrow_limits, materialize
+from tidemill.llm.common import arrow_limits, materialize, remove, store
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -27,7 +27,8 @@ ASSIGN_VALUE, ACCESS_LENGTH = 12, 18
 KINDS = ("assign", "access", "hex", "guess")
 
 #: Key names of a credential context, what may stand between name and value, and the value: quoted, blanks allowed, or up to a blank.
-CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:[A-Za-z0-9]+[_-])*(?:password|passwd|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|credentials?|auth)"""
+#: A longer name that ends with one of these after _ or - counts too.
+CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:password|passwd|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|credentials?|auth)"""
                      r"""["']?[ \t]*(?::=|=>|[:=])[ \t]*(?:"([^"\r\n]+)"|'([^'\r\n]+)'|([^\s"'<>,;]+))""", re.I | re.A)
 #: log10 of the guesses from which a value counts as a secret.
 GUESSES = 8.0
@@ -224,14 +225,17 @@ def _part_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([v] * len(parts), pa.int64()), pa.array(parts, pa.string())], names=["v", "word"])
 
 
-def value_costs(values: DataFrame, texts: DataFrame, words) -> DataFrame:
+def value_costs(values: DataFrame, texts: DataFrame, words, made: list[str]) -> DataFrame:
     """(value, cost): log10 of the guesses for distinct values, with the words of texts (text) ranked behind the given ones.
 
-    Words with about as many rows (an eighth of a power of two) share a rank, the number of words that have as many or more.
+    Words with about as many rows (an eighth of a power of two) share a rank, the number of words that have as many or more. The
+    paths of work tables are added to `made`: the caller deletes them, as they hold values.
     """
-    values = materialize(values.select("value").distinct().withColumn("v", F.monotonically_increasing_id()), "values")
+    values, path = store(values.select("value").distinct().withColumn("v", F.monotonically_increasing_id()), "values")
+    made.append(path)
     known = texts.mapInArrow(_word_tasks, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCUMENTS)
-    known = materialize(known.select("word", F.floor(F.log2("n") * 8).cast("int").alias("bucket")), "words")
+    known, path = store(known.select("word", F.floor(F.log2("n") * 8).cast("int").alias("bucket")), "words")
+    made.append(path)
     ranks, total = {}, 0
     for bucket, count in sorted(known.groupBy("bucket").count().collect(), reverse=True):
         ranks[bucket] = total = total + count
@@ -251,7 +255,8 @@ def find_secrets(docs: DataFrame, threshold: float = GUESSES, words=COMMON) -> D
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess, max_guess_log10: one row per row of docs.
 
     Null text counts as empty: no spans, the digest of the empty string. Repeated rows and null ids give their own rows. Spans count code
-    points, whole texts are read, other columns are not. words are tried first; then come the words of docs.
+    points, whole texts are read, other columns are not. words are tried first; then come the words of docs. The values found stand in
+    work tables only while this runs; the result names their places.
     """
     arrow_limits(docs.sparkSession)
     words = tuple(words)
@@ -277,12 +282,18 @@ def find_secrets(docs: DataFrame, threshold: float = GUESSES, words=COMMON) -> D
             yield pa.array(rows, pa.struct(fields))
 
     text = F.col("text").cast("string")
-    rows = materialize(docs.select("doc_id", F.monotonically_increasing_id().alias("r"), secrets(text).alias("s")).select("doc_id", "r", "s.*"), "secrets")
-    opened = rows.select("r", F.explode("open").alias("o")).select("r", "o.start", "o.end", "o.value")
-    guessed = opened.join(value_costs(opened, docs.select(text.alias("text")), words), "value").filter(F.col("cost") >= threshold)
-    guessed = guessed.groupBy("r").agg(F.max("cost").alias("most"), F.collect_list(F.struct(
-        "start", F.lit(KINDS.index("guess")).cast("long").alias("kind"), F.concat_ws(":", F.lit("guess"), "start", "end").alias("span"))).alias("more"))
-    found = rows.join(guessed, "r", "left").withColumn("more", F.coalesce("more", F.slice("base", 1, 0)))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
-                        F.array_join(F.sort_array(F.concat("base", "more")).getField("span"), ",").alias("spans"),
-                        F.size("more").cast("long").alias("n_guess"), F.coalesce("most", F.lit(0.0)).alias("max_guess_log10"))
+    made: list[str] = []
+    try:
+        rows, path = store(docs.select("doc_id", F.monotonically_increasing_id().alias("r"), secrets(text).alias("s")).select("doc_id", "r", "s.*"), "secrets")
+        made.append(path)
+        opened = rows.select("r", F.explode("open").alias("o")).select("r", "o.start", "o.end", "o.value")
+        guessed = opened.join(value_costs(opened, docs.select(text.alias("text")), words, made), "value").filter(F.col("cost") >= threshold)
+        guessed = guessed.groupBy("r").agg(F.max("cost").alias("most"), F.collect_list(F.struct(
+            "start", F.lit(KINDS.index("guess")).cast("long").alias("kind"), F.concat_ws(":", F.lit("guess"), "start", "end").alias("span"))).alias("more"))
+        found = rows.join(guessed, "r", "left").withColumn("more", F.coalesce("more", F.slice("base", 1, 0)))
+        return materialize(found.select(
+            "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(F.sort_array(F.concat("base", "more")).getField("span"), ",").alias("spans"),
+            F.size("more").cast("long").alias("n_guess"), F.coalesce("most", F.lit(0.0)).alias("max_guess_log10")), "secret-spans")
+    finally:
+        for path in made:
+            remove(docs.sparkSession, path)

@@ -57,22 +57,24 @@ def parse_head(head: bytes) -> dict[str, str]:
 
 
 def inflated(stream) -> Iterator[bytes]:
-    """The content of a gzip file, member by member or all in one, in pieces of bounded size."""
-    inflate = zlib.decompressobj(31)
+    """The content of a gzip file, member by member or all in one, in pieces of bounded size; a member that does not end is an error."""
+    inflate, begun = zlib.decompressobj(31), False
     data = stream.read(CHUNK)
     while data:
+        begun = True
         piece = inflate.decompress(data, CHUNK)
         if piece:
             yield piece
         if inflate.eof:
             data = inflate.unused_data or stream.read(CHUNK)
-            inflate = zlib.decompressobj(31)
+            inflate, begun = zlib.decompressobj(31), False
         else:
             data = inflate.unconsumed_tail or stream.read(CHUNK)
     rest = inflate.flush()
     if rest:
         yield rest
-    if not inflate.eof and rest:
+    # the checksum at the end of a member is part of it
+    if begun and not inflate.eof:
         raise EOFError("the gzip stream ends early")
 
 
