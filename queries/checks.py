@@ -271,23 +271,29 @@ def dq_flow_checks(spark, sf_dir):
 
 
 _DIMS = ", ".join(cs.DIMENSIONS)
+# (rule, table, condition of a failing row, threshold)
+_FLOW_FAULTS = [
+    ("O1", "orders_summary", "summary_id IS NULL OR summary_id = ''", 0.0),
+    ("O2", "orders_summary", "total_amount IS NULL OR total_amount < 0 OR total_amount > 999999999.99", 5.0),
+    ("O3", "orders_summary", "channel_code NOT IN (SELECT channel_code FROM dim_channel WHERE is_valid = 'Y')", 5.0),
+    ("C1", "channel_sales", "analysis_id IS NULL OR analysis_id = ''", 0.0),
+    ("C2", "channel_sales", "total_order_amount < 0", 5.0),
+    ("C3", "channel_sales", "abs(total_net_amount - (total_order_amount - total_refund_amount)) > 0.01", 5.0),
+]
 _CHECKED = {
-    "orders_summary": """SELECT a.stat_date, a.channel_code FROM dwd_orders a
-        WHERE a.order_status IN ('COMPLETED', 'PAID') AND a.is_deleted = 'N' GROUP BY 1, 2""",
-    "channel_sales": f"SELECT {_DIMS} FROM named_rows GROUP BY {_DIMS}",
-    "counted": """
-        SELECT 'O1' AS rule_id, (SELECT count(*) FROM orders_summary) AS total_rows, 0 AS failed_rows, 0.0 AS threshold
-        UNION ALL SELECT 'O2', (SELECT count(*) FROM orders_summary), 0, 5.0
-        UNION ALL SELECT 'O3', (SELECT count(*) FROM orders_summary), (SELECT count(*) FROM orders_summary s
-            WHERE s.channel_code NOT IN (SELECT channel_code FROM dim_channel WHERE is_valid = 'Y')), 5.0
-        UNION ALL SELECT 'C1', (SELECT count(*) FROM channel_sales), 0, 0.0
-        UNION ALL SELECT 'C2', (SELECT count(*) FROM channel_sales), 0, 5.0
-        UNION ALL SELECT 'C3', (SELECT count(*) FROM channel_sales), 0, 5.0
-        UNION ALL SELECT 'C4', (SELECT count(*) FROM channel_sales), (SELECT count(*) FROM (
-            SELECT 1 FROM channel_sales GROUP BY stat_date, channel_code HAVING count(*) > 1) d), 5.0""",
+    "orders_summary": """SELECT md5(CAST(stat_date AS VARCHAR) || '_' || channel_code) AS summary_id, channel_code, sum(order_amount) AS total_amount
+        FROM dwd_orders WHERE order_status IN ('COMPLETED', 'PAID') AND is_deleted = 'N' GROUP BY stat_date, channel_code""",
+    "channel_sales": f"""SELECT md5(CAST(stat_date AS VARCHAR) || '_' || channel_code) AS analysis_id, sum(order_amount) AS total_order_amount,
+               sum(refund_amount) AS total_refund_amount, sum(order_amount - refund_amount) AS total_net_amount
+        FROM described_lines GROUP BY {_DIMS}""",
+    "counted": " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule_id, count(*) AS total_rows, count(*) FILTER (WHERE {fault}) AS failed_rows, {limit} AS threshold FROM {table}"
+        for rule, table, fault, limit in _FLOW_FAULTS) + """
+        UNION ALL SELECT 'C4', (SELECT count(*) FROM channel_sales),
+            (SELECT count(*) FROM (SELECT 1 FROM channel_sales GROUP BY analysis_id HAVING count(*) > 1) d), 5.0""",
 }
 _PCT = rounded("failed_rows * 100", "total_rows", "DECIMAL(5,2)")
-DQ_FLOW_SQL = with_tables("named_rows dim_channel", f"""
+DQ_FLOW_SQL = with_tables("described_lines dim_channel", f"""
     SELECT rule_id, total_rows, CAST(failed_rows AS BIGINT) AS failed_rows, {_PCT} AS failed_percentage,
            CASE WHEN {_PCT} = 0 THEN 'PASSED' WHEN {_PCT} <= threshold THEN 'WARNING' ELSE 'FAILED' END AS check_status
     FROM counted""", **_CHECKED)
