@@ -59,14 +59,18 @@ def inventory_means(inventory: DataFrame, batch_date: date | None = None) -> Dat
         F.avg(F.col("inventory_qty").cast("decimal(18,2)")).alias("avg_inventory_qty"))
 
 
-def base_rows(tables: Mapping[str, DataFrame], batch_date: date | None = None) -> DataFrame:
-    """One row per order and product: orders LEFT refunds LEFT items LEFT stock.
+def base_rows(tables: Mapping[str, DataFrame], batch_date: date | None = None, *, named: bool = False) -> DataFrame:
+    """One row per order and product: orders LEFT refunds LEFT items LEFT stock.  `named` adds the looked-up names.
+
+    What an order's names depend on is looked up once per order, before the items multiply it.
 
     Every right side is aggregated to its key first.  An order id that holds a large share
     of the item rows is down to one row per product before it is joined, and a product that
     most orders hold is on the left side, where AQE splits its partition.
     """
     orders = order_dedup(tables["orders"], batch_date).drop("etl_load_time")
+    if named:
+        orders = with_order_names(orders, tables)
     items = tables["items"]
     if batch_date is not None:
         # The item history has no date; keep only the day's orders before aggregating it.
@@ -74,29 +78,32 @@ def base_rows(tables: Mapping[str, DataFrame], batch_date: date | None = None) -
         items = items.join(days_orders, "order_id", "left_semi")
     refunds = refund_totals(tables["refunds"], batch_date)
     stock = inventory_means(tables["inventory"], batch_date)
-    return (
+    base = (
         orders.join(refunds, ["order_id", "stat_date"], "left")
         .join(item_latest(items), "order_id", "left")
         .join(stock, ["product_id", "stat_date"], "left")
         .withColumn("refund_amount", F.coalesce("refund_amount", F.lit(0)).cast("decimal(18,2)"))
         .withColumn("avg_inventory_qty", F.coalesce("avg_inventory_qty", F.lit(0)).cast("decimal(22,6)"))
     )
+    return with_category(base, tables) if named else base
 
 
-def with_dimensions(base: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Add the looked-up names; an invalid or missing dimension row gives the default."""
-    named = lookup(base, valid_rows(tables["channels"]), {"channel_code": "channel_code"}, {
+def with_order_names(orders: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Channel, region and kind of customer; an invalid or missing dimension row gives the default."""
+    named = lookup(orders, valid_rows(tables["channels"]), {"channel_code": "channel_code"}, {
         "channel_name": ("channel_name", UNKNOWN_CHANNEL),
         "channel_type": ("channel_type", UNKNOWN_CHANNEL_TYPE),
     })
     named = lookup(named, valid_rows(tables["regions"]), {"region_code": "region_code"},
                    {"region_name": ("region_name", UNKNOWN_REGION)})
-    named = lookup(named, tables["customers"], {"customer_id": "customer_id"},
-                   {"customer_type": ("customer_type", None)})
-    named = lookup(named, valid_rows(tables["products"]), {"product_id": "product_id"},
-                   {"category_id": ("category_id", None)})
-    return lookup(named, valid_rows(tables["categories"]), {"category_id": "category_id"},
-                  {"category_name": ("category_name", UNKNOWN_CATEGORY)})
+    return lookup(named, tables["customers"], {"customer_id": "customer_id"}, {"customer_type": ("customer_type", None)})
+
+
+def with_category(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The category of the product; products meet their categories before the rows do."""
+    products = lookup(valid_rows(tables["products"]).select("product_id", "category_id"), valid_rows(tables["categories"]),
+                      {"category_id": "category_id"}, {"category_name": ("category_name", None)})
+    return lookup(rows, products, {"product_id": "product_id"}, {"category_name": ("category_name", UNKNOWN_CATEGORY)})
 
 
 def channel_totals(named: DataFrame, by: list[str], order_grain: bool = False) -> DataFrame:
@@ -175,7 +182,7 @@ def channel_sales(tables: Mapping[str, DataFrame], batch_date: date | None = Non
     groups and hashes all group columns.
     """
     by = [d for d in DIMENSIONS if not (order_grain and d == "category_name")]
-    named = with_dimensions(base_rows(tables, batch_date), tables)
+    named = base_rows(tables, batch_date, named=True)
     totals = channel_totals(named, by, order_grain)
     key_parts = by if order_grain else ["stat_date", "channel_code"]
     # at order grain the category is no group, so it stays NULL
