@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemill.operators import quality as q
 from tidemill.operators.quality import Rule
@@ -188,6 +190,17 @@ SELECT check_date, count(*) AS total_checks, count(*) FILTER (WHERE pct = 0) AS
 FROM rated GROUP BY check_date"""
 
 
+def dq_selected_rules(spark, sf_dir):
+    """Rules chosen by table, by id, and as a whole schema, with one of them switched off."""
+    rules = [replace(r, schema="sales" if r.table in ("customer", "lineitem") else "web", active=r.rule_id != "url_is_https") for r in RULES]
+    named = tables(spark, sf_dir)
+    chosen = {"table": q.select_rules(rules, table="documents"), "rule": q.select_rules(rules, rule_id="email_length"),
+              "schema": q.select_rules(rules, schema="sales"), "off": q.select_rules(rules, rule_id="url_is_https")}
+    parts = [q.check(named, some, CHECK_DATE).select(F.lit(name).alias("chosen_by"), "rule_id", "schema_name", "failed_rows")
+             for name, some in chosen.items() if some]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dq_rule_report(spark, sf_dir):
     """Results joined to their rules' descriptions; the rule table is inline."""
     from tidemill.sources import values_relation
@@ -299,6 +312,10 @@ DQ_FLOW_SQL = with_tables("described_lines dim_channel", f"""
     FROM counted""", **_CHECKED)
 
 QUERIES = {
+    "dq_selected_rules": (dq_selected_rules, results_sql(RULES, """
+        SELECT 'table' AS chosen_by, rule_id, 'web' AS schema_name, failed_rows FROM results WHERE rule_id IN ('language_known', 'document_length')
+        UNION ALL SELECT 'rule', rule_id, 'web', failed_rows FROM results WHERE rule_id = 'email_length'
+        UNION ALL SELECT 'schema', rule_id, 'sales', failed_rows FROM results WHERE rule_id IN ('balance_not_negative', 'line_key_unique')""")),
     "dq_stored_trend": (dq_stored_trend, DQ_STORED_SQL),
     "dq_results_long": (_check(RULES), results_sql(RULES)),
     **{f"dq_{kind.lower()}": _of_type(kind) for kind in (

@@ -106,6 +106,12 @@ def scalar_json(spark, sf_dir):
         tf.row_json("event_id", "event_type").alias("row_text"))
 
 
+def json_pretty(spark, sf_dir):
+    """Rows as indented JSON text."""
+    suppliers = Retail(spark, sf_dir).raw("supplier")
+    return suppliers.select("s_suppkey", tf.pretty_json(F.struct("s_suppkey", "s_name")).alias("text"))
+
+
 def _documents(spark, sf_dir):
     """Nested documents built from the events' own JSON."""
     events = Retail(spark, sf_dir).raw("events")
@@ -329,6 +335,9 @@ QUERIES = {
     "scalar_json": (scalar_json, """
         SELECT event_id, json_extract_string(props, '$.k') AS k,
                '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}' AS row_text FROM events"""),
+    "json_pretty": (json_pretty, r"""
+        SELECT s_suppkey, '{' || chr(10) || '  "s_suppkey" : ' || s_suppkey || ',' || chr(10) || '  "s_name" : "' || s_name || '"' || chr(10) || '}' AS text
+        FROM supplier"""),
     "json_paths": (json_paths, f"""
         WITH d AS ({_DOCS})
         SELECT 'props.k' AS path, 'k' AS name, 'int' AS type, count(k) AS documents FROM d

@@ -175,6 +175,26 @@ def watermark_state(spark, sf_dir):
         "row_count", "load_seq")
 
 
+def watermark_reset(spark, sf_dir):
+    """After a reset the next load appends everything once more."""
+    target, store = _two_loads(spark, sf_dir)
+    store.reset("ods.events", target)
+    incremental.incremental_load(_events(spark, sf_dir), "ods.events", target, "ts", store, load_ts=datetime(2025, 1, 1))
+    return spark.read.parquet(target).groupBy("load_seq").agg(F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("min_id")).crossJoin(
+        store.current().select(F.col("load_seq").alias("last_seq"), F.col("row_count").alias("last_count")))
+
+
+def copy_keys(spark, sf_dir):
+    """Tables copied by the first integral column they have, with their row counts."""
+    r, rows = Retail(spark, sf_dir), None
+    for name in ("region", "customer", "lineitem", "events", "documents"):
+        df = r.raw(name)
+        key = chunks.copy_key(df)
+        one = df.agg(F.lit(name).alias("table_name"), F.lit(key).alias("key"), F.count(F.lit(1)).alias("row_count"), F.max(F.col(key).cast("bigint")).alias("max_id"))
+        rows = one if rows is None else rows.union(one)
+    return rows
+
+
 def incremental_target(spark, sf_dir):
     target, _ = _two_loads(spark, sf_dir)
     return spark.read.parquet(target).groupBy("load_seq", "event_type").agg(
@@ -358,6 +378,13 @@ QUERIES = {
     "watermark_state": (watermark_state, _LOADS + """
         SELECT 'ods.events' AS source_table, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_watermark,
                count(*) FILTER (WHERE load_seq = 2) AS row_count, CAST(2 AS BIGINT) AS load_seq FROM tagged"""),
+    "watermark_reset": (watermark_reset, _LOADS + """
+        , parts AS (SELECT load_seq, event_id FROM tagged UNION ALL SELECT 4, event_id FROM events)
+        SELECT CAST(load_seq AS INTEGER) AS load_seq, count(*) AS row_count, min(event_id) AS min_id, CAST(4 AS BIGINT) AS last_seq,
+               (SELECT count(*) FROM events) AS last_count FROM parts GROUP BY 1"""),
+    "copy_keys": (copy_keys, " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS key, count(*) AS row_count, CAST(max({k}) AS BIGINT) AS max_id FROM {t}"
+        for t, k in (("region", "r_regionkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey"), ("events", "event_id"), ("documents", "doc_id")))),
     "incremental_target": (incremental_target, _LOADS + """
         SELECT load_seq, event_type, count(*) AS row_count, min(event_id) AS min_id, max(event_id) AS max_id
         FROM tagged GROUP BY 1, 2"""),

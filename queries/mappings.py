@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemill.operators.quality import QualityError
 from tidemill.plans.builder import build
@@ -94,6 +95,17 @@ def mapping_full_join(spark, sf_dir):
     return build(doc, _raw(spark, sf_dir))
 
 
+def mapping_ordered(spark, sf_dir):
+    """A document's ORDER BY: groups in order, numbered as they come."""
+    document = _document([("orders", "o", "PRIMARY")], [], [
+        ("priority", "VARCHAR", "DIRECT", "o.o_orderpriority"), ("status", "VARCHAR", "DIRECT", "o.o_orderstatus"),
+        ("orders", "BIGINT", "AGGREGATE", "COUNT(*)")], group_by=["o.o_orderpriority", "o.o_orderstatus"])
+    document = replace(document, order_by=(("status", "DESC"), ("orders", "ASC"), ("priority", "ASC")))
+    # 15 groups, whatever the size of the table
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return build(document, _raw(spark, sf_dir), ordered=True).withColumn("place", place)
+
+
 def mapping_union(spark, sf_dir):
     """One document, three branches: parties of two kinds and their orders, with widened types and a branch label."""
     def attributes(*rows):
@@ -357,6 +369,9 @@ QUERIES = {
     "mapping_full_join": (mapping_full_join, """
         SELECT c_custkey, s_suppkey, coalesce(s_name, c_name) AS name, 'both' AS origin
         FROM customer FULL JOIN supplier ON c_custkey = s_suppkey + 50"""),
+    "mapping_ordered": (mapping_ordered, """
+        SELECT *, CAST(row_number() OVER (ORDER BY status DESC, orders, priority) AS INTEGER) AS place
+        FROM (SELECT o_orderpriority AS priority, o_orderstatus AS status, count(*) AS orders FROM orders GROUP BY 1, 2) t"""),
     "mapping_union": (mapping_union, """
         WITH u AS (SELECT c_custkey AS party_key, c_name AS party_name, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DECIMAL(24,4)) AS amount,
                           CAST(c_nationkey AS VARCHAR) AS code, 'customer' AS origin FROM customer
