@@ -22,6 +22,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,15 @@ from tidemill.session import work_path
 END_ID = 2
 #: Bytes of text per shard, about.
 SHARD_BYTES = 32 << 20
+#: Bytes of text that are encoded at a time, and estimated bytes of remembered pieces in one task.
+SLICE_BYTES = 4 << 20
+REMEMBERED_BYTES = 64 << 20
+#: Unseen words that are encoded as one text.
+TOGETHER = 128
 KEYS_PER_INDEX = 65_536
 GAMMA = 2.0
 _CUT = re.compile(r" (?=[A-Za-z0-9À-ɏ])")
+_ANY_SPACE = re.compile(r"\s")
 _BREAK = re.compile(r"(?<=[A-Za-z.,;:!?])\n(?=[A-Za-zÀ-ɏ])")
 
 
@@ -51,14 +58,26 @@ class Encoder:
 
     The library's pre-tokenizer never joins what lies before a single space with a character after it that is no white space, so a
     text can be cut there and each piece encoded once. Texts with white space after a space are cut before letters and digits
-    only. Tests compare with encoding whole texts. Memory is bounded: pieces that were not used for a while are forgotten.
+    only. Tests compare with encoding whole texts. Memory is bounded: pieces that were not used for a while are forgotten, and all of
+    them when a task ends.
     """
 
-    def __init__(self, vocabulary: str, dtype: str, end_id: int, bound: int = 250_000):
+    def __init__(self, vocabulary: str, dtype: str, end_id: int, bound: int = REMEMBERED_BYTES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.dtype, self.kind, self.bound, self.pieces, self.older = dtype, {"<u2": "H", "<u4": "I"}[dtype], bound, {}, {}
+        self.dtype, self.kind, self.bound = dtype, {"<u2": "H", "<u4": "I"}[dtype], bound
         self.end = np.array([end_id], dtype).tobytes()
+        names = self.tokenizer.get_vocab()
+        # a byte-level token has a character for each of its bytes
+        self.sizes = np.zeros(max(names.values()) + 1, np.int64)
+        self.sizes[list(names.values())] = [*map(len, names)]
+        self.forget()
+
+    def forget(self) -> None:
+        """Frees the remembered pieces."""
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian bytes, with the end id."""
@@ -70,10 +89,10 @@ class Encoder:
 
     def _encode(self, texts: pa.Array) -> list[bytes]:
         words = pc.split_pattern(texts, " ")
-        ends = words.offsets.to_numpy().astype(np.int64)
+        ends = words.offsets.to_numpy()
         ends = ends - ends[0]
         coded = words.flatten().dictionary_encode()
-        at, known = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        at, known = coded.indices.to_numpy(), coded.dictionary
         starts, rows = ends[:-1], len(texts)
         odd = pc.or_(pc.equal(pc.binary_length(known), 0), pc.match_substring_regex(known, "^[\\s\\x00-\\x20\\x7f-\\x{a0}\\pZ]")).to_numpy(zero_copy_only=False)[at]
         odd[starts] = False
@@ -88,14 +107,16 @@ class Encoder:
         # entries: words after a space without their mark, the first words of the texts, marks, the end id
         entries = [*map(ids.__getitem__, pieces), *map(ids.__getitem__, firsts), *map(ids.__getitem__, marks), self.end]
         base = len(pieces) + rows
-        pair = np.stack([cores.indices.to_numpy().astype(np.int64), base + tails.indices.to_numpy()], axis=1)[at]
+        pair = np.stack([cores.indices.to_numpy(), np.int32(base) + tails.indices.to_numpy()], axis=1)[at]
         if rows:
-            pair[starts] = np.stack([len(pieces) + np.arange(rows), np.full(rows, base + marks.index(""))], axis=1)
-        size = np.fromiter(map(len, entries), np.int64, len(entries)) // int(self.dtype[-1])
+            pair[starts, 0] = len(pieces) + np.arange(rows)
+            pair[starts, 1] = base + marks.index("")
+        size = np.fromiter(map(len, entries), np.int32, len(entries)) // np.int32(self.dtype[-1])
         order = np.insert(pair.ravel(), 2 * ends[1:], len(entries) - 1)
-        start, flat, count = np.cumsum(size) - size, np.frombuffer(b"".join(entries), self.dtype), size[order]
-        upto = np.cumsum(count)
-        tokens = flat[np.repeat(start[order] - (upto - count), count) + np.arange(int(count.sum()))]
+        # a slice has far fewer ids than 2 ** 31
+        start, flat, count = np.cumsum(size, dtype=np.int32) - size, np.frombuffer(b"".join(entries), self.dtype), size[order]
+        upto = np.cumsum(count, dtype=np.int32)
+        tokens = flat[np.repeat(start[order] - (upto - count), count) + np.arange(upto[-1] if len(upto) else 0, dtype=np.int32)]
         found = [part.tobytes() for part in np.split(tokens, upto[2 * ends[1:] + np.arange(rows)])[:rows]]
         for n, parts in slow.items():
             found[n] = b"".join(map(ids.__getitem__, parts)) + self.end
@@ -103,23 +124,46 @@ class Encoder:
 
     def _ids(self, pieces: set[str]) -> dict[str, bytes]:
         """A table that holds the ids of each piece: those remembered and those encoded now."""
-        if len(self.pieces) > self.bound:
-            self.pieces, self.older = {}, self.pieces
+        if self.held > self.bound // 2:
+            self.pieces, self.older, self.held = {}, self.pieces, 0
         now, older = self.pieces, self.older
         now.setdefault("", b"")
-        for piece in pieces.difference(now).intersection(older):
+        again = pieces.difference(now).intersection(older)
+        for piece in again:
             now[piece] = older[piece]
         new = pieces.difference(now)
         split = {p: self._parts(p) for p in new if "\n" in p}
-        todo = list(new.difference(split).union(*split.values()).difference(now))
+        todo = new.difference(split).union(*split.values()).difference(now)
+        # words after a space do not touch each other in one text either, which spares a call for each
+        words = [p for p in todo if p[0] == " " and len(p) > 1 and not _ANY_SPACE.search(p, 1)]
+        groups = [words[low:low + TOGETHER] for low in range(0, len(words), TOGETHER)]
+        for low in range(0, len(groups), 64):
+            some = groups[low:low + 64]
+            for group, code in zip(some, self.tokenizer.encode_batch_fast(["".join(g) for g in some], add_special_tokens=False)):
+                self._part(group, np.array(code.ids, self.dtype))
+        todo = list(todo.difference(now))
         for low in range(0, len(todo), 2048):
             some = todo[low:low + 2048]
             for piece, code in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 now[piece] = array(self.kind, code.ids).tobytes()
+                self.held += 2 * len(piece)
         for piece, some in split.items():
             now[piece] = b"".join(map(now.__getitem__, some))
+        self.held += 260 * (len(again) + len(new))
         return now
 
+    def _part(self, words: list[str], ids: np.ndarray) -> None:
+        """Remembers the ids of each of the words that were encoded as one text; not if a token crosses their bounds."""
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        upto = np.cumsum(self.sizes[ids])
+        at = np.searchsorted(upto, ends)
+        if len(upto) and upto[-1] == ends[-1] and (upto[at] == ends).all():
+            code, width, start = ids.tobytes(), int(self.dtype[-1]), 0
+            self.held += len(code)
+            for word, stop in zip(words, ((at + 1) * width).tolist()):
+                self.pieces[word] = code[start:stop]
+                start = stop
+
     @staticmethod
     def _parts(piece: str) -> list[str]:
         """A piece cut around single line breaks between words."""
@@ -136,13 +180,22 @@ _encoders: dict[tuple, Encoder] = {}
 
 
 def encoder(vocabulary: str, dtype: str, end_id: int) -> Encoder:
-    """One encoder for each worker process and setting, so that its memory serves all tasks of the process."""
+    """One encoder for each worker process, so that a vocabulary is read once."""
     key = (vocabulary, dtype, end_id)
     if key not in _encoders:
+        _encoders.clear()
         _encoders[key] = Encoder(*key)
     return _encoders[key]
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int, most: int = 1024) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most about `size` bytes of one text column and `most` rows."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()) // size
+    for low, high in pairwise([0, *(np.nonzero(np.diff(upto))[0] + 1).tolist(), batch.num_rows]):
+        for at in range(low, high, most):
+            yield batch.slice(at, min(most, high - at))
+
+
 def id_type(vocabulary: str) -> str:
     from tokenizers import Tokenizer
     return "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
@@ -171,18 +224,17 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = EN
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         context = TaskContext.get()
-        shard, encode = context.partitionId(), encoder(vocabulary, dtype, end_id).encode
+        shard, coder = context.partitionId(), encoder(vocabulary, dtype, end_id)
         files, base = file_system(folder)
         name = f"{base}/shard-{shard:06d}"
         attempt = f"{name}.attempt-{context.taskAttemptId()}"
         width, at, record, out, records = int(dtype[-1]), 0, 0, None, []
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                part = batch.slice(low, 1024)
+        try:
+            for part in (p for batch in batches for p in slices(batch, 1, SLICE_BYTES)):
                 if out is None:
                     out = files.open_output_stream(attempt + ".bin")
                 counts = []
-                for ids in encode(part.column(1)):
+                for ids in coder.encode(part.column(1)):
                     out.write(ids)
                     counts.append(len(ids) // width)
                 n = np.array(counts, np.int64)
@@ -191,6 +243,8 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: int = EN
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(len(n), shard, np.int32)), pa.array(record + np.arange(len(n))),
                                                   pa.array(first), pa.array(n)], names=["doc_id", "shard", "record", "first", "n_tokens"])
                 at, record = at + int(n.sum()), record + len(n)
+        finally:
+            coder.forget()
         if out is not None:
             out.close()
             with files.open_output_stream(attempt + ".rec") as recs:
