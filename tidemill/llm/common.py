@@ -17,7 +17,7 @@ MASK = (1 << 64) - 1
 def arrow_limits(spark: SparkSession) -> None:
     """Bounds the Arrow batches that reach Python: a batch of long texts must not fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def materialize(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
