@@ -1,15 +1,20 @@
-"""Damaged archives, hostile texts, secrets that stay out of work folders."""
+"""Damaged archives, hostile texts, secrets that stay out of work folders; draws of any size, hot rows in the mix, benchmarks in parts."""
 
 import glob
 import io
+import math
 import os
 import random
 import time
+import tracemalloc
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidemill.llm import secrets, warc
+from tidemill.llm import decontamination, mixing, secrets, warc
 from tidemill.session import shared_folder
 
 
@@ -52,3 +57,91 @@ def test_planted_values_are_found_and_leave_no_copy(spark):
             data = open(path, "rb").read()
             assert not any(v.encode() in data for v in strong)
     assert not glob.glob(f"{folder}/llm-secrets-*") and not glob.glob(f"{folder}/llm-values-*")
+
+
+def test_hypergeometric_draws():
+    """The shares of the values follow the exact distribution; very large draws keep their sums and their spread."""
+    grid = (np.arange(20_000) + 0.5) / 20_000
+    for good, bad, take in ((5, 3, 4), (50, 30, 40), (1, 100, 7), (0, 9, 3), (12, 0, 5)):
+        got = np.bincount([mixing.hypergeometric(good, bad, take, u) for u in grid], minlength=take + 1) / len(grid)
+        exact = [math.comb(good, k) * math.comb(bad, take - k) / math.comb(good + bad, take) for k in range(take + 1)]
+        assert abs(got - np.array(exact)).max() < 1e-4
+    quotas = np.array([6 * 10 ** 10, 4 * 10 ** 10, 10 ** 9, 3, 0])
+    shards, known = int(quotas.sum()) // 8192, {}
+    for shard in (0, 1, 2, shards // 3, shards // 3 + 1, shards - 1):
+        first, count = mixing.split_path(quotas, shards, shard, known=known)
+        again = mixing.split_path(quotas, shards, shard)
+        assert (first == again[0]).all() and (count == again[1]).all()
+        assert abs(int(count.sum()) - 8192) <= 1 and abs(count[0] / count.sum() - quotas[0] / quotas.sum()) < 0.05
+    assert (first + count == quotas).all()
+
+
+def test_a_third_of_all_rows_is_equal(spark, monkeypatch):
+    """Equal rows are numbered in parts, and the stretches of all rows still cover their source without gap or overlap."""
+    monkeypatch.setattr(mixing, "RUN", 8)
+    rows = [(n, "a", f"w{n} " * (n % 5)) for n in range(200)] + [(7, "a", "same words here")] * 100 + [(None, None, "x y")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(6)
+    sized = mixing.sized(docs.select(F.monotonically_increasing_id().alias("rid"), "*"))
+    placed = mixing.placed(sized, mixing.source_plan(sized)).collect()
+    assert len(placed) == len(rows)
+    for no in {r.no for r in placed}:
+        at = 0
+        for start, size in sorted((r.start, r["size"]) for r in placed if r.no == no):
+            assert start == at
+            at += size
+    assert sum(r.taken for r in mixing.mix_report(docs).collect()) > 0
+
+
+def test_the_mix_comes_shard_by_shard_in_drawn_order(spark, monkeypatch):
+    docs = spark.createDataFrame([(n, "ab"[n % 2], " ".join(f"w{n}_{k}" for k in range(40 + n % 300))) for n in range(300)], "doc_id long, source string, text string")
+    whole = mixing.mix
+    monkeypatch.setattr(mixing, "mix", lambda rows: whole(rows, shard_blocks=16))
+    rows = mixing.sized(mixing.with_row_id(docs, "x").select("rid", "row.doc_id", "row.source", "row.text"))
+    pieces = whole(mixing.materialize(rows, "sizes"), shard_blocks=16)[0].collect()
+    home = {}
+    for p in sorted(pieces, key=lambda p: p["first"]):
+        home.setdefault((p.doc_id, p["pass"]), (p.shard, p.place))
+    mixed = mixing.mixed_documents(docs).collect()
+    order = [r.doc_id for r in mixed]
+    wanted = [i for i, _ in sorted(home, key=lambda k: home[k])]
+    seen = [i for n, i in enumerate(order) if n == 0 or order[n - 1] != i]
+    assert len({s for s, _ in home.values()}) > 3 and [i for n, i in enumerate(wanted) if n == 0 or wanted[n - 1] != i] == seen
+
+
+def test_items_with_text_ids_in_several_passes(spark):
+    rng = random.Random(8)
+    items = [(f"item-{n}", " ".join(f"t{rng.randrange(4000)}" for _ in range(30 + n % 40))) for n in range(80)] + [(None, "a b c d e f g"), ("empty", ""), ("none", None)]
+    docs = []
+    for n, (_, text) in enumerate(items[:81]):
+        w = text.split()
+        docs.append((n, " ".join([*(f"z{k}" for k in range(20)), *w[:-1], "changed", "tail"])))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    one = sorted((tuple(r) for r in decontamination.contaminated(d, b).collect()), key=str)
+    many = sorted((tuple(r) for r in decontamination.contaminated(d, b, pass_bytes=2_000).collect()), key=str)
+    assert one == many and {(n, items[n][0]) for n in range(80)} <= {r[:2] for r in one}
+    assert decontamination.drop_contaminated(d, b, pass_bytes=2_000).count() == 81 - len({r[0] for r in one})
+
+
+def test_item_index_takes_little_memory():
+    rng = random.Random(1)
+    items = [(n, " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))) for n in range(1000)]
+    tracemalloc.start()
+    kept = decontamination.Searcher(items)
+    used = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert used < 32 * sum(len(t) + 64 for _, t in items) and kept.find(items[5][1])[0]["item"] == 5
+
+
+def test_recall_of_the_radius():
+    """Windows at or above the similarity are within the radius: recall of the index against exact similarity."""
+    rng, hits, all_ = random.Random(9), 0, 0
+    for _ in range(400):
+        w = [f"t{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(20, 80))]
+        changed = list(w)
+        for k in rng.sample(range(len(w)), max(1, len(w) // 45)):
+            changed[k] = "other"
+        a, b = (decontamination.shingle_hashes(decontamination.word_hashes(" ".join(x), decontamination.Words())[0], 5) for x in (w, changed))
+        if decontamination.similarity(Counter(a.tolist()), Counter(b.tolist())) >= 0.8:
+            all_ += 1
+            hits += (decontamination.simhash(a) ^ decontamination.simhash(b)).bit_count() <= decontamination.RADIUS
+    assert all_ > 100 and hits / all_ > 0.999

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -20,16 +20,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemill.llm.common import arrow_limits, shingle_hashes
+from tidemill.llm.common import arrow_limits, materialize, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: At similarity 0.8 a bit differs with probability 0.15; 24 of 64 lie five deviations above the mean of 10.
 RADIUS = 24
 BLOCKS = 8
-#: The benchmark is sent to every task; beyond this many bytes of text it is searched in several passes.
-PASS_BYTES = 32 << 20
+#: The benchmark is sent to every task; beyond this many bytes of text it is searched in several passes. A task takes about 30 times as much.
+PASS_BYTES = 4 << 20
 _NOT_A_LETTER = re.compile(r"[\W_]+")
 
 
@@ -73,35 +74,46 @@ def similarity(left: Counter, right: Counter) -> float:
     return both / (sum(left.values()) + sum(right.values()) - both)
 
 
-@dataclass
 class HammingIndex:
-    """Fingerprints under `blocks` parts of their bits; find() gives all within the radius and some beyond it.
+    """Fingerprints under `blocks` parts of their bits; find() gives all within the radius.
 
     Of `blocks` parts one differs in at most radius // blocks bits; each fingerprint is entered under all values of each part
-    within that distance.
+    within that distance. A part's entries are one array of 32-bit numbers, ordered by value, so an index of n fingerprints takes
+    4 * n * blocks * (values within the distance) bytes.
     """
 
-    radius: int = RADIUS
-    blocks: int = BLOCKS
-    entries: dict = field(default_factory=lambda: defaultdict(list))
-
-    def parts(self, value: int):
-        width = 64 // self.blocks
-        return ((n, value >> (n * width) & ((1 << width) - 1)) for n in range(self.blocks))
-
-    def add(self, value: int, item) -> None:
-        width = 64 // self.blocks
-        flips = [sum(1 << b for b in c) for r in range(self.radius // self.blocks + 1) for c in combinations(range(width), r)]
-        for n, part in self.parts(value):
-            for flip in flips:
-                self.entries[n, part ^ flip].append((value, item))
-
-    def find(self, value: int):
-        seen = {}
-        for key in self.parts(value):
-            for other, item in self.entries.get(key, ()):
-                seen[item] = other
-        return [item for item, other in seen.items() if (value ^ other).bit_count() <= self.radius]
+    def __init__(self, values, radius: int = RADIUS, blocks: int = BLOCKS):
+        self.values, self.radius, self.blocks, self.width = np.array(values, np.uint64), radius, blocks, 64 // blocks
+        flips = np.array([sum(1 << b for b in c) for r in range(radius // blocks + 1) for c in combinations(range(self.width), r)], np.int64)
+        self.starts, self.entries = [], []
+        for n in range(blocks):
+            keys = (self.part(self.values, n)[:, None] ^ flips[None, :]).ravel()
+            order = np.argsort(keys, kind="stable")
+            self.starts.append(np.searchsorted(keys[order], np.arange((1 << self.width) + 1)).astype(np.int64))
+            self.entries.append((order // len(flips)).astype(np.int32))
+
+    def part(self, values, n: int):
+        return (values >> np.uint64(n * self.width) & np.uint64((1 << self.width) - 1)).astype(np.int64)
+
+    def find(self, values: np.ndarray) -> list[tuple[int, int]]:
+        """(place among the values, place among the fingerprints) of all pairs within the radius."""
+        found, step = [], max(1, (1 << 21) // max(len(self.values), 1))
+        for low in range(0, len(values), step):
+            some = values[low:low + step]
+            seen = np.zeros((len(some), len(self.values)), bool)
+            for n in range(self.blocks):
+                key = self.part(some, n)
+                first, count = self.starts[n][key], self.starts[n][key + 1] - self.starts[n][key]
+                upto = np.cumsum(count)
+                at = np.repeat(first - (upto - count), count) + np.arange(int(count.sum()))
+                seen[np.repeat(np.arange(len(some)), count), self.entries[n][at]] = True
+            x, y = np.nonzero(seen)
+            near = np.bitwise_count(some[x] ^ self.values[y]) <= self.radius
+            found += zip((x[near] + low).tolist(), y[near].tolist())
+        return found
+
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in (*self.starts, *self.entries, self.values))
 
 
 class Searcher:
@@ -109,10 +121,9 @@ class Searcher:
 
     def __init__(self, items: list[tuple[int, str]], threshold: float = SIMILARITY, radius: int = RADIUS):
         self.words, self.threshold, self.radius = Words(), threshold, radius
-        self.sizes: dict[int, HammingIndex] = {}
         self.counts: dict[int, Counter] = {}
         self.items: list[int] = []
-        by_size = defaultdict(list)
+        by_size, prints, self.of_size = defaultdict(list), defaultdict(list), defaultdict(list)
         for item, text in items:
             hashes, _ = word_hashes(text, self.words)
             if not len(hashes):
@@ -121,8 +132,10 @@ class Searcher:
             n = len(self.items)
             self.items.append(item)
             self.counts[n] = Counter(shingles.tolist())
-            self.sizes.setdefault(len(hashes), HammingIndex(radius)).add(simhash(shingles), n)
+            prints[len(hashes)].append(simhash(shingles))
+            self.of_size[len(hashes)].append(n)
             by_size[len(hashes)].append(shingles)
+        self.sizes = {size: HammingIndex(values, radius) for size, values in prints.items()}
         # shingles of SHINGLE words, and the whole items that have fewer
         self.known = {size: np.unique(np.concatenate(parts)) for size, parts in by_size.items()}
         full = [k for size, k in self.known.items() if size >= SHINGLE]
@@ -174,9 +187,9 @@ class Searcher:
                 shingles = shingle_hashes_of(hashes, size)
                 for first in np.nonzero(self._within(shingles, self.known[size]))[0].tolist():
                     value = shingles[first:first + 1]
-                    for n in self.sizes[size].find(simhash(value)):
+                    for n in (self.of_size[size][k] for _, k in self.sizes[size].find(np.array([simhash(value)], np.uint64))):
                         offer(n, similarity(Counter(value.tolist()), self.counts[n]), first, first + size - 1)
-        return [{"item_id": self.items[n], "similarity": v, "start_word": a, "end_word": b} for n, (v, a, b) in sorted(best.items())]
+        return [{"item": self.items[n], "similarity": v, "start_word": a, "end_word": b} for n, (v, a, b) in sorted(best.items())]
 
     def _search(self, shingles, size, index, count, hit, offer) -> None:
         starts = self._windows(shingles, size, count, hit)
@@ -190,12 +203,12 @@ class Searcher:
                 low, high = int(part[0]), int(part[-1]) + width
                 sums = np.vstack([np.zeros((1, 64), np.int32), np.cumsum(bits_of(shingles[low:high]), axis=0, dtype=np.int32)])
                 prints = pack(sums[part - low + width] - sums[part - low])
-                for first, value in zip(part.tolist(), prints.tolist()):
-                    found = index.find(value)
-                    if found:
-                        window = Counter(shingles[first:first + width].tolist())
-                        for n in found:
-                            offer(n, similarity(window, self.counts[n]), first, first + width + SHINGLE - 2)
+                held, window = -1, None
+                for at, k in index.find(prints):
+                    first, n = int(part[at]), self.of_size[size][k]
+                    if at != held:
+                        held, window = at, Counter(shingles[first:first + width].tolist())
+                    offer(n, similarity(window, self.counts[n]), first, first + width + SHINGLE - 2)
 
 
 def shingle_hashes_of(hashes, size: int):
@@ -203,58 +216,58 @@ def shingle_hashes_of(hashes, size: int):
     return shingle_hashes(hashes, size) if len(hashes) >= size else np.zeros(0, np.uint64)
 
 
-def item_passes(benchmark: DataFrame, pass_bytes: int = PASS_BYTES) -> list[list[tuple[int, str]]]:
-    """The benchmark's rows on the driver in parts of bounded size; equal rows once, null texts not at all.
+def item_passes(benchmark: DataFrame, pass_bytes: int = PASS_BYTES) -> Iterator[pa.Table]:
+    """The benchmark's rows (item_id, text) in parts of about `pass_bytes`; equal rows once, null texts not at all.
 
-    A benchmark is a fixed set of test items; it does not grow with the corpus. One that is larger than a part is searched in
-    several passes, so what a task holds stays bounded.
+    The driver holds one part at a time, tasks hold the parts that they search. A benchmark larger than a part is searched in several passes.
     """
-    rows = benchmark.filter(F.col("text").isNotNull()).select("item_id", F.col("text").cast("string").alias("text")).distinct()
-    parts, size = [[]], 0
-    for row in rows.orderBy("item_id", "text").toLocalIterator():
-        if size + len(row.text) > pass_bytes and parts[-1]:
-            parts.append([])
-            size = 0
-        parts[-1].append((row.item_id, row.text))
-        size += len(row.text)
-    return parts
-
-
-MATCHES = "array<struct<item_id: long, similarity: double, start_word: long, end_word: long>>"
+    rows = materialize(benchmark.filter(F.col("text").isNotNull()).select("item_id", F.col("text").cast("string").alias("text")).distinct(), "items")
+    size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    parts = max(1, -(-size // pass_bytes))
+    for part in range(parts):
+        yield rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").toArrow()
 
 
-def matches_column(items, text, threshold: float = SIMILARITY, radius: int = RADIUS):
-    """The items found in each text."""
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]))
+def matches_column(items: pa.Table, text, threshold: float = SIMILARITY, radius: int = RADIUS):
+    """The items found in each text: place among the items, similarity, tokens [start_word, end_word)."""
+    kind = pa.list_(pa.struct([("item", pa.int32()), ("similarity", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())]))
+    texts = list(enumerate(items.column("text").to_pylist()))
 
-    @F.arrow_udf(MATCHES)
+    @F.arrow_udf("array<struct<item: int, similarity: double, start_word: long, end_word: long>>")
     def found_items(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        search = Searcher(items, threshold, radius)
+        search = Searcher(texts, threshold, radius)
         for batch in batches:
             yield pa.array([search.find(t.as_py()) for t in batch], kind)
     return found_items(text.cast("string"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """doc_id, item_id, similarity, start_word, end_word: one row for each row of docs and item found in it.
 
     A match is a window of as many words as the item has (or the whole text, if it has fewer) whose 5-word shingles have a
     weighted Jaccard similarity of at least `threshold` with the item's; the best window counts, the first of equals.
     Words are compared in lower case and without punctuation; start_word and end_word count white-space separated words. Items or texts without
-    a word match nothing, as do null texts. Repeated documents are repeated in the result; null ids stay null.
+    a word match nothing, as do null texts. Repeated documents are repeated in the result; null ids stay null, ids have any type.
+    """
+    spark = docs.sparkSession
+    arrow_limits(spark)
+    parts = []
+    for items in item_passes(benchmark, pass_bytes):
+        found = docs.select("doc_id", F.explode(matches_column(items, F.col("text"), threshold)).alias("m")).select("doc_id", "m.*")
+        named = spark.createDataFrame(pa.table({"item": pa.array(range(items.num_rows), pa.int32()), "item_id": items.column("item_id")}),
+                                      T.StructType([T.StructField("item", T.IntegerType()), benchmark.schema["item_id"]]))
+        # a part has at most about pass_bytes / 64 items
+        parts.append(found.join(F.broadcast(named), "item").select("doc_id", "item_id", "similarity", "start_word", "end_word"))
+    return reduce(DataFrame.union, parts)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """The rows of docs in which no item is found, all columns, also where names clash with ours.
+
+    Rows with a null or empty text stay, and so do repeated ones; null ids do not matter; an empty benchmark drops nothing.
     """
-    arrow_limits(docs.sparkSession)
-    parts = [docs.select("doc_id", F.explode(matches_column(items, F.col("text"), threshold)).alias("m")) for items in item_passes(benchmark)]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.union(part)
-    return whole.select("doc_id", "m.*")
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """The rows of docs in which no item is found, all columns."""
     arrow_limits(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("row"))
-    for items in item_passes(benchmark):
+    for items in item_passes(benchmark, pass_bytes):
         rows = rows.filter(F.size(matches_column(items, F.col("row.text"), threshold)) == 0)
     return rows.select("row.*")

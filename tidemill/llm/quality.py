@@ -16,12 +16,14 @@ from tidemill.llm.common import SPACES, materialize, text_of
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
-#: A group with fewer documents uses its language's sketch, a language with fewer that of all documents.
-LEAST_ROWS = 100
+#: A group's fence is a mean of its own, weighed by its documents, and its language's, weighed by this many; a language's likewise with that of all.
+BLEND = 100
 #: Fences lie this many times the distance from the median to the 10th or 90th percentile beyond those, plus the slack.
 REACH = 3
 #: measure -> (slack, whether low values fail too)
-MEASURES = {"word_length": (100, True), "symbols": (60, False), "dup_lines": (400, False), "repeats": (100, False)}
+MEASURES = {"word_length": (100, True), "symbols": (60, False), "dup_lines": (50, False), "repeats": (100, False)}
+#: Repeated lines that any text may have besides: short texts have few lines, so that their shares are coarse.
+FREE_LINES = 3
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -96,14 +98,16 @@ def fences(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """lang_key, source_key, and low and high of each measure, from the narrowest sketch with LEAST_ROWS documents."""
+    """lang_key, source_key, and low and high of each measure: a group's own fences, the more so the more documents it has."""
     own = fences(sketch, "lang_key", "source_key")
     lang = fences(sketch, "lang_key").select("lang_key", "measure", *[F.col(c).alias(f"lang_{c}") for c in ("docs", "low", "high")])
     every = fences(sketch).select("measure", *[F.col(c).alias(f"all_{c}") for c in ("low", "high")])
     joined = own.join(lang, ["lang_key", "measure"]).join(every, "measure")
-    pick = lambda c: (F.when(F.col("docs") >= LEAST_ROWS, F.col(c)).when(F.col("lang_docs") >= LEAST_ROWS, F.col(f"lang_{c}"))
-                      .otherwise(F.col(f"all_{c}")))
-    chosen = joined.select("lang_key", "source_key", "measure", pick("low").alias("low"), pick("high").alias("high"))
+
+    def mean(docs: str, inner: str, outer: Column) -> Column:
+        return (F.col(docs) * F.col(inner) + F.lit(BLEND) * outer) / (F.col(docs) + F.lit(BLEND))
+    chosen = joined.select("lang_key", "source_key", "measure", *[
+        mean("docs", c, mean("lang_docs", f"lang_{c}", F.col(f"all_{c}"))).alias(c) for c in ("low", "high")])
     return chosen.groupBy("lang_key", "source_key").agg(*[F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}")
                                                           for m in MEASURES for c in ("low", "high")])
 
@@ -115,10 +119,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     their own rows. In a group where no document passes the base rules there are no thresholds and nothing is kept.
     """
     rows = materialize(measured(docs), "quality")
-    limits = thresholds(sketches(rows))
+    # one row per group, stored: its size is known, so rows meet a small one without a shuffle, and a large one by a join that AQE may split
+    limits = materialize(thresholds(sketches(rows)), "quality-limits")
     inside = F.lit(True)
     for m in MEASURES:
-        inside = inside & (_measure(m) <= F.col(f"{m}_high")) & (_measure(m) >= F.col(f"{m}_low"))
+        free = 1000 * FREE_LINES / F.greatest("n_lines", F.lit(1)) if m == "dup_lines" else F.lit(0)
+        inside = inside & (_measure(m) <= F.col(f"{m}_high") + free) & (_measure(m) >= F.col(f"{m}_low"))
     return rows.join(limits, ["lang_key", "source_key"], "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"),
         (~base_failed() & F.coalesce(inside, F.lit(False))).alias("kept"))
@@ -154,12 +160,12 @@ q AS (SELECT level, lang_key, source_key, measure, max(docs) AS docs, min(bucket
 f AS (SELECT *, p90 + {REACH} * (p90 - p50) + [{", ".join(str(s) for s, _ in MEASURES.values())}][measure] AS high,
              CASE WHEN measure = 1 THEN p10 - {REACH} * (p50 - p10) - {MEASURES["word_length"][0]} ELSE -1 END AS low FROM q),
 t AS (SELECT a.lang_key, a.source_key, a.measure,
-             CASE WHEN a.docs >= {LEAST_ROWS} THEN a.high WHEN b.docs >= {LEAST_ROWS} THEN b.high ELSE c.high END AS high,
-             CASE WHEN a.docs >= {LEAST_ROWS} THEN a.low WHEN b.docs >= {LEAST_ROWS} THEN b.low ELSE c.low END AS low
+             (a.docs * a.high + {BLEND} * ((b.docs * b.high + {BLEND} * c.high) / (b.docs + {BLEND}))) / (a.docs + {BLEND}) AS high,
+             (a.docs * a.low + {BLEND} * ((b.docs * b.low + {BLEND} * c.low) / (b.docs + {BLEND}))) / (a.docs + {BLEND}) AS low
       FROM f a JOIN f b ON b.level = 2 AND a.lang_key = b.lang_key AND a.measure = b.measure
       JOIN f c ON c.level = 3 AND a.measure = c.measure WHERE a.level = 1),
 ok AS (SELECT rid, count(*) = 4 AS inside FROM v JOIN t ON v.lang_key = t.lang_key AND v.source_key = t.source_key
-       AND vals[measure] BETWEEN low AND high GROUP BY rid)
+       AND vals[measure] >= low AND vals[measure] <= high + CASE WHEN measure = 3 THEN {1000 * FREE_LINES} / greatest(n_lines, 1) ELSE 0 END GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(inside, false) AS kept
 FROM v LEFT JOIN ok USING (rid)
 """

@@ -12,6 +12,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import arrow_limits, bucket_of_id, text_of
 
 #: Rows of each class that the classifier and the lexicons are fitted on, at most; taken by a hash of the id.
-SAMPLE_PER_CLASS = 3_000
+SAMPLE_PER_CLASS = 8_000
 HELD_OUT_OF = 5
 WORD_VOTERS, START_VOTERS = 6, 6
 WORDS_PER_VOTER, STARTS_PER_VOTER = 12, 24
@@ -214,7 +215,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
     sample = sample.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("ids").alias("ids")).toArrow()
     sample = sample.sort_by("doc_id")
     y = sample.column("label").to_numpy().astype(np.int64)
-    rows = [np.array(r.as_py(), np.int64) for r in sample.column("ids")]
+    # views of one buffer; lists of numbers would take several times as much of the driver
+    ids = sample.column("ids").combine_chunks() if sample.num_rows else pa.array([], pa.list_(pa.int64()))
+    flat, ends = ids.flatten().to_numpy(), ids.offsets.to_numpy()
+    rows = [flat[a - ends[0]:b - ends[0]] for a, b in pairwise(ends.tolist())]
     voters = _lexicons(rows, y)
     if not voters:
         return Classifier({}, float(np.log(0.01)))
@@ -264,6 +268,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs with a score below 0.5, all columns."""
+    """The rows of docs with a score below 0.5, all columns, also where names clash with ours.
+
+    Null and empty texts have no features and stay; repeated rows stay or go together; rows with a null id are scored, not learned from. Without
+    a toxic label nothing goes; an empty table gives no rows.
+    """
     score = score_column(fit(docs, labels), text_of("row.text"))
     return docs.select(F.struct("*").alias("row")).filter(score < 0.5).select("row.*")
