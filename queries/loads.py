@@ -180,8 +180,8 @@ def watermark_reset(spark, sf_dir):
     target, store = _two_loads(spark, sf_dir)
     store.reset("ods.events", target)
     incremental.incremental_load(_events(spark, sf_dir), "ods.events", target, "ts", store, load_ts=datetime(2025, 1, 1))
-    return spark.read.parquet(target).groupBy("load_seq").agg(F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("min_id")).crossJoin(
-        store.current().select(F.col("load_seq").alias("last_seq"), F.col("row_count").alias("last_count")))
+    kept = spark.read.parquet(target).groupBy("load_seq").agg(F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("min_id"))
+    return store.log().select("load_seq", F.col("row_count").alias("logged")).join(kept.withColumn("load_seq", F.col("load_seq").cast("long")), "load_seq", "left")
 
 
 def copy_keys(spark, sf_dir):
@@ -380,8 +380,8 @@ QUERIES = {
                count(*) FILTER (WHERE load_seq = 2) AS row_count, CAST(2 AS BIGINT) AS load_seq FROM tagged"""),
     "watermark_reset": (watermark_reset, _LOADS + """
         , parts AS (SELECT load_seq, event_id FROM tagged UNION ALL SELECT 4, event_id FROM events)
-        SELECT CAST(load_seq AS INTEGER) AS load_seq, count(*) AS row_count, min(event_id) AS min_id, CAST(4 AS BIGINT) AS last_seq,
-               (SELECT count(*) FROM events) AS last_count FROM parts GROUP BY 1"""),
+        SELECT CAST(load_seq AS BIGINT) AS load_seq, count(*) AS logged, count(*) AS row_count, min(event_id) AS min_id FROM parts GROUP BY 1
+        UNION ALL SELECT CAST(3 AS BIGINT), 0, NULL, NULL"""),
     "copy_keys": (copy_keys, " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{k}' AS key, count(*) AS row_count, CAST(max({k}) AS BIGINT) AS max_id FROM {t}"
         for t, k in (("region", "r_regionkey"), ("customer", "c_custkey"), ("lineitem", "l_orderkey"), ("events", "event_id"), ("documents", "doc_id")))),
