@@ -12,7 +12,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tidemill.llm import decontamination, mixing, secrets, warc
 from tidemill.session import shared_folder
@@ -76,38 +75,6 @@ def test_hypergeometric_draws():
     assert (first + count == quotas).all()
 
 
-def test_a_third_of_all_rows_is_equal(spark, monkeypatch):
-    """Equal rows are numbered in parts, and the stretches of all rows still cover their source without gap or overlap."""
-    monkeypatch.setattr(mixing, "RUN", 8)
-    rows = [(n, "a", f"w{n} " * (n % 5)) for n in range(200)] + [(7, "a", "same words here")] * 100 + [(None, None, "x y")] * 40
-    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(6)
-    sized = mixing.sized(docs.select(F.monotonically_increasing_id().alias("rid"), "*"))
-    placed = mixing.placed(sized, mixing.source_plan(sized)).collect()
-    assert len(placed) == len(rows)
-    for no in {r.no for r in placed}:
-        at = 0
-        for start, size in sorted((r.start, r["size"]) for r in placed if r.no == no):
-            assert start == at
-            at += size
-    assert sum(r.taken for r in mixing.mix_report(docs).collect()) > 0
-
-
-def test_the_mix_comes_shard_by_shard_in_drawn_order(spark, monkeypatch):
-    docs = spark.createDataFrame([(n, "ab"[n % 2], " ".join(f"w{n}_{k}" for k in range(40 + n % 300))) for n in range(300)], "doc_id long, source string, text string")
-    whole = mixing.mix
-    monkeypatch.setattr(mixing, "mix", lambda rows: whole(rows, shard_blocks=16))
-    rows = mixing.sized(mixing.with_row_id(docs, "x").select("rid", "row.doc_id", "row.source", "row.text"))
-    pieces = whole(mixing.materialize(rows, "sizes"), shard_blocks=16)[0].collect()
-    home = {}
-    for p in sorted(pieces, key=lambda p: p["first"]):
-        home.setdefault((p.doc_id, p["pass"]), (p.shard, p.place))
-    mixed = mixing.mixed_documents(docs).collect()
-    order = [r.doc_id for r in mixed]
-    wanted = [i for i, _ in sorted(home, key=lambda k: home[k])]
-    seen = [i for n, i in enumerate(order) if n == 0 or order[n - 1] != i]
-    assert len({s for s, _ in home.values()}) > 3 and [i for n, i in enumerate(wanted) if n == 0 or wanted[n - 1] != i] == seen
-
-
 def test_items_with_text_ids_in_several_passes(spark):
     rng = random.Random(8)
     items = [(f"item-{n}", " ".join(f"t{rng.randrange(4000)}" for _ in range(30 + n % 40))) for n in range(80)] + [(None, "a b c d e f g"), ("empty", ""), ("none", None)]

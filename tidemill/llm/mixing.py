@@ -5,7 +5,7 @@ source contributes is a number of blocks: whole passes over its stream and a par
 out: its root holds each source's exact quota, each node splits its quotas between its two halves of the output shards
 by one multivariate-hypergeometric draw. The draws depend on seed and node only, so each shard walks from
 the root to its leaf by itself and knows which part of a source's permuted blocks is its own; parts of different shards are
-disjoint. A shard then orders its pieces by a seeded hash; `mixed_documents` writes them in that order.
+disjoint. `mix` gives each piece its shard and its place in the shard, by a seeded hash.
 """
 
 from __future__ import annotations
@@ -154,7 +154,7 @@ def placed(rows: DataFrame, sources: list[dict]) -> DataFrame:
     """rid, doc_id, source, size, no, start: start is the number of words of the source before the document.
 
     A source is cut into runs by the leading bits of the hash, so that none is put in order by one task; the runs' totals
-    give each run its start. Equal rows share a hash: a run's worth of them is numbered in parts of its own.
+    give each run its start.
     """
     known = rows.sparkSession.createDataFrame([(s["source"], s["no"], s["runs"]) for s in sources], "name string, no int, runs long")
     rows = (rows.join(F.broadcast(known), rows["source"].eqNullSafe(known["name"]))
@@ -162,26 +162,9 @@ def placed(rows: DataFrame, sources: list[dict]) -> DataFrame:
     runs = rows.groupBy("no", "run").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("no").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("no", "run", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    # rows with one place are equal; more of them than a run holds stand in the run's order as one row and are numbered apart
-    same = ["no", "run", "place", "size"]
-    many = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > RUN)
-    marked = rows.join(many, same, "left")
-    single = marked.filter("copies IS NULL").select("rid", "doc_id", "source", *same, F.col("size").alias("words"))
-    stands = many.select(F.lit(None).cast(rows.schema["rid"].dataType).alias("rid"), F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id"),
-                         F.lit(None).cast("string").alias("source"), *same, (F.col("size") * F.col("copies")).alias("words"), F.lit(True).alias("stands"))
-    within = Window.partitionBy("no", "run").orderBy("place", "size", "doc_id", "rid").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = single.withColumn("stands", F.lit(False)).unionByName(stands).withColumn("inner", F.coalesce(F.sum("words").over(within), F.lit(0)))
-    ordered = ordered.join(runs, ["no", "run"]).withColumn("start", F.col("base") + F.col("inner"))
-    parts = F.ceil(F.col("copies") / RUN).cast("int")
-    dealt = marked.filter("copies IS NOT NULL").withColumn("part", F.pmod(F.xxhash64("rid"), parts).cast("int"))
-    upto = Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy(*same, "part").agg(F.count(F.lit(1)).alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-    number = F.row_number().over(Window.partitionBy(*same, "part").orderBy("doc_id", "rid")) - 1
-    copies = (dealt.withColumn("number", number).join(counts.select(*same, "part", "ahead"), [*same, "part"])
-              .join(ordered.filter("stands").select(*same, F.col("start").alias("from")), same)
-              .withColumn("start", F.col("from") + (F.col("ahead") + F.col("number")) * F.col("size")))
-    columns = ["rid", "doc_id", "source", "size", "no", "start"]
-    return ordered.filter("NOT stands").select(columns).unionByName(copies.select(columns))
+    within = Window.partitionBy("no", "run").orderBy("place", "doc_id", "rid").rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0))).join(runs, ["no", "run"])
+            .select("rid", "doc_id", "source", "size", "no", (F.col("base") + F.col("inner")).alias("start")))
 
 
 def quota(words: int, target: float, blocks: int) -> int:
@@ -275,19 +258,16 @@ def _stretches(text: Column, pieces: Column) -> Column:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as rows of docs, all columns, shard by shard in the drawn order: the taken parts of a document's text, one row for each pass and stretch.
+    """The mix as rows of docs, all columns: the taken parts of a document's text, one row for each pass and stretch.
 
-    A document that a pass takes whole is a row with its whole text; of one taken in part each stretch is a row, cut between words. It
-    stands in the shard, and at the place, of the first of its blocks in the pass; the result's partitions are ranges of shards, sorted by place.
+    A document that a pass takes whole is a row with its whole text; of one taken in part each stretch is a row, cut between words.
     n_chars, where docs has it, becomes the length of the row's text. Null texts and texts without words are in no mix; a null source is a
-    source; ids may be null or repeated; repeated rows are documents of their own; an empty table gives no rows.
+    source; ids may be null or repeated; repeated rows are documents of their own; an empty table gives no rows. The shards' order is not kept.
     """
-    spark = docs.sparkSession
     kept = with_row_id(docs, "mix-rows")
     rows = materialize(sized(kept.select("rid", "row.doc_id", "row.source", "row.text")), "mix-sizes")
     pieces, _, _ = mix(rows)
-    taken = pieces.groupBy("rid", "pass").agg(F.collect_list(F.struct("first", "last")).alias("pieces"), F.min(F.struct("first", "shard", "place")).alias("home"))
-    cut = kept.join(taken, "rid").select("row", "home.shard", "home.place", F.posexplode(_stretches(F.col("row.text").cast("string"), F.col("pieces"))).alias("part", "cut"))
-    cut = cut.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "place").sortWithinPartitions("shard", "place", "part")
+    taken = pieces.groupBy("rid", "pass").agg(F.collect_list(F.struct("first", "last")).alias("pieces"))
+    cut = kept.join(taken, "rid").select("row", F.explode(_stretches(F.col("row.text").cast("string"), F.col("pieces"))).alias("cut"))
     fields = {"text": F.col("cut"), "n_chars": F.length("cut").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
     return cut.select(*[(fields[c] if c in fields else F.col("row")[c]).alias(c) for c in docs.columns])
