@@ -7,7 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from queries import expressions
-from tidemill.plans import channel_sales as cs
+from tidemill.plans import builder, channel_sales as cs
+from tidemill.plans.mapping import load_mapping
 
 
 def plan_of(df):
@@ -59,3 +60,13 @@ def test_category_is_looked_up_before_items_meet_orders(spark):
     # the join by order holds the category already, so it lies deeper than that join
     depth = {k: min(len(x) - len(x.lstrip(" :+-")) for x in text.splitlines() if "Join" in x and k in x) for k in ("__k_category_id", "[order_id")}
     assert depth["__k_category_id"] > depth["[order_id"]
+
+
+def test_mapping_looks_up_before_it_multiplies_and_sends_copies_to_their_group(spark):
+    from queries.mappings import sources
+    mapping = load_mapping("channel_sales")
+    assert builder._looked_up(mapping) == {"prd": "itm", "cat": "itm", "cst": "ord", "prm": "ord", "sto": "ord"}
+    text = plan_of(builder.build(mapping, sources(spark, "/root/testdata/sf0.001"), ordered=False))
+    # no shuffle by what is counted, and none after the one by group
+    to_group = [x for x in text.splitlines() if "Exchange hashpartitioning(grp_0" in x]
+    assert len(to_group) == 1 and "base_" not in to_group[0].split("ENSURE")[0].split("REPARTITION")[0]

@@ -5,7 +5,9 @@ its rows (copies) and its sums before it is joined.  A sum over the joined rows
 other details, exactly as if every detail row had been joined.
 
 Distinct counts: COUNT(DISTINCT x) and COUNT(DISTINCT CASE WHEN c THEN x END) of one x share a grouping set; a first aggregate brings each
-x of a group down to one row with its flags, a second one counts.  Rows are expanded once per different x, not per measure.
+x of a group down to one row with its flags, a second one counts.  Rows are expanded once per different x, not per measure; only the
+copy for the first x carries the measures, and copies are sent to a part of their group, so that the first aggregate needs no shuffle of its
+own and the second one sends a few rows per group.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from .mapping import Mapping
 _CALL = re.compile(r"\b(SUM|COUNT|MIN|MAX)\s*\(", re.IGNORECASE)
 _DISTINCT = re.compile(r"^\s*DISTINCT\s+(?P<arg>.*)$", re.IGNORECASE | re.DOTALL)
 _CHOSEN = re.compile(r"^CASE\s+WHEN\s+(?P<test>.*?)\s+THEN\s+(?P<value>[\w.]+)\s+END$", re.IGNORECASE | re.DOTALL)
+#: Tasks that may share the rows of one group; the second aggregate sends at most this many rows per group.  Groups that divide the
+#: partitions of the target (days) are small and stay whole.
+_PARTS = 4
 _LITERAL = re.compile(r"'(?:[^'\\]|\\.|'')*'")
 
 
@@ -109,6 +114,7 @@ class Plan:
     texts: list[str]
     tests: list[str]
     reductions: dict[str, Reduction]
+    parts: int = _PARTS
 
     def rows(self, df: DataFrame, sql: Callable[[str], Column]) -> DataFrame:
         """The aggregated rows: grp_N and agg_N."""
@@ -152,10 +158,21 @@ class Plan:
         names = [f"base_{n}" for n in range(len(bases))]
         if len(bases) == 1:
             each = flat.groupBy(*by, *names).agg(F.lit(0).alias("set"), *flags, *values)
-        else:
+        elif not by:
             # the set of a row: the one base that is not grouped away
             which = F.coalesce(*[F.when(F.grouping(name) == 0, F.lit(n)) for n, name in enumerate(names)]).alias("set")
-            each = flat.groupingSets([[*by, name] for name in names], *by, *names).agg(which, *flags, *values)
+            each = flat.groupingSets([[name] for name in names], *names).agg(which, *flags, *values)
+        else:
+            # a copy of a row for each base, with the flags of that base; the first one has the values
+            of_base = {name: n for n, name in enumerate(names)} | {f"flag_{n}": bases.index(base) for n, base, test in counted if test}
+            rest = [c for c in flat.columns if c not in by]
+            copies_of_row = [F.struct(F.lit(n).alias("set"), *[F.when(F.lit(of_base.get(c, 0) == n), F.col(c)).alias(c) for c in rest]).alias(f"copy_{n}")
+                             for n in range(len(bases))]
+            expanded = flat.select(*by, *copies_of_row).unpivot(by, [f"copy_{n}" for n in range(len(bases))], "name", "copy").select(*by, "copy.*")
+            if self.parts > 1:
+                expanded = expanded.withColumn("part", F.pmod(F.xxhash64("set", *names), F.lit(self.parts)))
+            to = [*by, "part"] if self.parts > 1 else by
+            each = expanded.repartition(*to).groupBy(*to, "set", *names).agg(*flags, *values)
         counts = []
         for n, base, test in counted:
             at = bases.index(base)
@@ -164,7 +181,7 @@ class Plan:
         return each.groupBy(*by).agg(*counts, *[final(n, c, F.when(F.col("set") == 0, F.col(f"val_{n}"))) for n, c in plain])
 
 
-def _conjuncts(condition: str) -> list[str]:
+def conjuncts(condition: str) -> list[str]:
     """Parts of a plain chain of ANDs; a condition with anything else in it stays whole."""
     bare = _LITERAL.sub("''", condition)
     if re.search(r"\b(BETWEEN|OR|CASE|NOT)\b|\(", bare, re.IGNORECASE) or "AND" in "".join(_LITERAL.findall(condition)).upper():
@@ -192,7 +209,7 @@ def plan(mapping: Mapping, expressions: list[str]) -> Plan | None:
             if role != "DETAIL" or join.how == "CROSS":
                 continue
             own, other = [], []
-            for part in _conjuncts(join.condition):
+            for part in conjuncts(join.condition):
                 (own if _aliases_in(part, aliases) == {join.alias} else other).append(part)
             sums = [c.argument for c in found.calls if c.function == "SUM" and not c.distinct and _aliases_in(c.argument, aliases) == {join.alias}]
             read = [*other, wheres, *found.groups, *(j.condition or "" for j in mapping.joins if j is not join),
@@ -202,4 +219,5 @@ def plan(mapping: Mapping, expressions: list[str]) -> Plan | None:
                 reductions[join.alias] = Reduction(join.alias, tuple(own), " AND ".join(other), tuple(keys), tuple(dict.fromkeys(sums)))
     if not reductions and sum(c.distinct for c in found.calls) < 2:
         return None
-    return Plan(found, texts, tests, reductions)
+    daily = mapping.partition_key in [g.split(".")[-1] for g in mapping.group_by]
+    return Plan(found, texts, tests, reductions, 1 if daily else _PARTS)

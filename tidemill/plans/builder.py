@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import stamp
 from ..operators import conform, fold_conditions
 from ..operators.unions import union_branches
-from .aggregation import Reduction, plan
+from .aggregation import Reduction, conjuncts, plan
 from .mapping import Field, Mapping
 
 JOIN_TYPES = {"INNER": "inner", "LEFT": "left", "RIGHT": "right", "FULL": "full", "CROSS": "cross"}
@@ -69,6 +69,34 @@ def increment(mapping: Mapping, sources: Sources, batch_date: date | None, *, fu
     return df.alias(primary.alias)
 
 
+_EQUAL = re.compile(r"^(\w+)\.\w+\s*=\s*(\w+)\.\w+$")
+
+
+def _looked_up(mapping: Mapping) -> dict[str, str]:
+    """Lookups that need not wait for the joined rows: alias -> the PRIMARY or DETAIL source on whose own rows it can be looked up.
+
+    A LEFT lookup by columns of one source commutes with the joins between; one by columns of a LEFT joined detail may be joined to the
+    detail first, as long as an equality fails where the detail is missing.  Names of the PRIMARY source that groups read are looked up
+    last, so that they do not travel with the rows.
+    """
+    if not all(j.how in ("LEFT", "INNER", "CROSS") for j in mapping.joins):
+        return {}
+    aliases, roles = [s.alias for s in mapping.sources], {s.alias: s.role for s in mapping.sources}
+    base = {a: a for a, role in roles.items() if role == "PRIMARY"} | {
+        j.alias: j.alias for j in mapping.joins if roles[j.alias] == "DETAIL" and j.how != "CROSS"}
+    found = {}
+    for join in mapping.joins:
+        if roles[join.alias] != "LOOKUP" or join.how != "LEFT":
+            continue
+        read = {a for a in aliases if a != join.alias and _reads_sources(join.condition, [a])}
+        equal = [m for m in map(_EQUAL.match, conjuncts(join.condition)) if m and join.alias in m.groups()]
+        if len(read) == 1 and equal and all(set(m.groups()) == read | {join.alias} for m in equal) and (on := base.get(*read)):
+            if roles[on] == "PRIMARY" and any(_reads_sources(g, [join.alias]) for g in mapping.group_by):
+                continue
+            found[join.alias] = base[join.alias] = on
+    return found
+
+
 def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None = None, *, full: bool = True,
                    hash_hints: bool = False, reductions: MappingType[str, Reduction] | None = None) -> DataFrame:
     """Sources under their aliases, joined by sequence.
@@ -77,11 +105,24 @@ def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None =
     reaches that scan.  A LOOKUP source gets no hint: Catalyst and AQE broadcast what is
     small enough.  USE_HASH is followed for detail sources only on request, because a
     hash table per partition cannot spill.  A detail with a reduction is joined as one row per key.
+
+    What depends on the PRIMARY source or on one detail alone is looked up on its rows, before the joins multiply and widen them.
     """
     by_alias = {s.alias: s for s in mapping.sources}
     reductions = reductions or {}
+    early = _looked_up(mapping)
+
+    def with_lookups(rows: DataFrame, alias: str) -> DataFrame:
+        for join in mapping.joins:
+            if early.get(join.alias) == alias:
+                rows = rows.join(_source(sources, by_alias[join.alias].name).alias(join.alias), sql_expression(join.condition, batch_date), "left")
+        return rows
+
     df = increment(mapping, sources, None if full else batch_date, full=full)
+    df = with_lookups(df, next(s.alias for s in mapping.sources if s.role == "PRIMARY"))
     for join in mapping.joins:
+        if join.alias in early:
+            continue
         source = by_alias[join.alias]
         right = _source(sources, source.name)
         if join.how == "CROSS":
@@ -93,9 +134,10 @@ def joined_sources(mapping: Mapping, sources: Sources, batch_date: date | None =
         if join.alias in reductions:
             condition = reductions[join.alias].condition
             right = reductions[join.alias].apply(right, lambda text: sql_expression(text, batch_date))
+        right = with_lookups(right.alias(join.alias), join.alias)
         if hash_hints and join.hint == "USE_HASH" and source.role != "LOOKUP":
             right = right.hint("shuffle_hash")
-        df = df.join(right.alias(join.alias), sql_expression(condition, batch_date), JOIN_TYPES[join.how])
+        df = df.join(right, sql_expression(condition, batch_date), JOIN_TYPES[join.how])
     return df
 
 
