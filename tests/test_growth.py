@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from queries import expressions
 from tidemill.plans import builder, channel_sales as cs
 from tidemill.plans.mapping import load_mapping
+from tidemill.sinks import tables
 
 
 def plan_of(df):
@@ -70,3 +71,13 @@ def test_mapping_looks_up_before_it_multiplies_and_sends_copies_to_their_group(s
     # no shuffle by what is counted, and none after the one by group
     to_group = [x for x in text.splitlines() if "Exchange hashpartitioning(grp_0" in x]
     assert len(to_group) == 1 and "base_" not in to_group[0].split("ENSURE")[0].split("REPARTITION")[0]
+
+
+def test_newest_wins_upsert_joins_the_table_once(spark):
+    schema = "k int, v string, at int"
+    held = spark.createDataFrame([(1, "old", 1), (2, "same", 5), (3, "newer", 9), (4, "none", None), (5, "alone", 1), (7, "known", 3)], schema)
+    new = spark.createDataFrame([(1, "new", 2), (2, "again", 5), (3, "late", 4), (4, "first", 0), (6, "added", None), (7, "unknown", None)], schema)
+    state = tables._newest_state(held, new, ["k"], "at")
+    assert rows(state) == [(1, "new", 2), (2, "again", 5), (3, "newer", 9), (4, "first", 0), (5, "alone", 1), (6, "added", None), (7, "known", 3)]
+    text = plan_of(state)
+    assert text.count("Join ") == 1 and text.count("Exchange ") == 2

@@ -204,11 +204,15 @@ def _in_folders(found: Iterable[Folder]) -> Column:
     return reduce(lambda a, b: a | b, map(inside, every), F.lit(False))
 
 
-def _not_older(rows: DataFrame, target: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
-    held = target.select(*[F.col(f"`{k}`").alias(f"__key_{n}") for n, k in enumerate(keys)], F.col(f"`{newest_by}`").alias("__held"))
-    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"__key_{n}")) for n, k in enumerate(keys)])
-    joined = rows.join(held, same, "left")
-    return joined.filter(F.col("__held").isNull() | (F.col(f"`{newest_by}`") >= F.col("__held"))).select(*rows.columns)
+def _newest_state(target: DataFrame, src: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
+    """Target and source rows of which a source row takes the place of one that is not greater; both sides are shuffled once."""
+    held = target.select(*[F.col(f"`{k}`").alias(f"__held_{n}") for n, k in enumerate(keys)], F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("__held"))
+    new = src.select(*[F.col(f"`{k}`").alias(f"__new_{n}") for n, k in enumerate(keys)], F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("__new"))
+    same = reduce(lambda a, b: a & b, [F.col(f"__held_{n}").eqNullSafe(F.col(f"__new_{n}")) for n in range(len(keys))])
+    held_by, new_by = F.col("__held").getField(newest_by), F.col("__new").getField(newest_by)
+    taken = F.col("__new").isNotNull() & (held_by.isNull() | (new_by >= held_by))
+    row = F.when(F.col("__held").isNull() | F.coalesce(taken, F.lit(False)), F.col("__new")).otherwise(F.col("__held"))
+    return held.join(new, same, "full").select(row.alias("row")).select("row.*")
 
 
 def upsert(src: DataFrame, table: str, keys: Sequence[str], newest_by: str | None = None) -> LoadReport:
@@ -237,10 +241,9 @@ def upsert(src: DataFrame, table: str, keys: Sequence[str], newest_by: str | Non
         partial = bool(parts) and set(parts) <= set(settled)
         if partial:
             target = target.filter(_in_folders(folders(spark, incoming.path, len(parts))))
-        if newest_by:
-            rows = _not_older(rows, target, keys, newest_by)
         before = target.count()
-        with _aside(_untouched(target, rows, keys).unionByName(rows.select(*target.columns)), table) as change:
+        state = _newest_state(target, rows, keys, newest_by) if newest_by else upsert_state(target, rows, keys)
+        with _aside(state, table) as change:
             after = _read_aside(spark, table, change.path).count()  # from file footers
             change.publish(spark, (lambda _: False) if partial else None)
     return LoadReport(inserted=after - before, updated=seen.rows - (after - before))
