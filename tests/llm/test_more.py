@@ -112,3 +112,27 @@ def test_recall_of_the_radius():
             all_ += 1
             hits += (decontamination.simhash(a) ^ decontamination.simhash(b)).bit_count() <= decontamination.RADIUS
     assert all_ > 100 and hits / all_ > 0.999
+
+
+def test_repeated_runs_are_kept_by_seed_and_work_tables_removed(spark, tmp_path, monkeypatch):
+    """The stored runs have a row for each seed, not for each word; the work tables and shuffle files of a step go with it."""
+    from tidemill.llm import common, substrings
+    rows, paths, wrote = {}, {}, common.store
+
+    def store(df, purpose, *by):
+        assert df.sparkSession.conf.get(common.SHUFFLE_CLEANUP) == "false"
+        table, path = wrote(df, purpose, *by)
+        rows[purpose], paths[purpose] = table.count(), path
+        return table, path
+
+    monkeypatch.setattr(common, "store", store)
+    monkeypatch.setattr(substrings, "store", store, raising=False)
+    passage = " ".join(f"p{i}" for i in range(400))
+    docs = spark.createDataFrame([(i, f"a{i} b{i} " + passage + f" y{i} z{i}") for i in range(6)], "doc_id long, text string")
+    found = [r for r in substrings.repeated_paragraphs(docs).collect() if r.kind == "passage"]
+    assert sorted(r.doc_id for r in found) == [*range(6)] and {r.members for r in found} == {6}
+    assert {r.removed for r in found if r.doc_id} == {True} and not next(r for r in found if not r.doc_id).removed
+    assert 0 < rows["runs"] < 6 * (400 - substrings.LEAST_PASSAGE) / 3
+    import os
+    gone = {p for p, path in paths.items() if not os.path.exists(path.removeprefix("file://").removeprefix("file:"))}
+    assert gone >= {"distinct-lines", "cells", "seeds", "runs", "run-classes", "run-parts"}

@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WORD, WordHashes, arrow_limits, materialize, mix64, mix64_array, shingle_hashes, with_row_id
+from tidemill.llm.common import WORD, WordHashes, arrow_limits, materialize, mix64, mix64_array, remove, shingle_hashes, store, with_row_id
 from tidemill.llm.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -193,7 +193,11 @@ def _paragraph_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _run_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs of LEAST_PASSAGE words in (content, none, id, copies, places, text) whose own seed is at one of the places."""
+    """The runs of LEAST_PASSAGE words in (content, none, id, copies, places, text) whose own seed is at one of the places.
+
+    Neighbouring runs of one seed are one row: at is the place of the first, start its first character, seed the seed's hash; runs, starts
+    and ends have each run's hash and the characters from start to its own start and end.
+    """
     known = WordHashes()
     for batch in batches:
         for low in range(0, batch.num_rows, STEP):
@@ -208,14 +212,19 @@ def _run_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = np.searchsorted(words.text_first, at, "right") - 1
             keep = at + LEAST_PASSAGE <= words.text_last[text]
             keep[keep] = seeded[seed[keep]]
-            at, text = at[keep], text[keep]
-            h1, h2 = passage_hashes(words.hashes, at, LEAST_PASSAGE)
+            at, text, seed = at[keep], text[keep], seed[keep]
+            opens = np.flatnonzero((np.diff(seed, prepend=-1) != 0) | (np.diff(at, prepend=-2) != 1))
+            bounds = np.append(opens, len(at)).astype(np.int32)
+            from_start = np.repeat(words.start[at[opens]], np.diff(bounds))
+            lists = (passage_hashes(words.hashes, at, LEAST_PASSAGE)[1].view(np.int64), (words.start[at] - from_start).astype(np.int32),
+                     (words.end[at + LEAST_PASSAGE - 1] - from_start).astype(np.int32))
+            at, text, seed = at[opens], text[opens], seed[opens]
             owner = pa.array(words.text_number[text])
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(k).take(owner) for k in range(4)), pa.array((at - words.text_first[text]).astype(np.int32)),
-                 pa.array(words.start[at].astype(np.int32)), pa.array(words.end[at + LEAST_PASSAGE - 1].astype(np.int32)),
-                 pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-                names=["content", "none", "id", "copies", "at", "start", "end", "h1", "h2"])
+                 pa.array(words.start[at].astype(np.int32)), pa.array(passage_hashes(words.hashes, seed)[0].view(np.int64)),
+                 *(pa.ListArray.from_arrays(pa.array(bounds), pa.array(values)) for values in lists)],
+                names=["content", "none", "id", "copies", "at", "start", "seed", "runs", "starts", "ends"])
 
 
 def _rows(part, owner, kind: int, h1, h2, start, end, keys) -> pa.RecordBatch:
@@ -230,11 +239,12 @@ def _rows(part, owner, kind: int, h1, h2, start, end, keys) -> pa.RecordBatch:
 
 
 def _shingle_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, shingles) of the lines of (text) that have a shingle."""
+    """(h1, h2, shingles) of the lines of (text, lines) that have a shingle; lines bound the lines of the text that are asked for."""
     known = WordHashes()
     for batch in batches:
         for low in range(0, batch.num_rows, STEP):
-            words = words_of(batch.column(0).slice(low, STEP).to_pylist(), known)
+            part = batch.slice(low, STEP).to_pydict()
+            words = words_of([text[line["start"]:line["end"]] for text, lines in zip(part["text"], part["lines"]) for line in lines], known)
             h1, h2 = sequence_hashes(words.hashes, words.line_first, words.line_last)
             shingles = shingle_hashes(words.hashes, SHINGLE)
             long = words.line_last - words.line_first >= SHINGLE
@@ -291,26 +301,55 @@ def _link_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def paragraph_links(lines: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): links between distinct lines (h1, h2, content, bands) with similarity SIMILARITY or more; enough to connect each group.
+    """(a, b): links between distinct lines (h1, h2, content, start, end, bands) with similarity SIMILARITY or more; enough to connect each group.
 
-    content is a hash of the text that holds the line. texts (content, text) is asked for those texts only that have a line
-    in a shared cell. Cells that hold the same set of lines are compared once; a cell with many lines is cut into chunks whose pairs are compared
+    content is a hash of the text that holds the line from start to end. texts (content, text) is asked for those lines only that
+    are in a shared cell. Cells that hold the same set of lines are compared once; a cell with many lines is cut into chunks whose pairs are compared
     in tasks of their own.
     """
-    distinct = materialize(lines.groupBy("h1", "h2").agg(F.first("bands").alias("bands"), F.min("content").alias("content")), "distinct-lines")
+    spark = lines.sparkSession
+    distinct, lines_path = store(lines.groupBy("h1", "h2").agg(F.first("bands").alias("bands"), F.min(F.struct("content", "start", "end")).alias("line")), "distinct-lines")
     cells = distinct.select("h1", F.explode("bands").alias("key"))
     shared = (cells.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h1")).alias("x")).filter("n > 1")
               .groupBy("n", "x").agg(F.min("key").alias("key")))
     parts = F.ceil(F.col("n") / CHUNK).cast("int")
-    members = materialize(cells.join(shared, "key").select("key", "h1", parts.alias("s"), F.pmod(F.xxhash64("h1"), parts).cast("int").alias("c")), "cells")
-    wanted = distinct.join(members.select("h1").distinct(), "h1", "left_semi").select("h1", "h2", "content")
-    holders = texts.join(wanted.select("content").distinct(), "content", "left_semi").select("text")
-    sets = holders.mapInArrow(_shingle_tasks, "h1 long, h2 long, shingles binary").join(wanted.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    members, cells_path = store(cells.join(shared, "key").select("key", "h1", parts.alias("s"), F.pmod(F.xxhash64("h1"), parts).cast("int").alias("c")), "cells")
+    wanted = distinct.join(members.select("h1").distinct(), "h1", "left_semi").groupBy("line.content").agg(
+        F.collect_list(F.struct("line.start", "line.end")).alias("lines"))
+    sets = texts.join(wanted, "content").select("text", "lines").mapInArrow(_shingle_tasks, "h1 long, h2 long, shingles binary")
     sets = sets.groupBy("h1", "h2").agg(F.first("shingles").alias("shingles"))
     rows = members.join(sets, "h1").select("*", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("o")).select(
         "key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "h1", "h2", "shingles")
-    return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "h1", "h2")
-            .mapInArrow(_link_tasks, "a string, b string").distinct())
+    links = materialize(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "h1", "h2")
+                        .mapInArrow(_link_tasks, "a string, b string").distinct(), "links")
+    for path in (lines_path, cells_path):
+        remove(spark, path)
+    return links
+
+
+def _parts_of_classes(classes: DataFrame) -> DataFrame:
+    """(seed, key, low, high, members, first): the stretches of repeated runs low to high of each class that share their first occurrence.
+
+    classes (seed, key, copies, first, runs): the rows of one seed whose runs are all equal are one class. Only where a seed has several classes
+    their runs are counted one by one.
+    """
+    several = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
+
+    def place(k: Column) -> Column:
+        return F.struct("first.none", "first.id", (F.col("first.at") + k).alias("at"), "first.content", (F.col("first.start") + F.col("first.starts")[k]).alias("start"),
+                        (F.col("first.start") + F.col("first.ends")[k]).alias("end"))
+
+    alone = classes.filter("copies > 1").join(several, "seed", "left_anti").select(
+        "seed", "key", F.lit(0).alias("low"), (F.size("runs") - 1).alias("high"), F.col("copies").alias("members"), place(F.lit(0)).alias("first"))
+    each = classes.join(several, "seed", "left_semi").select("seed", "key", "copies", "first", F.posexplode("runs").alias("k", "run"))
+    least = each.groupBy("seed", "run").agg(F.sum("copies").alias("members"), F.min(place(F.col("k"))).alias("first")).filter("members > 1")
+    # stretches that have the same first occurrence go on as one row
+    found = each.select("seed", "key", "k", "run").join(least, ["seed", "run"]).withColumn("shift", F.col("first.at") - F.col("k"))
+    same = ["seed", "key", "first.content", "shift", "members"]
+    found = found.repartition("seed", "key").withColumn("stretch", F.col("k") - F.row_number().over(Window.partitionBy(*same).orderBy("k")))
+    stretches = found.groupBy("seed", "key", "first.content", "shift", "members", "stretch").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), F.min("first").alias("first"))
+    return alone.union(stretches.select(alone.columns))
 
 
 def repeated_runs(seeds: DataFrame, docs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
@@ -319,27 +358,38 @@ def repeated_runs(seeds: DataFrame, docs: DataFrame, texts: DataFrame, kind: str
     seeds (content, h1, start), docs (doc_id, rid, content), texts (rid, text). Equal texts are searched once and counted as often
     as they occur. A run that overlaps its own first occurrence gives the words behind that only.
     """
-    often = materialize(seeds.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1"), "seeds")
+    spark = docs.sparkSession
+    often, often_path = store(seeds.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1"), "seeds")
     # seeds that occur once are left out before their texts are moved
     places = seeds.join(often, "h1").groupBy("content").agg(F.collect_set(F.col("start").cast("int")).alias("places"))
     own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "rid")
     distinct = materialize(docs.groupBy("content").agg(F.min(own).alias("own"), F.count(F.lit(1)).alias("copies")), "distinct-texts")
     wanted = distinct.join(places, "content").select("content", "own", "copies", "places", F.col("own.rid").alias("rid"))
-    runs = materialize(texts.join(wanted, "rid").select("content", "own.none", "own.id", "copies", "places", "text").mapInArrow(
-        _run_tasks, f"content long, none boolean, id {kind}, copies long, at int, start int, end int, h1 long, h2 long"), "runs")
-    first = F.struct("none", "id", "at", "content", "start", "end")
-    least = materialize(runs.groupBy("h1", "h2").agg(F.sum("copies").alias("members"), F.min(first).alias("first")).filter("members > 1"), "first-runs")
-    found = runs.select("content", "copies", "at", "start", "end", "h1", "h2").join(least, ["h1", "h2"])
+    runs = texts.join(wanted, "rid").select("content", "own.none", "own.id", "copies", "places", "text").mapInArrow(
+        _run_tasks, f"content long, none boolean, id {kind}, copies long, at int, start int, seed long, runs array<long>, starts array<int>, ends array<int>")
+    runs, runs_path = store(runs.withColumn("key", F.xxhash64("runs")), "runs")
+    remove(spark, often_path)
+    first = F.struct("none", "id", "at", "content", "start", "starts", "ends")
+    classes, classes_path = store(runs.groupBy("seed", "key").agg(
+        F.sum("copies").alias("copies"), F.min(first).alias("first"), F.first("runs").alias("runs")), "run-classes")
+    parts, parts_path = store(_parts_of_classes(classes), "run-parts")
+    remove(spark, classes_path)
+    found = runs.select("content", "copies", "at", "start", "seed", "key", "starts", "ends").join(parts, ["seed", "key"]).select(
+        "content", "copies", (F.col("at") + F.col("low")).alias("at"), (F.col("at") + F.col("high")).alias("until"), "members", "first",
+        (F.col("start") + F.col("starts")[F.col("low")]).alias("start"), (F.col("start") + F.col("ends")[F.col("high")]).alias("end"))
     # the first of equal texts keeps what occurs in it first, the others keep nothing
     found = found.withColumn("copy", F.explode(F.when(F.col("copies") > 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     same = ~F.col("copy") & (F.col("content") == F.col("first.content"))
     found = found.withColumn("removed", ~(same & (F.col("at") == F.col("first.at"))))
     found = found.withColumn("start", F.when(same & F.col("removed"), F.greatest("start", "first.end")).otherwise(F.col("start")))
     text = Window.partitionBy("content", "copy", "removed")
-    found = found.withColumn("begins", F.coalesce(F.col("at") > F.lag("at").over(text.orderBy("at")) + LEAST_PASSAGE, F.lit(True)))
+    found = found.withColumn("begins", F.coalesce(F.col("at") > F.lag("until").over(text.orderBy("at")) + LEAST_PASSAGE, F.lit(True)))
     found = found.withColumn("span", F.count_if("begins").over(text.orderBy("at")))
     spans = found.groupBy("content", "copy", "removed", "span").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.max("members").alias("members"), F.min_by("first", "at").alias("first"))
+    spans = materialize(spans, "spans")
+    for path in (runs_path, parts_path):
+        remove(spark, path)
     named = docs.join(distinct.select("content", "own"), "content").select("content", "doc_id", (F.col("rid") != F.col("own.rid")).alias("copy"))
     return spans.join(named, ["content", "copy"]).select(
         "doc_id", F.col("start").cast("long"), F.col("end").cast("long"), "members",
@@ -362,7 +412,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     found = materialize(texts.select("doc_id", "content", "text").mapInArrow(
         _paragraph_tasks, f"doc_id {kind}, content long, kind int, h1 long, h2 long, start long, end long, bands array<long>"), "paragraphs", "kind")
     lines, seeds = found.filter(F.col("kind") == LINE), found.filter(F.col("kind") == SEED)
-    group = components(paragraph_links(lines.filter("bands IS NOT NULL").select("h1", "h2", "content", "bands"), texts.select("content", "text")), "a", "b")
+    group = components(paragraph_links(lines.filter("bands IS NOT NULL").select("h1", "h2", "content", "start", "end", "bands"), texts.select("content", "text")), "a", "b")
     passages = repeated_runs(seeds.select("content", "h1", "start"), materialize(texts.select("doc_id", "rid", "content"), "contents"),
                              texts.select("rid", "text"), kind)
     where = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("start").alias("start"))
