@@ -136,3 +136,17 @@ def test_repeated_runs_are_kept_by_seed_and_work_tables_removed(spark, tmp_path,
     import os
     gone = {p for p, path in paths.items() if not os.path.exists(path.removeprefix("file://").removeprefix("file:"))}
     assert gone >= {"distinct-lines", "cells", "seeds", "runs", "run-classes", "run-parts"}
+
+
+def test_encoder_keeps_to_the_core_of_its_task(monkeypatch):
+    """The tokenizer's own threads must not spin beside the task; groups of unseen words give the ids of whole texts."""
+    import pyarrow as pa
+    import public_tokenizers
+    from tidemill.llm import tokens
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    coder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), "<u2", tokens.END_ID)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghij\u00e9\u4e2d", k=rng.randrange(1, 9))) for _ in range(500)) for _ in range(4)]
+    for text, ids in zip(texts, coder.encode(pa.array(texts))):
+        assert np.frombuffer(ids, "<u2").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids + [tokens.END_ID]

@@ -40,7 +40,7 @@ SHARD_BYTES = 32 << 20
 SLICE_BYTES = 4 << 20
 REMEMBERED_BYTES = 64 << 20
 #: Unseen words that are encoded as one text.
-TOGETHER = 128
+TOGETHER = 32
 KEYS_PER_INDEX = 65_536
 GAMMA = 2.0
 _CUT = re.compile(r" (?=[A-Za-z0-9À-ɏ])")
@@ -63,6 +63,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, dtype: str, end_id: int, bound: int = REMEMBERED_BYTES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.dtype, self.kind, self.bound = dtype, {"<u2": "H", "<u4": "I"}[dtype], bound
